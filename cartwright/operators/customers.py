@@ -108,8 +108,8 @@ def discount_metrics() -> MetricGroup:
 def unique_label_metrics(column: str, labels: LabelSet, count_name: str) -> MetricGroup:
     """Distinct labels over all orders; none gives an empty list and 0."""
     words = [f"_{column}{w}" for w in range(labels.words)]
-    aggs = [F.bit_or(labels.word_of_array(F.col(column), w)).alias(n) for w, n in enumerate(words)]
-    bits = [F.coalesce(F.col(n), F.lit(0)) for n in words]
+    aggs = [F.bit_or(labels.word_of_array(column, w)).alias(n) for w, n in enumerate(words)]
+    bits = [f"coalesce({n}, 0L)" for n in words]
     return MetricGroup(
         aggs, [labels.to_array(bits).alias(column), labels.count(bits).alias(count_name)], column
     )
@@ -177,23 +177,22 @@ def daypart_metrics(combos: bool = True) -> MetricGroup:
     aggs, project = [], []
     for prefix in PREFIXES:
         for part in N.DAYPARTS:
-            hit = F.col("order_time_of_day") == part
-            cond = hit if prefix == "omnichannel" else hit & _is(N.OWNAPP)
-            aggs.append(_count_if(cond).alias(daypart_column(prefix, part)))
-            project.append(F.col(daypart_column(prefix, part)))
+            name = daypart_column(prefix, part)
+            own = "" if prefix == "omnichannel" else f" AND channel = '{N.OWNAPP}'"
+            aggs.append(F.expr(f"count_if(order_time_of_day = '{part}'{own})").alias(name))
+            project.append(F.col(name))
         if combos:
             project += daypart_combos(prefix)
     return MetricGroup(aggs, project, "dayparts")
 
 
 def daypart_combos(prefix: str) -> list[Column]:
+    """Every combination of two to five dayparts as the sum of its counts."""
     out = []
     for size in range(2, len(N.DAYPARTS) + 1):
         for combo in combinations(N.DAYPARTS, size):
-            total = F.col(daypart_column(prefix, combo[0]))
-            for part in combo[1:]:
-                total = total + F.col(daypart_column(prefix, part))
-            out.append(total.alias(daypart_column(prefix, *combo)))
+            total = " + ".join(f"`{daypart_column(prefix, part)}`" for part in combo)
+            out.append(F.expr(total).alias(daypart_column(prefix, *combo)))
     return out
 
 
@@ -212,7 +211,11 @@ def category_metrics(catalog: Catalog) -> MetricGroup:
 
 
 def _scoped_totals(named: dict[str, tuple[str, str]], group: str) -> MetricGroup:
-    aggs = [_total(_scoped(p, F.col(col))).alias(name) for name, (p, col) in named.items()]
+    own = f" FILTER (WHERE channel = '{N.OWNAPP}')"
+    aggs = [
+        F.expr(f"coalesce(sum(`{col}`){'' if p == 'omnichannel' else own}, 0L)").alias(name)
+        for name, (p, col) in named.items()
+    ]
     return MetricGroup(aggs, [F.col(name) for name in named], group)
 
 

@@ -79,11 +79,11 @@ def pair_counts(items: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
 
 
 def choice_limits(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
-    """Largest quantity per (order, item) that a combo header in the order covers.
+    """(order, item, quantity) for every choice that a combo header in the order covers.
 
     Headers are made distinct per order before they fan out to their choices,
     so a header repeated in a huge order costs one row. Of several limits for
-    one pair only the largest can decide, so they fold into a max.
+    one pair only the largest can decide; callers fold them with a max.
     """
     allowed = combos.select(
         F.col(keys.header).alias("_header"), F.col(keys.choice).alias("_choice"), F.col("Qty").alias("_limit")
@@ -97,16 +97,16 @@ def choice_limits(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY
     )
     return (
         headers_sold.join(allowed, "_header")
-        .groupBy(F.col(keys.order), F.col("_choice").alias(keys.item))
-        .agg(F.max("_limit").alias("_limit"))
+        .select(keys.order, F.col("_choice").alias(keys.item), "_limit")
     )
 
 
 def choice_pairs(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
     """(order, item) pairs that are choices of a combo in the same order."""
+    limits = choice_limits(items, combos, keys).groupBy(keys.order, keys.item)
     return (
         pair_counts(items, keys)
-        .join(choice_limits(items, combos, keys), [keys.order, keys.item])
+        .join(limits.agg(F.max("_limit").alias("_limit")), [keys.order, keys.item])
         .where(F.col("_limit") >= F.col("order_quantity"))
         .select(keys.order, keys.item)
     )
@@ -130,9 +130,11 @@ def bucket_columns(labels: Sequence[str] = N.BUCKET_LABELS) -> list[str]:
     return [f"{label}_items_count" for label in labels]
 
 
-def _bucket_flags(mask: Column, wrap, labels: Sequence[str] = N.BUCKET_LABELS) -> list[Column]:
+def _bucket_flags(
+    mask: str, labels: Sequence[str] = N.BUCKET_LABELS, known: str = "true"
+) -> list[Column]:
     return [
-        wrap((mask.bitwiseAND(F.lit(1 << i)) != 0).cast("int")).alias(name)
+        F.expr(f"CASE WHEN {known} THEN CAST(({mask} & {1 << i}) <> 0 AS INT) END").alias(name)
         for i, name in enumerate(bucket_columns(labels))
     ]
 
@@ -154,35 +156,36 @@ def bucket_presence(
     """0/1 per price bucket and order."""
     bit = _bucket_bit(F.col(keys.price), F.col(keys.quantity).isNotNull(), bins)
     mask = items.groupBy(F.col(keys.order).alias(N.ORDER_ID)).agg(F.bit_or(bit).alias("_m"))
-    return mask.select(N.ORDER_ID, *_bucket_flags(_or_zero(F.col("_m")), lambda c: c, labels))
+    return mask.select(N.ORDER_ID, *_bucket_flags("coalesce(_m, 0)", labels))
+
+
+def _label_words(items: DataFrame, label: str, labels: LabelSet, keys: ItemKeys, counted: bool) -> DataFrame:
+    """Bitset words ``_w0, _w1, ...`` of the labels of every order."""
+    pos = labels.position(f"`{label}`")
+    if counted:
+        pos = F.when(F.col(keys.quantity).isNotNull(), pos)
+    words = [
+        F.expr(f"coalesce(bit_or({labels.word_of_position('_pos', w)}), 0L)").alias(f"_w{w}")
+        for w in range(labels.words)
+    ]
+    marked = items.select(F.col(keys.order).alias(N.ORDER_ID), pos.alias("_pos"))
+    return marked.groupBy(N.ORDER_ID).agg(*words)
 
 
 def label_presence(
     items: DataFrame, label: str, labels: LabelSet, keys: ItemKeys = DELIVERY
 ) -> DataFrame:
     """0/1 per category and order, from one ``bit_or`` per 63 labels."""
-    pos = F.when(F.col(keys.quantity).isNotNull(), labels.position(F.col(label)))
-    words = [f"_w{w}" for w in range(labels.words)]
-    masks = (
-        items.select(F.col(keys.order).alias(N.ORDER_ID), pos.alias("_pos"))
-        .groupBy(N.ORDER_ID)
-        .agg(*[F.bit_or(labels.word_of_position(F.col("_pos"), w)).alias(n) for w, n in enumerate(words)])
-    )
-    return masks.select(N.ORDER_ID, *labels.flags([_or_zero(F.col(n)) for n in words], lambda c: c))
+    masks = _label_words(items, label, labels, keys, counted=True)
+    return masks.select(N.ORDER_ID, *labels.flags(masks.columns[1:]))
 
 
 def label_lists(
     items: DataFrame, label: str, labels: LabelSet, out: str, keys: ItemKeys = DELIVERY
 ) -> DataFrame:
     """Sorted distinct labels per order, for orders that have any."""
-    words = [f"_w{w}" for w in range(labels.words)]
-    masks = (
-        items.where(F.col(label).isNotNull())
-        .select(F.col(keys.order).alias(N.ORDER_ID), labels.position(F.col(label)).alias("_pos"))
-        .groupBy(N.ORDER_ID)
-        .agg(*[F.bit_or(labels.word_of_position(F.col("_pos"), w)).alias(n) for w, n in enumerate(words)])
-    )
-    return masks.select(N.ORDER_ID, labels.to_array([_or_zero(F.col(n)) for n in words]).alias(out))
+    masks = _label_words(items.where(F.col(label).isNotNull()), label, labels, keys, counted=False)
+    return masks.select(N.ORDER_ID, labels.to_array(masks.columns[1:]).alias(out))
 
 
 def item_stats(items: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
@@ -225,11 +228,11 @@ def category_dim(
     rows = categories.where(F.col(keys.item).isNotNull()).select(
         keys.item,
         mapped.alias("_mapped"),
-        catalog.dri.position(F.col(N.DRI_LABEL)).alias("_dri"),
-        catalog.base.position(base).alias("_base"),
+        catalog.dri.position(f"`{N.DRI_LABEL}`").alias("_dri"),
+        catalog.base.position(f"trim(`{N.BASE_LABEL}`)").alias("_base"),
     )
     bits = [
-        F.bit_or(F.when(F.col("_mapped"), ls.word_of_position(F.col(f"_{kind}"), w))).alias(f"_{kind}{w}")
+        F.expr(f"bit_or(IF(_mapped, {ls.word_of_position(f'_{kind}', w)}, NULL))").alias(f"_{kind}{w}")
         for kind, ls in (("dri", catalog.dri), ("base", catalog.base))
         for w in range(ls.words)
     ]
@@ -248,15 +251,17 @@ def encoded_item_features(
 ) -> DataFrame:
     """Every item-derived feature of an order in two aggregations, bitsets undecoded.
 
-    1. Lines fold to one row per (order, item). The fold runs before the
-       shuffle, so one huge order or one hot item arrives as few rows, and its
-       hash on (order, item) also serves the choice-limit join.
+    1. Lines fold to one row per (order, item), together with the choice limits,
+       which enter the same aggregate as extra rows instead of by a join. The
+       fold runs before the shuffle, so one huge order or one hot item arrives
+       as few rows.
     2. Pairs get their labels and fold to one row per order. All buffers are
        fixed-width numbers and bitsets.
 
     The separate operators above compute the same columns one at a time.
     """
-    payable, qty = keys.payable(), F.col(keys.quantity)
+    qty = F.col(keys.quantity)
+    payable = F.col("_line") & keys.payable()  # NULL, hence ignored, on limit rows
     counted = payable & qty.isNotNull()
     first = [
         F.sum(qty).alias("_qty"),
@@ -275,9 +280,20 @@ def encoded_item_features(
     if keys.promo is not None:
         first.append(F.sum(F.when(F.col(keys.promo), qty)).alias("_promo"))
 
-    pairs = items.where(F.col(keys.order).isNotNull()).groupBy(keys.order, keys.item).agg(*first)
-    limited = pairs.join(choice_limits(items, combos, keys), [keys.order, keys.item], "left")
-    labelled = limited.join(category_dim(categories, catalog, keys), keys.item, "left")
+    used = [keys.quantity, keys.price, *([keys.promo] if keys.promo else [])]
+    if keys.details:
+        used += ["is_customized", "is_veg"]
+    lines = items.where(F.col(keys.order).isNotNull()).select(
+        keys.order, keys.item, *used, F.lit(True).alias("_line")
+    )
+    limits = choice_limits(items, combos, keys)
+    pairs = (
+        lines.unionByName(limits, allowMissingColumns=True)
+        .groupBy(keys.order, keys.item)
+        .agg(*first, F.max("_limit").alias("_limit"), F.max("_line").alias("_line"))
+        .where(F.col("_line"))
+    )
+    labelled = pairs.join(category_dim(categories, catalog, keys), keys.item, "left")
 
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     ordered_qty = F.col("_paid_qty") * copies
@@ -315,18 +331,16 @@ def decode_item_features(
     order instead of every output column. An order none of whose lines
     survived has missing, not zero, features.
     """
-    if_any = lambda c: F.when(F.col("_any"), c)
-
-    def words(kind: str, what: str, ls: LabelSet) -> list[Column]:
-        return [_or_zero(F.col(f"_{kind}_{what}{w}")) for w in range(ls.words)]
+    def words(kind: str, what: str, ls: LabelSet) -> list[str]:
+        return [f"coalesce(_{kind}_{what}{w}, 0L)" for w in range(ls.words)]
 
     return df.select(
-        *[c for c in df.columns if not c.startswith("_")],
-        *_bucket_flags(_or_zero(F.col("_bucket")), if_any, labels),
-        *catalog.dri.flags(words("dri", "seen", catalog.dri), if_any),
-        *catalog.base.flags(words("base", "seen", catalog.base), if_any),
-        if_any(catalog.dri.to_array(words("dri", "list", catalog.dri))).alias(N.DRI_LIST),
-        if_any(catalog.base.to_array(words("base", "list", catalog.base))).alias(N.BASE_LIST),
+        *[F.col(f"`{c}`") for c in df.columns if not c.startswith("_")],
+        *_bucket_flags("coalesce(_bucket, 0)", labels, "_any"),
+        *catalog.dri.flags(words("dri", "seen", catalog.dri), "_any"),
+        *catalog.base.flags(words("base", "seen", catalog.base), "_any"),
+        catalog.dri.to_array(words("dri", "list", catalog.dri), "_any").alias(N.DRI_LIST),
+        catalog.base.to_array(words("base", "list", catalog.base), "_any").alias(N.BASE_LIST),
     )
 
 

@@ -4,12 +4,13 @@ A menu has a bounded number of category labels, and the wide outputs have one
 column per label, so the vocabulary is metadata of the plan. Sets of labels
 travel through aggregations as ``bit_or`` over BIGINT words: fixed-width
 buffers that combine before the shuffle, instead of collected arrays that grow
-with the group.
+with the group. The per-label expressions are SQL text: one label is one short
+term, and a plan with hundreds of them is still built quickly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -40,56 +41,55 @@ class LabelSet:
     def words(self) -> int:
         return max(1, -(-len(self.raw) // WORD_BITS))
 
-    def position(self, label: Column) -> Column:
-        """Position of a raw label, NULL if missing or unknown."""
+    def position(self, label: str) -> Column:
+        """Position of a raw label (SQL text), NULL if missing or unknown."""
         if not self.raw:
             return F.lit(None).cast("int")
-        pos = F.array_position(F.array(*map(F.lit, self.raw)), label) - 1
-        return F.when(pos >= 0, pos.cast("int"))
+        listed = ", ".join(map(sql_text, self.raw))
+        return F.expr(f"CAST(nullif(array_position(array({listed}), {label}), 0) - 1 AS INT)")
 
-    def word_of_position(self, pos: Column, word: int) -> Column:
+    def word_of_position(self, pos: str, word: int) -> str:
         """Bit of ``pos`` if it lives in this word, else NULL (ignored by bit_or)."""
         first = word * WORD_BITS
-        one = F.lit(1).cast("bigint")
-        bit = F.call_function("shiftleft", one, pos - first)
-        return F.when(pos.between(first, first + WORD_BITS - 1), bit)
+        return f"CASE WHEN {pos} BETWEEN {first} AND {first + WORD_BITS - 1} THEN shiftleft(1L, {pos} - {first}) END"
 
-    def word_of_array(self, arr: Column, word: int) -> Column:
+    def word_of_array(self, arr: str, word: int) -> Column:
         """Bits of the labels that an array column holds."""
         first = word * WORD_BITS
         bits = [
-            F.when(F.array_contains(arr, label), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+            f"IF(array_contains({arr}, {sql_text(label)}), {1 << i}L, 0L)"
             for i, label in enumerate(self.raw[first:first + WORD_BITS])
         ]
-        return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("bigint"))
+        return F.expr(" | ".join(bits) or "0L")
 
-    def flags(self, words: list[Column], wrap: Callable[[Column], Column]) -> list[Column]:
-        """One 0/1 column per output name from the bitset words."""
+    def flags(self, words: list[str], known: str = "true") -> list[Column]:
+        """One 0/1 column per output name from the bitset words; NULL unless ``known``."""
         out = []
         for column in self.columns:
             masks = [0] * self.words
             for i, name in enumerate(self.normalized):
                 if self.prefix + name == column:
                     masks[i // WORD_BITS] |= 1 << (i % WORD_BITS)
-            hits = [
-                words[w].bitwiseAND(F.lit(m).cast("bigint")) != 0
-                for w, m in enumerate(masks) if m
-            ]
-            out.append(wrap(reduce(lambda a, b: a | b, hits).cast("int")).alias(column))
+            hit = " OR ".join(f"({words[w]} & {m}L) <> 0" for w, m in enumerate(masks) if m)
+            out.append(F.expr(f"CASE WHEN {known} THEN CAST({hit} AS INT) END").alias(column))
         return out
 
-    def to_array(self, words: list[Column]) -> Column:
+    def to_array(self, words: list[str], known: str = "true") -> Column:
         """Sorted raw labels whose bits are set (``raw`` is sorted)."""
         parts = [
-            F.when(words[i // WORD_BITS].bitwiseAND(F.lit(1 << (i % WORD_BITS)).cast("bigint")) != 0, label)
+            f"IF(({words[i // WORD_BITS]} & {1 << (i % WORD_BITS)}L) <> 0, {sql_text(label)}, NULL)"
             for i, label in enumerate(self.raw)
         ]
-        if not parts:
-            return F.array().cast("array<string>")
-        return F.array_compact(F.array(*parts))
+        listed = f"array_compact(array({', '.join(parts)}))" if parts else "CAST(array() AS ARRAY<STRING>)"
+        return F.expr(f"CASE WHEN {known} THEN {listed} END")
 
-    def count(self, words: list[Column]) -> Column:
-        return reduce(lambda a, b: a + b, [F.bit_count(w) for w in words]).cast("bigint")
+    def count(self, words: list[str]) -> Column:
+        return F.expr(f"CAST({' + '.join(f'bit_count({w})' for w in words)} AS BIGINT)")
+
+
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def label_set(df: DataFrame, label: Column, prefix: str) -> LabelSet:

@@ -121,17 +121,15 @@ def _present(store_master: DataFrame) -> list[Column]:
 def flag_complaints(
     orders: DataFrame, complaints: DataFrame | None, order_id: str = "id"
 ) -> DataFrame:
-    """Boolean ``has_query``; False for a channel without a complaints feed."""
+    """Boolean ``has_query``; False for a channel without a complaints feed.
+
+    An existence test needs neither distinct complaint ids nor a join back.
+    """
     if complaints is None:
         return orders.withColumn("has_query", F.lit(False))
-    hit = (
-        complaints.where(F.col("order_id").isNotNull())
-        .select(F.col("order_id").cast("bigint").alias(order_id))
-        .distinct()
-        .withColumn("_hit", F.lit(True))
-    )
-    joined = orders.join(hit, order_id, "left")
-    return joined.withColumn("has_query", F.col("_hit").isNotNull()).drop("_hit")
+    ids = complaints.select(F.col("order_id").cast("bigint").alias("_complaint"))
+    hit = ids.where(F.col("_complaint") == F.col(order_id).outer()).exists()
+    return orders.withColumn("has_query", hit)
 
 
 # -- projections ------------------------------------------------------------

@@ -87,9 +87,9 @@ def instore_order_features(
     items: DataFrame,
     dims: Dimensions,
     window: OrderWindow,
-    customers: DataFrame,
+    customers: DataFrame | None,
 ) -> DataFrame:
-    """In-store orders of own-app customers.
+    """In-store orders, limited to ``customers`` of the own app where given.
 
     Lines are limited to kept invoices by the final left join on the invoice.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -56,9 +56,3 @@ def micro_segments_from_assignments(
 ) -> DataFrame:
     """The same from stored assignments, by a join on the customer id."""
     return M.micro_segments(M.attach_assignments(base, assignments), spec.plans, models, spec.micro_renames)
-
-
-def validate(plans: Sequence[M.MicroPlan]) -> None:
-    for i, p in enumerate(plans):
-        if not p.name or not p.model_key or not p.source_segments:
-            raise ValueError(f"micro plan {i} needs a name, a model key and source segments")

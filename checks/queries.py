@@ -244,34 +244,37 @@ def _users(st: Stage) -> DataFrame:
     return P.ownapp_customers(st.delivery_orders(N.OWNAPP), st.dims, WINDOW)
 
 
-def _swiggy(st: Stage) -> DataFrame:
+def _swiggy(st: Stage, users: DataFrame | None) -> DataFrame:
     return P.delivery_order_features(
-        st.delivery_orders(N.SWIGGY), st.delivery_items(N.SWIGGY), st.dims, WINDOW, None, _users(st)
+        st.delivery_orders(N.SWIGGY), st.delivery_items(N.SWIGGY), st.dims, WINDOW, None, users
     )
 
 
-def _instore(st: Stage) -> DataFrame:
-    return P.instore_order_features(st.instore_orders, st.instore_items, st.dims, WINDOW, _users(st))
+def _instore(st: Stage, users: DataFrame | None) -> DataFrame:
+    return P.instore_order_features(st.instore_orders, st.instore_items, st.dims, WINDOW, users)
 
 
 def order_features(st: Stage) -> DataFrame:
-    return _ownapp(st).unionByName(_swiggy(st))
+    return _ownapp(st).unionByName(_swiggy(st, _users(st)))
 
 
 def order_features_instore(st: Stage) -> DataFrame:
-    return _instore(st)
+    return _instore(st, _users(st))
 
 
 # -- customer features ------------------------------------------------------
 
 def union_channels(st: Stage) -> DataFrame:
-    channels = {N.OWNAPP: _ownapp(st), N.SWIGGY: _swiggy(st), N.INSTORE: _instore(st)}
+    users = _users(st)
+    channels = {N.OWNAPP: _ownapp(st), N.SWIGGY: _swiggy(st, users), N.INSTORE: _instore(st, users)}
     return C.union_channels(channels, st.catalog, BUCKETS, CUTOFF)
 
 
 def _customers(st: Stage, *groups: C.MetricGroup) -> DataFrame:
+    """Without own-app semi-joins: the customer aggregate drops the others anyway."""
     return customer_features(
-        _ownapp(st), _swiggy(st), _instore(st), st.catalog, CUTOFF, REFERENCE, groups=groups or None
+        _ownapp(st), _swiggy(st, None), _instore(st, None), st.catalog, CUTOFF, REFERENCE,
+        groups=groups or None,
     )
 
 
