@@ -69,6 +69,8 @@ def union_channels(
         )
         part = unified_channel(recent, channel, [*buckets, *catalog.columns])
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    unsold = {c: F.lit(None).cast("int") for c in [*buckets, *catalog.columns] if c not in out.columns}
+    out = out.withColumns(unsold) if unsold else out
     return out.select(*sorted(out.columns))
 
 
