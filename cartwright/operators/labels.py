@@ -54,13 +54,20 @@ class LabelSet:
         return f"CASE WHEN {pos} BETWEEN {first} AND {first + WORD_BITS - 1} THEN shiftleft(1L, {pos} - {first}) END"
 
     def word_of_array(self, arr: str, word: int) -> Column:
-        """Bits of the labels that an array column holds."""
+        """Bits of the labels that an array column holds.
+
+        Walks the few labels of the row and looks each one up, instead of
+        testing the array for every label of the vocabulary.
+        """
         first = word * WORD_BITS
-        bits = [
-            f"IF(array_contains({arr}, {sql_text(label)}), {1 << i}L, 0L)"
+        entries = [
+            f"{sql_text(label)}, {1 << i}L"
             for i, label in enumerate(self.raw[first:first + WORD_BITS])
         ]
-        return F.expr(" | ".join(bits) or "0L")
+        if not entries:
+            return F.expr("0L")
+        bit = f"coalesce(try_element_at(map({', '.join(entries)}), x), 0L)"
+        return F.expr(f"aggregate({arr}, 0L, (bits, x) -> bits | {bit})")
 
     def flags(self, words: list[str], known: str = "true") -> list[Column]:
         """One 0/1 column per output name from the bitset words; NULL unless ``known``."""
