@@ -78,38 +78,61 @@ def pair_counts(items: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
     )
 
 
-def choice_limits(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
-    """(order, item, quantity) for every choice that a combo header in the order covers.
+def header_covers(combos: DataFrame, keys: ItemKeys) -> DataFrame:
+    """Per header item, ``_covers``: its choices with the quantity it covers of each.
 
-    Headers are made distinct per order before they fan out to their choices,
-    so a header repeated in a huge order costs one row. Of several limits for
-    one pair only the largest can decide; callers fold them with a max.
+    Of several limits for one (header, choice) only the largest can decide.
     """
-    allowed = combos.select(
-        F.col(keys.header).alias("_header"), F.col(keys.choice).alias("_choice"), F.col("Qty").alias("_limit")
+    known = combos.select(
+        F.col(keys.header).alias(keys.item), F.col(keys.choice).alias("_choice"), F.col("Qty").alias("_limit")
     ).dropna()
-    headers_sold = (
-        payable_items(items, keys)
-        .where(F.col(keys.order).isNotNull())
-        .select(F.col(keys.order), F.col(keys.item).alias("_header"))
-        .join(allowed.select("_header"), "_header", "left_semi")
-        .distinct()
+    largest = known.groupBy(keys.item, "_choice").agg(F.max(F.col("_limit").cast("bigint")).alias("_limit"))
+    entry = F.struct("_choice", "_limit", F.lit(False).alias("_own"))
+    return largest.groupBy(keys.item).agg(F.collect_list(entry).alias("_covers"))
+
+
+def with_limits(pairs: DataFrame, combos: DataFrame, payable: Column, keys: ItemKeys) -> DataFrame:
+    """Add ``_limit``: the largest quantity of this pair that a header of its order covers.
+
+    ``pairs`` has one row per (order, item), so hashing it on the order is safe
+    even for an order with a huge number of lines: at most one row per menu
+    item. On that hash a sold header emits one row per choice it covers, and
+    these meet the pair of that choice in an aggregate that needs no further
+    shuffle; the fan-out never leaves its task. The per-order aggregate that
+    follows reuses the same hash.
+    """
+    own = F.array(F.struct(
+        F.col(keys.item).alias("_choice"), F.lit(None).cast("bigint").alias("_limit"), F.lit(True).alias("_own")
+    ))
+    measures = [c for c in pairs.columns if c not in (keys.order, keys.item)]
+    spread = (
+        pairs.where(F.col(keys.order).isNotNull())
+        .repartition(F.col(keys.order))
+        .join(header_covers(combos, keys), keys.item, "left")
+        .withColumn("_rows", F.when(payable & F.col("_covers").isNotNull(), F.concat(own, "_covers")).otherwise(own))
+        .select(keys.order, *measures, F.inline("_rows").alias("_choice", "_limit", "_own"))
     )
     return (
-        headers_sold.join(allowed, "_header")
-        .select(keys.order, F.col("_choice").alias(keys.item), "_limit")
+        spread.groupBy(keys.order, F.col("_choice").alias(keys.item))
+        .agg(
+            *[F.max(F.when(F.col("_own"), F.col(c))).alias(c) for c in measures],
+            F.max("_limit").alias("_limit"),
+            F.max("_own").alias("_own"),
+        )
+        .where(F.col("_own"))
+        .drop("_own")
     )
 
 
+def covered(quantity: Column) -> Column:
+    """Whether a header of the order covers the whole quantity of this pair."""
+    return F.coalesce(F.col("_limit") >= quantity, F.lit(False))
+
+
 def choice_pairs(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
     """(order, item) pairs that are choices of a combo in the same order."""
-    limits = choice_limits(items, combos, keys).groupBy(keys.order, keys.item)
-    return (
-        pair_counts(items, keys)
-        .join(limits.agg(F.max("_limit").alias("_limit")), [keys.order, keys.item])
-        .where(F.col("_limit") >= F.col("order_quantity"))
-        .select(keys.order, keys.item)
-    )
+    pairs = with_limits(pair_counts(items, keys), combos, F.lit(True), keys)
+    return pairs.where(covered(F.col("order_quantity"))).select(keys.order, keys.item)
 
 
 def remove_choices(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
@@ -249,19 +272,17 @@ def encoded_item_features(
     keys: ItemKeys = DELIVERY,
     bins: Sequence[float] = N.PRICE_BINS,
 ) -> DataFrame:
-    """Every item-derived feature of an order in two aggregations, bitsets undecoded.
+    """Every item-derived feature of an order, bitsets undecoded, in one pass over the lines.
 
-    1. Lines fold to one row per (order, item), together with the choice limits,
-       which enter the same aggregate as extra rows instead of by a join. The
-       fold runs before the shuffle, so one huge order or one hot item arrives
-       as few rows.
-    2. Pairs get their labels and fold to one row per order. All buffers are
-       fixed-width numbers and bitsets.
+    1. Lines fold to one row per (order, item). The fold runs before the
+       shuffle, so one huge order or one hot item arrives as few rows.
+    2. Pairs are hashed on the order, get their choice limits and labels there,
+       and fold to one row per order on the same hash.
 
-    The separate operators above compute the same columns one at a time.
+    All buffers are fixed-width numbers and bitsets. The separate operators
+    above compute the same columns one at a time.
     """
-    qty = F.col(keys.quantity)
-    payable = F.col("_line") & keys.payable()  # NULL, hence ignored, on limit rows
+    payable, qty = keys.payable(), F.col(keys.quantity)
     counted = payable & qty.isNotNull()
     first = [
         F.sum(qty).alias("_qty"),
@@ -280,26 +301,13 @@ def encoded_item_features(
     if keys.promo is not None:
         first.append(F.sum(F.when(F.col(keys.promo), qty)).alias("_promo"))
 
-    used = [keys.quantity, keys.price, *([keys.promo] if keys.promo else [])]
-    if keys.details:
-        used += ["is_customized", "is_veg"]
-    lines = items.where(F.col(keys.order).isNotNull()).select(
-        keys.order, keys.item, *used, F.lit(True).alias("_line")
+    pairs = items.where(F.col(keys.order).isNotNull()).groupBy(keys.order, keys.item).agg(*first)
+    labelled = with_limits(pairs, combos, F.col("_payable"), keys).join(
+        category_dim(categories, catalog, keys), keys.item, "left"
     )
-    limits = choice_limits(items, combos, keys)
-    pairs = (
-        lines.unionByName(limits, allowMissingColumns=True)
-        .groupBy(keys.order, keys.item)
-        .agg(*first, F.max("_limit").alias("_limit"), F.max("_line").alias("_line"))
-        .where(F.col("_line"))
-    )
-    labelled = pairs.join(category_dim(categories, catalog, keys), keys.item, "left")
-
     copies = F.coalesce(F.col("_copies"), F.lit(1))
-    ordered_qty = F.col("_paid_qty") * copies
-    is_choice = F.coalesce(F.col("_limit") >= ordered_qty, F.lit(False))
-    kept = F.coalesce(F.col("_payable") & F.col("_mapped") & ~is_choice, F.lit(False))
-    marked = labelled.withColumn("_kept", kept)
+    kept = F.col("_payable") & F.col("_mapped") & ~covered(F.col("_paid_qty") * copies)
+    marked = labelled.withColumn("_kept", F.coalesce(kept, F.lit(False)))
 
     is_kept = F.col("_kept")
     seen = is_kept & F.col("_counted")
