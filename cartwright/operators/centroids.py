@@ -75,22 +75,26 @@ def load_models(models: DataFrame, keys: Sequence[str]) -> dict[str, CentroidMod
 
 # -- scoring ----------------------------------------------------------------
 
-def nearest_center(vector: Column, model: CentroidModel) -> Column:
-    """Index (as text) of the closest center after standardising; ties go to the lowest."""
-    doubles = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
-    scale = [1.0 if s == 0 else s for s in model.scale]
-    centered = F.zip_with(vector, doubles(model.mean), lambda x, m: x - m)
-    z = F.zip_with(centered, doubles(scale), lambda x, s: x / s)
-    centers = F.array(*[doubles(c) for c in model.centers])
-    distances = F.transform(
-        centers,
-        lambda c: F.aggregate(
-            F.zip_with(z, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, d: acc + d
-        ),
-    )
-    # bind the distances once: they feed both the minimum and the search for it
-    pick = F.transform(F.array(distances), lambda ds: F.array_position(ds, F.array_min(ds)) - 1)
-    return F.get(pick, F.lit(0)).cast("string")
+def _doubles(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
+
+
+def nearest_center(vector: str, model: CentroidModel) -> Column:
+    """Index (as text) of the closest center after standardising; ties go to the lowest.
+
+    ``vector`` is the SQL text of an array of doubles. The standardised vector
+    and the distances are bound by one-element ``transform`` calls, so each is
+    computed once per row.
+    """
+    scale = _doubles([1.0 if s == 0 else s for s in model.scale])
+    centered = f"zip_with({vector}, {_doubles(model.mean)}, (x, m) -> x - m)"
+    standard = f"zip_with({centered}, {scale}, (x, s) -> x / s)"
+    centers = "array(" + ", ".join(map(_doubles, model.centers)) + ")"
+    squares = "zip_with(z, c, (a, b) -> (a - b) * (a - b))"
+    distances = f"transform({centers}, c -> aggregate({squares}, 0.0D, (total, d) -> total + d))"
+    bound = f"get(transform(array({standard}), z -> {distances}), 0)"
+    index = f"get(transform(array({bound}), ds -> array_position(ds, array_min(ds)) - 1), 0)"
+    return F.expr(f"CAST({index} AS STRING)")
 
 
 def check_features(model: CentroidModel, available: Mapping[str, str]) -> None:
@@ -186,16 +190,19 @@ def micro_segments(
         bounds = F.broadcast(cap_bounds(chosen, cap_cols, by="_plan"))  # one row per capped plan
         rows = rows.join(bounds, "_plan", "left")
 
-    def feature(plan: MicroPlan, name: str) -> Column:
+    def feature(plan: MicroPlan, name: str) -> str:
         column = source[name]
+        value = f"try_cast(`{column}` AS DOUBLE)"
         if plan.capped and column in cap_cols:
-            return X.number_or_zero(capped(column, cap_cols.index(column)))
-        return X.number_or_zero(F.col(f"`{column}`"))
+            bounds = f"_cap_{cap_cols.index(column)}"
+            value = f"IF({value} IS NULL, NULL, least(greatest({value}, get({bounds}, 0)), get({bounds}, 1)))"
+        return f"coalesce(nanvl({value}, 0.0D), 0.0D)"
 
     cluster = None
     for p in plans:
         model = models[p.model_key]
-        label = nearest_center(F.array(*[feature(p, f) for f in model.features]), model)
+        vector = f"array({', '.join(feature(p, f) for f in model.features)})"
+        label = nearest_center(vector, model)
         hit = F.col("_plan") == p.name
         cluster = F.when(hit, label) if cluster is None else cluster.when(hit, label)
     return rows.select(

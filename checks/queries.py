@@ -473,8 +473,7 @@ def cap_outliers(st: Stage) -> DataFrame:
 
 
 def kmeans_assign(st: Stage) -> DataFrame:
-    vector = F.transform("embedding", lambda x: x.cast("double"))
-    label = M.nearest_center(vector, spec.EMBEDDING_MODEL)
+    label = M.nearest_center("transform(embedding, x -> CAST(x AS DOUBLE))", spec.EMBEDDING_MODEL)
     return st.table("embeddings").select("vec_id", label.alias("microcluster"))
 
 

@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from cartwright import names as N
 from cartwright.operators import centroids as M
@@ -14,7 +13,7 @@ def model(key="m", features=("a_count", "b_count"), mean=(0.0, 0.0), scale=(1.0,
 
 def label(spark, m, *vectors):
     df = spark.createDataFrame([(i, list(v)) for i, v in enumerate(vectors)], "i int, v array<double>")
-    return [r[0] for r in df.orderBy("i").select(M.nearest_center(F.col("v"), m)).collect()]
+    return [r[0] for r in df.orderBy("i").select(M.nearest_center("v", m)).collect()]
 
 
 def test_nearest_and_tie(spark):
