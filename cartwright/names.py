@@ -38,7 +38,7 @@ BASE_PREFIX = "categ_base_product_"
 DRI_LIST = "unique_dri_categories_in_order"
 BASE_LIST = "unique_base_products_in_order"
 
-# Base columns of a delivery order: output column -> input column.
+# Fixed values. Base columns of a delivery order: output column -> input column.
 DELIVERY_BASE = {
     "order_id": "id",
     "user_id": "user_id",
@@ -75,7 +75,7 @@ DELIVERY_BASE = {
     "has_query": "has_query",
 }
 
-# Base columns of an in-store order: output column -> input column.
+# Fixed values. Base columns of an in-store order: output column -> input column.
 INSTORE_BASE = {
     "order_id": "InvoiceNo",
     "order_placed_datetime": "BussTime",

@@ -126,17 +126,18 @@ def cap_bounds(df: DataFrame, columns: Sequence[str], by: str | None = None) ->
     return (df.groupBy(by) if by else df.groupBy()).agg(*aggs)
 
 
-def capped(column: str, index: int) -> Column:
-    bounds = F.col(f"_cap_{index}")
-    return X.clip(F.col(f"`{column}`").cast("double"), F.get(bounds, F.lit(0)), F.get(bounds, F.lit(1)))
-
-
 def cap_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Clip numeric columns to their 1 % / 99 % quantiles over the whole frame."""
+    """Clip numeric columns to their 1 % / 99 % quantiles over the whole frame.
+
+    The bounds are a scalar subquery: computed once, used as constants.
+    """
     columns = numeric_columns(df) if columns is None else list(columns)
-    bounds = F.broadcast(cap_bounds(df, columns))  # exactly one row
-    return df.join(bounds).select(*[
-        capped(c, columns.index(c)).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns
+    bounds = cap_bounds(df, columns).select(F.struct("*").alias("bounds")).scalar()
+    ranges = {c: F.col(f"_bounds._cap_{i}") for i, c in enumerate(columns)}
+    return df.withColumn("_bounds", bounds).select(*[
+        X.clip(F.col(f"`{c}`").cast("double"), F.get(ranges[c], F.lit(0)), F.get(ranges[c], F.lit(1))).alias(c)
+        if c in ranges else F.col(f"`{c}`")
+        for c in df.columns
     ])
 
 

@@ -38,6 +38,7 @@ RENAMES = {
 }
 MICRO_RENAMES = {f"categ_base_product_{b}_count": f"base_{b}_count" for b in BRANDS}
 
+# Micro plan name, its source segments and its model key.
 PLAN_SOURCES = (
     ("Seg1_5_1_and_2", ("Seg1_5_1", "Seg1_5_2"), "segment_1_5_1_2_model"),
     ("Seg1_5_3", ("Seg1_5_3",), "segment_1_5_3_model"),
