@@ -34,8 +34,13 @@ def _test_root() -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
-    The cluster names the root in ``spark.checkpoint.dir``. Only where that is
-    unset (single-machine tests) is a local temporary folder used.
+    The cluster names the root in ``spark.checkpoint.dir``. Where that is unset,
+    a local temporary folder serves a single-machine session, which has no other
+    machine to share with; on a cluster it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _test_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _test_root()
     return f"{root.rstrip('/')}/cartwright/{name}-{uuid.uuid4().hex}"
