@@ -2,17 +2,98 @@
 
 from __future__ import annotations
 
-from cartwright.llm import url_filter
+from cartwright.llm import quality_rules, url_filter
 
 
-def _values(terms) -> str:
-    return ", ".join(f"('{t}')" for t in terms)
+RULES = quality_rules.Rules()
+VOCABULARY = quality_rules.vocabulary()
+CLASSES = quality_rules.CLASSES
+
+
+def _char_counts() -> str:
+    """Lengths that each class takes off, in the order of the classes."""
+    text, parts = "t", []
+    for _, pattern in CLASSES:
+        rest = f"regexp_replace({text}, '{pattern}', '', 'g')"
+        parts.append(f"length({text}) - length({rest})")
+        text = rest
+    return ", ".join([*parts, f"length({text})"])
+
+
+def _distance(histogram: str, reference: str) -> str:
+    def part(x, m):
+        return f"(CASE WHEN {x} > 0 THEN {x} * log2({x} / {m}) ELSE 0 END)"
+
+    p, q = f"({histogram}[i] / CAST(list_sum({histogram}) AS DOUBLE))", f"({reference}[i])"
+    mean = f"(({p} + {q}) / 2)"
+    return (f"round(sqrt(greatest(list_sum(list_transform(range(1, len({histogram}) + 1), "
+            f"lambda i: {part(p, mean)} + {part(q, mean)})) / 2, 0)), 6)")
+
+
+def _shares(column: str, bins: int) -> str:
+    counts = ", ".join(f"sum({column}[{i}]) + {RULES.smoothing}" for i in range(1, bins + 1))
+    return f"[x / list_sum([{counts}]) FOR x IN [{counts}]]"
+
+
+OP1 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM d
+), hashed AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3] || ' ' || words[i + 4] AS w
+  FROM windows
+), counted AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM hashed
+), starts AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS prev FROM counted WHERE c > 1
+), repeats AS (
+  SELECT r, sum(least(5, coalesce(i - prev, 5))) AS n FROM starts GROUP BY r
+), spread AS (
+  SELECT r, lower(unnest(words)) AS w FROM d
+), hits AS (
+  SELECT r, {", ".join(f"count(*) FILTER (w = '{w}') AS h{i}" for i, w in enumerate(VOCABULARY))},
+    count(*) FILTER (w NOT IN ({", ".join(f"'{w}'" for w in VOCABULARY)})) AS other
+  FROM spread GROUP BY r
+), lines AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS line FROM d
+), dup AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM lines
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r
+), m AS (
+  SELECT d.r, doc_id, lang, length(t) AS n_chars, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '{quality_rules.SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
+    [{_char_counts()}] AS chars,
+    CASE WHEN hits.r IS NOT NULL THEN [{", ".join(f"h{i}" for i in range(len(VOCABULARY)))}, other] END AS common
+  FROM d LEFT JOIN repeats USING (r) LEFT JOIN hits USING (r) LEFT JOIN dup USING (r)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+), refs AS (
+  SELECT lang, {_shares("chars", quality_rules.CHAR_BINS)} AS char_ref,
+    {_shares("common", len(VOCABULARY) + 1)} AS word_ref
+  FROM judged WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang
+  HAVING count(*) >= {RULES.least_share} * (SELECT count(*) FROM judged WHERE NOT base_failed AND lang IS NOT NULL)
+), far AS (
+  SELECT r, min(CASE WHEN n_chars >= {RULES.char_guard} THEN {_distance("chars", "char_ref")} END) AS char_distance,
+    min(CASE WHEN n_words >= {RULES.word_guard} THEN {_distance("common", "word_ref")} END) AS word_distance
+  FROM judged CROSS JOIN refs GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance,
+  NOT base_failed AND NOT coalesce(char_distance > {RULES.max_char_distance}, false)
+    AND NOT coalesce(word_distance > {RULES.max_word_distance}, false) AS kept
+FROM judged LEFT JOIN far USING (r)
+"""
+
+def _boundary(terms) -> str:
+    return f"(?:^|[^\\pL\\pN])({'|'.join(terms)})(?:$|[^\\pL\\pN])"
 
 
 OP7 = f"""
-WITH strict_terms(t) AS (VALUES {_values(url_filter.STRICT)}),
-soft_terms(t) AS (VALUES {_values(url_filter.SOFT)}),
-lowered AS (
+WITH lowered AS (
   SELECT page_id, translate(url, '{url_filter.UPPER}', '{url_filter.LOWER}') AS low,
     CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages
@@ -24,10 +105,8 @@ lowered AS (
   FROM lowered
 ), hits AS (
   SELECT *,
-    CAST((SELECT coalesce(sum(len(regexp_extract_all(wide, '(^|[^\\pL\\pN])' || t || '($|[^\\pL\\pN])'))), 0)
-          FROM strict_terms) AS INTEGER) AS n_strict,
-    CAST((SELECT count(*) FROM soft_terms
-          WHERE regexp_matches(coalesce(low, ''), '(^|[^\\pL\\pN])' || t || '($|[^\\pL\\pN])')) AS INTEGER) AS n_soft
+    CAST(len(regexp_extract_all(wide, '{_boundary(url_filter.STRICT)}')) AS INTEGER) AS n_strict,
+    CAST(len(list_distinct(regexp_extract_all(wide, '{_boundary(url_filter.SOFT)}', 1))) AS INTEGER) AS n_soft
   FROM split
 ), ruled AS (
   SELECT *, CASE
@@ -49,4 +128,4 @@ FROM ruled
 
 
 def statements() -> dict[str, str]:
-    return {"op7_url_filter": OP7}
+    return {"op1_quality_rules": OP1, "op7_url_filter": OP7}
