@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.store import saved
 
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
+# offsets of so many buckets (about 24 bytes each) are sent to every executor; more are joined by a shuffle
+BROADCAST_BUCKETS = 1 << 20
 
 
 def rendezvous(key: Column, n_shards: int, seed: int) -> Column:
@@ -67,6 +69,8 @@ def external_shuffle(
     counts = written.groupBy("shard", "bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
+    if per_shard * n_shards <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     return written.join(offsets, ["shard", "bucket"]).select(
         *record, F.col("_size").alias("size"), "shard", "bucket", (F.col("_from") + F.col("_at")).alias("slot")
     )
