@@ -154,16 +154,19 @@ def _least(columns: list[Column]) -> Column:
     return F.least(*columns) if len(columns) > 1 else columns[0]
 
 
-def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """Input columns with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang",
+          carry: list[str] | None = None) -> DataFrame:
+    """Input columns (or those in ``carry``) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, char_distance, word_distance and kept."""
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
              "word_distance", "kept"]
-    columns = [c for c in docs.columns if c not in added]
+    columns = [c for c in (docs.columns if carry is None else carry) if c not in added]
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    measured = saved(features(docs.select([F.col(f"`{c}`") for c in columns]), text).withColumn("base_failed", failed), "quality")
-    refs = references(measured, rules, lang)
+    needed = [F.col(f"`{c}`") for c in columns if not c.startswith("_q_")]
+    rows = features(docs.select(*needed, F.col(text).alias("_q_text"), F.col(lang).alias("_q_lang")), "_q_text")
+    measured = saved(rows.drop("_q_text").withColumn("base_failed", failed), "quality")
+    refs = references(measured, rules, "_q_lang")
     if refs:
         chars = _least([distance(F.col("_q_chars"), r[0]) for r in refs])
         words = _least([distance(F.col("_q_words"), r[1]) for r in refs])
@@ -175,4 +178,4 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str
     return measured.withColumns({
         "char_distance": F.when(n_chars >= rules.char_guard, chars),
         "word_distance": F.when(F.col("n_words") >= rules.word_guard, words),
-    }).withColumn("kept", ~F.col("base_failed") & ~odd).select([F.col(f"`{c}`") for c in columns] + added)
+    }).withColumn("kept", ~F.col("base_failed") & ~odd).select(*needed, *added)

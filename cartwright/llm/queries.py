@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, quality_rules, sharding, simhash, url_filter
+from cartwright.llm import byte_bpe, language_id, quality_rules, sharding, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_rules.judge(docs).drop("text", "lang")
+    return quality_rules.judge(docs, carry=["doc_id"])
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs, carry=["doc_id"])
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,4 +51,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_language_id, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
