@@ -136,16 +136,16 @@ def references(measured: DataFrame, rules: Rules, lang: str = "lang") -> list[tu
     return out
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of a histogram to a reference, to 6 places."""
+def shares(counts: Column) -> Column:
+    """Shares of a histogram; an empty one stays empty of any."""
     total = F.aggregate(counts, F.lit(0), lambda a, x: a + x)
-    part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
+    return F.zip_with(counts, F.array_repeat(total, F.size(counts)), lambda x, n: x / F.nullif(n, F.lit(0)))
 
-    def term(count, q):
-        p = count / total
-        return part(p, (p + q) / 2) + part(q, (p + q) / 2)
 
-    terms = F.zip_with(counts, F.array(*map(F.lit, reference)), term)
+def distance(own: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon distance of the shares of a histogram to a reference, to 6 places."""
+    part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
+    terms = F.zip_with(own, F.array(*map(F.lit, reference)), lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2))
     divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
     return F.round(F.sqrt(F.greatest(divergence, F.lit(0.0))), 6)
 
@@ -168,14 +168,19 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str
     measured = saved(rows.drop("_q_text").withColumn("base_failed", failed), "quality")
     refs = references(measured, rules, "_q_lang")
     if refs:
-        chars = _least([distance(F.col("_q_chars"), r[0]) for r in refs])
-        words = _least([distance(F.col("_q_words"), r[1]) for r in refs])
+        chars = _least([distance(F.col("_q_char_shares"), r[0]) for r in refs])
+        words = _least([distance(F.col("_q_word_shares"), r[1]) for r in refs])
     else:
         chars = words = F.lit(None).cast("double")
     n_chars = reduce(lambda a, b: a + b, [F.col("_q_chars")[i] for i in range(CHAR_BINS)])
     odd = (F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False))
            | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))
-    return measured.withColumns({
-        "char_distance": F.when(n_chars >= rules.char_guard, chars),
-        "word_distance": F.when(F.col("n_words") >= rules.word_guard, words),
+    # shares stand in a projection of their own: each distance reads them for every bin
+    shared = measured.withColumns({
+        "_q_char_shares": F.when(n_chars >= rules.char_guard, shares(F.col("_q_chars"))),
+        "_q_word_shares": F.when(F.col("n_words") >= rules.word_guard, shares(F.col("_q_words"))),
+    })
+    return shared.withColumns({
+        "char_distance": chars,
+        "word_distance": words,
     }).withColumn("kept", ~F.col("base_failed") & ~odd).select(*needed, *added)
