@@ -147,7 +147,7 @@ def distance(own: Column, reference: list[float]) -> Column:
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
     terms = F.zip_with(own, F.array(*map(F.lit, reference)), lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2))
     divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
-    return F.round(F.sqrt(F.greatest(divergence, F.lit(0.0))), 6)
+    return F.round(F.sqrt(F.when(divergence < 0, F.lit(0.0)).otherwise(divergence)), 6)
 
 
 def _least(columns: list[Column]) -> Column:
