@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartwright.llm import quality_rules, url_filter
+from cartwright.llm import license_scan, quality_rules, url_filter
 
 
 RULES = quality_rules.Rules()
@@ -88,6 +88,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN far USING (r)
 """
 
+VOTES = license_scan.Votes()
+N_PHRASES = len(license_scan.PHRASES)
+
+OP5 = f"""
+WITH names(template, label, n_pairs) AS (VALUES {", ".join(
+    f"({i}, '{label}', {len(text.split()) - 1})"
+    for i, (label, text) in enumerate(license_scan.PHRASES + license_scan.TEMPLATES))}),
+pairs(template, tpos, pair) AS (VALUES {", ".join(f"({t}, {p}, '{g}')" for t, p, g in license_scan.template_pairs())}),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+), words AS (
+  SELECT r, unnest(range(0, len(words) - 1)) AS pos, words FROM d
+), grams AS (
+  SELECT r, pos, words[pos + 1] || ' ' || words[pos + 2] AS pair FROM words
+), hits AS (
+  SELECT r, template, tpos, pos FROM grams JOIN pairs USING (pair)
+), diagonals AS (
+  SELECT r, template, pos - tpos AS diagonal, list_distinct(list(tpos)) AS found, min(pos) AS lo, max(pos) AS hi
+  FROM hits GROUP BY ALL
+), kept AS (
+  SELECT *, coalesce(template < {N_PHRASES} OR diagonal - lag(diagonal) OVER w > {VOTES.widest_step}, true) AS opens
+  FROM diagonals JOIN names USING (template)
+  WHERE CASE WHEN template < {N_PHRASES} THEN len(found) = n_pairs ELSE len(found) >= {VOTES.least_votes} END
+  WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)
+), numbered AS (
+  SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM kept
+), spans AS (
+  SELECT r, template, label, n_pairs, span, len(list_distinct(flatten(list(found)))) AS n, min(lo) AS lo, max(hi) AS hi
+  FROM numbered GROUP BY ALL
+), judged AS (
+  SELECT *, template < {N_PHRASES} AS base, n / n_pairs >= {VOTES.least_share}
+    AND hi - lo + 2 <= {VOTES.longest_span} * (n_pairs + 1) AS good
+  FROM spans
+), per_doc AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(lo) FILTER (base) AS first_word, max(lo) FILTER (base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (good)), ',') AS labels,
+    max(n / n_pairs) FILTER (good) AS score
+  FROM judged GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0.0), 6) AS score
+FROM d LEFT JOIN per_doc USING (r)
+"""
+
+
 def _boundary(terms) -> str:
     return f"(?:^|[^\\pL\\pN])({'|'.join(terms)})(?:$|[^\\pL\\pN])"
 
@@ -128,4 +178,4 @@ FROM ruled
 
 
 def statements() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op7_url_filter": OP7}
+    return {"op1_quality_rules": OP1, "op5_license_scan": OP5, "op7_url_filter": OP7}
