@@ -6,8 +6,9 @@ profile by the out-of-place distance: the sum of rank differences of its own mos
 frequent n-grams, with the full profile length for n-grams that a profile lacks.
 The smallest distance wins, ties go to the language that sorts first.
 
-Profiles are learned from a bounded sample of labelled rows: for each language the
-``per_language`` rows with the smallest seeded hash of their key. Held out are
+Profiles are learned from a bounded sample of labelled rows: for each language rows
+whose seeded hash of the key is below a threshold that ``per_language`` rows are
+expected to meet. Held out are
 rows whose crc32 of the key, as text, is 2 modulo 4; nothing is learned from
 them. Every row is predicted from its whole text and nothing else.
 
@@ -97,18 +98,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
 
+def _threshold(share: float) -> int:
+    return (1 << 63) - 1 if share >= 1 else int(share * (1 << 64)) - (1 << 63)
+
+
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
           per_language: int = PER_LANGUAGE, size: int = PROFILE) -> dict[str, list[int]]:
     """Profile (n-grams by rank) of each language that has a letter in its sampled rows."""
     rows = docs.select(F.xxhash64(F.lit(SEED), F.col(key)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"),
                        F.col(key).alias("key")).where(F.col("lang").isNotNull() & F.col("key").isNotNull()
                                                       & F.col("text").isNotNull() & ~held_out(F.col("key")))
-    first = Window.partitionBy("lang").orderBy("h")
-    last = (rows.select("lang", "h").withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_language)
-            .groupBy("lang").agg(F.max("h").alias("h")).collect())  # one short row per language
-    if not last:
+    found = rows.groupBy("lang").count().collect()  # one short row per language
+    if not found:
         return {}
-    limits = F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r["h"])])
+    # hashes are uniform, so a threshold takes about ``per_language`` rows of each language
+    limits = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], _threshold(per_language / r["count"]))])
     sample = rows.where(F.col("h") <= F.element_at(limits, F.col("lang"))).select("lang", "text")
     totals = sample.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranked = totals.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))

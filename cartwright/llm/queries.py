@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, language_id, license_scan, quality_rules, sharding, simhash, url_filter
+from cartwright.llm import byte_bpe, language_id, license_scan, packing, quality_rules, sharding, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, carry=["doc_id"])
 
 
+def packing_digest(docs: DataFrame) -> DataFrame:
+    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs, carry=["doc_id"])
@@ -55,4 +64,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_language_id, op5_license_scan, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_language_id, op5_license_scan, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
