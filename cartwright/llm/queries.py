@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, language_id, license_scan, packing, quality_rules, sharding, simhash, url_filter
+from cartwright.llm import byte_bpe, language_id, license_scan, multi_index, packing, quality_rules, sharding, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, carry=["doc_id"])
 
 
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.search(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -64,4 +69,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_language_id, op5_license_scan, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_language_id, op4_multi_index, op5_license_scan, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
