@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, language_id, license_scan, multi_index, packing, quality_rules, sharding, simhash, url_filter
+from cartwright.llm import byte_bpe, chat_format, language_id, license_scan, multi_index, packing, quality_rules, sharding, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,14 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles of raw transcripts made from ``conversations``; learned from three quarters of them."""
+    pieces = chat_format.raw_transcripts(_table(spark, sf_dir, "conversations"))
+    shown = pieces.where(~language_id.held_out(F.col("conv_id")))
+    model = chat_format.learn(chat_format.lines(shown, "conv_id", "turn", "text", carry="role"))
+    return chat_format.parse(pieces.drop("role"), model)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).drop("url")
@@ -69,4 +77,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_language_id, op4_multi_index, op5_license_scan, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_language_id, op4_multi_index, op5_license_scan, op6_chat_format, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
