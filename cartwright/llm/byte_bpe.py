@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwright.llm.store import fresh
+
 # states of the automaton: what the last code point left open
 FRESH, LETTERS, NUMBERS, OTHERS, BLANKS, PREFIX, NEED_ONE, NEED_TWO = range(8)
 # symbols: letter, number, other, apostrophe before a one- or two-letter ending, blank with
@@ -350,7 +352,7 @@ def _coded(batches: Iterator[pa.RecordBatch], path: str, digests: bool) -> Itera
     machine = coder(path)
     for batch in batches:
         at = 0
-        for texts in batches_of([t.as_py() for t in batch.column("_text")]):
+        for texts in batches_of([t.as_py() for t in batch.column(batch.num_columns - 1)]):
             ids, counts, _ = machine.encode(texts)
             ends = np.cumsum(counts)
             of_text = [ids[e - n:e] for e, n in zip(ends.tolist(), counts.tolist())]
@@ -360,7 +362,7 @@ def _coded(batches: Iterator[pa.RecordBatch], path: str, digests: bool) -> Itera
                         pa.array([sha256(x).hexdigest() for x in decoded], pa.string())]
             else:
                 made = [pa.array(of_text, pa.list_(pa.int64())), pa.array(decoded, pa.binary())]
-            rows = batch.slice(at, len(texts)).drop_columns(["_text"])
+            rows = batch.slice(at, len(texts)).drop_columns([batch.schema.names[-1]])
             at += len(texts)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(counts, pa.int64()), *made],
                                              names=[*rows.schema.names, "n_tokens", *OUTPUT[digests]])
@@ -370,10 +372,10 @@ OUTPUT = {False: ("ids", "decoded"), True: ("ids_sha256", "decoded_sha256")}
 
 
 def _apply(docs: DataFrame, path: str, text: str, digests: bool) -> DataFrame:
-    added = ("n_tokens", "_text", *OUTPUT[digests], text)
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added], F.col(text).alias("_text"))
+    columns = [c for c in docs.columns if c not in ("n_tokens", *OUTPUT[digests], text)]
+    kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(text).alias(fresh("text", columns)))
     kinds = ("string", "string") if digests else ("array<long>", "binary")
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text"]
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]]
     schema += ["n_tokens long", *(f"{c} {k}" for c, k in zip(OUTPUT[digests], kinds))]
     return kept.mapInArrow(partial(_coded, path=path, digests=digests), ", ".join(schema))
 

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "und"
 PROFILE = 400
@@ -151,20 +152,29 @@ class Profiles:
 def _predict(batches: Iterator[pa.RecordBatch], profiles: dict[str, list[int]], size: int) -> Iterator[pa.RecordBatch]:
     model = Profiles(profiles, size)
     for batch in batches:
-        made = [model.predict(t.as_py()) for t in batch.column("_text")]
-        rows = batch.drop_columns(["_text"])
+        made = [model.predict(t.as_py()) for t in batch.column("text")]
+        rows = batch.drop_columns(["text"])
         yield pa.RecordBatch.from_arrays(
             [*rows.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
             names=[*rows.schema.names, "lang_pred", "score"])
 
 
+ADDED = ("held_out", "lang_pred", "score")
+
+
+def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
+               per_language: int = PER_LANGUAGE, size: int = PROFILE, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the input columns, or of those in ``carry``), held_out, lang_pred and score."""
+    profiles = learn(docs, key, text, lang, per_language, size)
+    columns = docs.columns if carry is None else carry
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), held_out(F.col(key)).alias("held_out"),
+                       F.col(text).alias("text"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(partial(_predict, profiles=profiles, size=size), schema)
+
+
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
              per_language: int = PER_LANGUAGE, size: int = PROFILE, carry: list[str] | None = None) -> DataFrame:
     """The input columns (or those in ``carry``) with held_out, lang_pred and score."""
-    profiles = learn(docs, key, text, lang, per_language, size)
-    added = ("held_out", "lang_pred", "score", "_text")
-    columns = [c for c in (docs.columns if carry is None else carry) if c not in added]
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], held_out(F.col(key)).alias("held_out"), F.col(text).alias("_text"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"]
-    schema += ["lang_pred string", "score double"]
-    return rows.mapInArrow(partial(_predict, profiles=profiles, size=size), ", ".join(schema))
+    columns = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
+    return identified(docs, key, text, lang, per_language, size, carry).select(*[F.col(f"row.`{c}`") for c in columns], *ADDED)

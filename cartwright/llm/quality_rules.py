@@ -12,7 +12,7 @@ a null text counts as empty: no words, so it fails the base rules; with no
 reference at all (empty table, no labelled document that passes) divergence is
 not judged and ``char_distance`` and ``word_distance`` are null; they are also
 null under the guards. Repeated rows are judged one by one. Input columns named
-like an output column are replaced; names with a leading ``_q_`` are reserved.
+like an output column are replaced by ``judge`` and kept apart by ``judged``.
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ def vocabulary() -> list[str]:
     return sorted({w for words in COMMON_WORDS.values() for w in words})
 
 
-def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input columns with base counts, ``_q_chars`` and ``_q_words`` (the two histograms)."""
+def features(docs: DataFrame, text: str) -> DataFrame:
+    """The input columns (none named ``_q_...``) with base counts, ``_q_chars`` and ``_q_words`` (the two histograms)."""
     d = docs.withColumn("_q_0", F.coalesce(F.col(text), F.lit("")))
     for i, (_, pattern) in enumerate(CLASSES):
         d = d.withColumn(f"_q_{i + 1}", F.regexp_replace(f"_q_{i}", pattern, ""))
@@ -154,19 +154,19 @@ def _least(columns: list[Column]) -> Column:
     return F.least(*columns) if len(columns) > 1 else columns[0]
 
 
-def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang",
-          carry: list[str] | None = None) -> DataFrame:
-    """Input columns (or those in ``carry``) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, char_distance, word_distance and kept."""
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
-             "word_distance", "kept"]
-    columns = [c for c in (docs.columns if carry is None else carry) if c not in added]
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
+         "word_distance", "kept")
+
+
+def judged(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang",
+           carry: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the input columns, or of those in ``carry``) and the added columns."""
+    columns = docs.columns if carry is None else carry
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    needed = [F.col(f"`{c}`") for c in columns if not c.startswith("_q_")]
-    rows = features(docs.select(*needed, F.col(text).alias("_q_text"), F.col(lang).alias("_q_lang")), "_q_text")
-    measured = saved(rows.drop("_q_text").withColumn("base_failed", failed), "quality")
-    refs = references(measured, rules, "_q_lang")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    measured = saved(features(rows, "text").drop("text").withColumn("base_failed", failed), "quality")
+    refs = references(measured, rules, "lang")
     if refs:
         chars = _least([distance(F.col("_q_char_shares"), r[0]) for r in refs])
         words = _least([distance(F.col("_q_word_shares"), r[1]) for r in refs])
@@ -180,7 +180,13 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str
         "_q_char_shares": F.when(n_chars >= rules.char_guard, shares(F.col("_q_chars"))),
         "_q_word_shares": F.when(F.col("n_words") >= rules.word_guard, shares(F.col("_q_words"))),
     })
-    return shared.withColumns({
-        "char_distance": chars,
-        "word_distance": words,
-    }).withColumn("kept", ~F.col("base_failed") & ~odd).select(*needed, *added)
+    return shared.withColumns({"char_distance": chars, "word_distance": words}).withColumn(
+        "kept", ~F.col("base_failed") & ~odd).select("row", *ADDED)
+
+
+def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang",
+          carry: list[str] | None = None) -> DataFrame:
+    """Input columns (or those in ``carry``) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, char_distance, word_distance and kept."""
+    columns = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
+    return judged(docs, rules, text, lang, carry).select(*[F.col(f"row.`{c}`") for c in columns], *ADDED)

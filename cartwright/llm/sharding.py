@@ -54,25 +54,26 @@ def external_shuffle(
     record = [F.col(f"`{c}`") for c in columns]
     total = docs.agg(F.sum(record_size(F.col(text))).alias("b")).first()["b"] or 0
     per_shard = max(1, -(-total // (bucket_bytes * n_shards)))
-    kept = docs.select(*record, record_size(F.col(text)).alias("_size"))
     spread = F.xxhash64(F.lit(seed), F.col(key), F.col(text), F.spark_partition_id())
-    scattered = kept.select(
+    # the record travels as a struct of its own, so that no input column can clash with a working one
+    scattered = docs.select(
         rendezvous(F.col(key), n_shards, seed).alias("shard"),
         F.pmod(spread, F.lit(per_shard)).cast("int").alias("bucket"),
-        F.struct(F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_h"), F.col("_size"), *record).alias("r"),
+        F.struct(F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("h"), record_size(F.col(text)).alias("size"),
+                 F.struct(*record).alias("rec")).alias("r"),
     )
     together = scattered.groupBy("shard", "bucket").agg(F.sort_array(F.collect_list("r")).alias("rs"))
     together = together.sortWithinPartitions("shard", "bucket")
-    dealt = together.select("shard", "bucket", F.posexplode(F.shuffle("rs", F.lit(seed))).alias("_at", "r"))
-    written = saved(dealt.select("shard", "bucket", "_at", "r._size", *[F.col(f"r.`{c}`") for c in columns]), "shards")
+    dealt = together.select("shard", "bucket", F.posexplode(F.shuffle("rs", F.lit(seed))).alias("at", "r"))
+    written = saved(dealt.select("shard", "bucket", "at", F.col("r.size").alias("size"), F.col("r.rec").alias("rec")), "shards")
 
-    counts = written.groupBy("shard", "bucket").agg(F.count("*").alias("_n"))
+    counts = written.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
+    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     if per_shard * n_shards <= BROADCAST_BUCKETS:
         offsets = F.broadcast(offsets)
     return written.join(offsets, ["shard", "bucket"]).select(
-        *record, F.col("_size").alias("size"), "shard", "bucket", (F.col("_from") + F.col("_at")).alias("slot")
+        *[F.col(f"rec.`{c}`") for c in columns], "size", "shard", "bucket", (F.col("start") + F.col("at")).alias("slot")
     )
 
 

@@ -17,3 +17,10 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with more underscores in front while it is taken."""
+    while name in columns:
+        name = "_" + name
+    return name

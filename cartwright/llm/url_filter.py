@@ -105,14 +105,15 @@ def filter_urls(
 ) -> DataFrame:
     """Add host, path, rule, n_strict, n_soft and verdict (allow or block) to every row."""
     added = ["host", "path", "rule", "n_strict", "n_soft", "verdict"]
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in added]
-    host, path = host_and_path(F.col(url))
-    split = pages.select(*kept, host.alias("host"), path.alias("path"),
-                         _hits(tuple(strict), tuple(soft))(F.translate(F.col(url), UPPER, LOWER)).alias("_hits"))
-    ruled = split.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
-    refused = (F.col("_hits.n_strict") > 0) | (F.col("_hits.n_soft") >= soft_limit)
+    # the row travels as one struct, so that no input column can clash with a working one
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col(url).alias("u"))
+    host, path = host_and_path(F.col("u"))
+    split = rows.select("row", host.alias("host"), path.alias("path"),
+                        _hits(tuple(strict), tuple(soft))(F.translate("u", UPPER, LOWER)).alias("hits"))
+    ruled = split.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
+    refused = (F.col("hits.n_strict") > 0) | (F.col("hits.n_soft") >= soft_limit)
     return ruled.select(
-        *kept, "host", "path", F.col("_rule.rule").alias("rule"), F.col("_hits.n_strict").alias("n_strict"),
-        F.col("_hits.n_soft").alias("n_soft"),
-        F.coalesce(F.col("_rule.verdict"), F.when(refused, "block").otherwise("allow")).alias("verdict"),
+        *[F.col(f"row.`{c}`") for c in pages.columns if c not in added], "host", "path", F.col("fit.rule").alias("rule"),
+        F.col("hits.n_strict").alias("n_strict"), F.col("hits.n_soft").alias("n_soft"),
+        F.coalesce(F.col("fit.verdict"), F.when(refused, "block").otherwise("allow")).alias("verdict"),
     )
