@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -89,6 +91,15 @@ def window_bounds(run_date: date, months: int, zone: str | None = None) -> tuple
     return to_utc(start), to_utc(end)
 
 
+def window_instants(run_date: date, months: int, zone: str) -> tuple[Column, Column]:
+    """The same window as literals of type TIMESTAMP, whatever the session's time zone."""
+    month = run_date.year * 12 + run_date.month - 1 - months
+    year, month = divmod(month, 12)
+    day = min(run_date.day, calendar.monthrange(year, month + 1)[1])
+    midnight = lambda y, m, d: F.lit(datetime(y, m, d, tzinfo=ZoneInfo(zone)))
+    return midnight(year, month + 1, day), midnight(run_date.year, run_date.month, run_date.day)
+
+
 def micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 

@@ -94,3 +94,9 @@ INSTORE_BASE = {
 }
 
 STORE_COLUMNS = ("Store Name", "Store Type", "Geographical City", "Key City", "Generator New")
+
+
+def feature_name(column: str, renames: dict[str, str]) -> str:
+    """Name of a customer feature in rules and models: scope prefix off, then renamed."""
+    bare = column.removeprefix("omnichannel_")
+    return renames.get(bare, bare)

@@ -57,7 +57,11 @@ class MicroPlan:
 def load_models(models: DataFrame, keys: Sequence[str]) -> dict[str, CentroidModel]:
     """Models named by the plans; at most one small row per key reaches the driver."""
     wanted = sorted(set(keys))
-    rows = models.where(F.col("model_key").isin(wanted)).limit(len(wanted) + 1).collect()
+    named = models.where(F.col("model_key").isin(wanted))
+    twice = named.groupBy("model_key").count().where("count > 1").select("model_key").collect()
+    if twice:
+        raise ValueError(f"model table has several rows for {sorted(r['model_key'] for r in twice)}")
+    rows = named.collect()
     found = {
         r["model_key"]: CentroidModel(
             r["model_key"], tuple(r["features"]), tuple(r["mean"]), tuple(r["scale"]),
@@ -65,8 +69,6 @@ def load_models(models: DataFrame, keys: Sequence[str]) -> dict[str, CentroidMod
         )
         for r in rows
     }
-    if len(rows) != len(found):
-        raise ValueError("model table has more than one row for a model key")
     missing = [k for k in wanted if k not in found]
     if missing:
         raise KeyError(f"models not found: {missing}")
@@ -100,8 +102,7 @@ def nearest_center(vector: str, model: CentroidModel) -> Column:
 def check_features(model: CentroidModel, available: Mapping[str, str]) -> None:
     missing = [f for f in model.features if f not in available]
     if missing:
-        more = " ..." if len(missing) > 8 else ""
-        raise KeyError(f"Missing required features for {model.key}: {missing[:8]}{more}")
+        raise KeyError(f"model {model.key} needs features that the input lacks: {', '.join(missing)}")
 
 
 # -- capping ----------------------------------------------------------------
@@ -156,8 +157,7 @@ def renamed_columns(columns: Sequence[str], renames: Mapping[str, str]) -> dict[
     """Model feature name -> base column, by prefix strip and rename map."""
     out = {}
     for c in columns:
-        short = c.replace("omnichannel_", "") if c.startswith("omnichannel_") else c
-        out[renames.get(short, short)] = c
+        out[N.feature_name(c, renames)] = c
     return out
 
 

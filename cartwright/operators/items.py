@@ -79,43 +79,34 @@ def pair_counts(items: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
 
 
 def header_covers(combos: DataFrame, keys: ItemKeys) -> DataFrame:
-    """Per header item, ``_covers``: its choices with the quantity it covers of each.
-
-    Of several limits for one (header, choice) only the largest can decide.
-    """
+    """(header, choice, limit); of several limits for one pair only the largest can decide."""
     known = combos.select(
         F.col(keys.header).alias(keys.item), F.col(keys.choice).alias("_choice"), F.col("Qty").alias("_limit")
     ).dropna()
-    largest = known.groupBy(keys.item, "_choice").agg(F.max(F.col("_limit").cast("bigint")).alias("_limit"))
-    entry = F.struct("_choice", "_limit", F.lit(False).alias("_own"))
-    return largest.groupBy(keys.item).agg(F.collect_list(entry).alias("_covers"))
+    return known.groupBy(keys.item, "_choice").agg(F.max(F.col("_limit").cast("bigint")).alias("_limit"))
 
 
 def with_limits(pairs: DataFrame, combos: DataFrame, payable: Column, keys: ItemKeys) -> DataFrame:
     """Add ``_limit``: the largest quantity of this pair that a header of its order covers.
 
-    ``pairs`` has one row per (order, item), so hashing it on the order is safe
-    even for an order with a huge number of lines: at most one row per menu
-    item. On that hash a sold header emits one row per choice it covers, and
-    these meet the pair of that choice in an aggregate that needs no further
-    shuffle; the fan-out never leaves its task. The per-order aggregate that
-    follows reuses the same hash.
+    Sold headers meet their choices in a plain join, which may be broadcast or
+    split where a header is hot. It emits narrow (order, choice, limit) rows,
+    and these meet the pairs in one aggregate on (order, item) that combines
+    before the shuffle. No task holds an order.
     """
-    own = F.array(F.struct(
-        F.col(keys.item).alias("_choice"), F.lit(None).cast("bigint").alias("_limit"), F.lit(True).alias("_own")
-    ))
     measures = [c for c in pairs.columns if c not in (keys.order, keys.item)]
-    spread = (
-        pairs.where(F.col(keys.order).isNotNull())
-        .repartition(F.col(keys.order))
-        .join(header_covers(combos, keys), keys.item, "left")
-        .withColumn("_rows", F.when(payable & F.col("_covers").isNotNull(), F.concat(own, "_covers")).otherwise(own))
-        .select(keys.order, *measures, F.inline("_rows").alias("_choice", "_limit", "_own"))
+    known = pairs.where(F.col(keys.order).isNotNull())
+    offers = (
+        known.where(payable).select(keys.order, keys.item)
+        .join(header_covers(combos, keys), keys.item)
+        .select(keys.order, F.col("_choice").alias(keys.item), "_limit", F.lit(False).alias("_own"))
     )
+    own = known.withColumns({"_limit": F.lit(None).cast("bigint"), "_own": F.lit(True)})
     return (
-        spread.groupBy(keys.order, F.col("_choice").alias(keys.item))
+        own.unionByName(offers, allowMissingColumns=True)
+        .groupBy(keys.order, keys.item)
         .agg(
-            *[F.max(F.when(F.col("_own"), F.col(c))).alias(c) for c in measures],
+            *[F.max(c).alias(c) for c in measures],
             F.max("_limit").alias("_limit"),
             F.max("_own").alias("_own"),
         )
@@ -143,8 +134,7 @@ def remove_choices(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVER
 
 def items_of_orders(items: DataFrame, orders: DataFrame, order: str = "InvoiceNo") -> DataFrame:
     """Lines whose order was kept (order key only)."""
-    kept = orders.where(F.col(order).isNotNull()).select(order).distinct()
-    return items.join(kept, order, "left_semi")
+    return items.join(orders.where(F.col(order).isNotNull()).select(order), order, "left_semi")
 
 
 # -- one aggregate each, on cleaned or raw item lines -----------------------
@@ -276,8 +266,9 @@ def encoded_item_features(
 
     1. Lines fold to one row per (order, item). The fold runs before the
        shuffle, so one huge order or one hot item arrives as few rows.
-    2. Pairs are hashed on the order, get their choice limits and labels there,
-       and fold to one row per order on the same hash.
+    2. Pairs get their choice limits in an aggregate on (order, item) and their
+       labels by a join on the item.
+    3. Pairs fold to one row per order, again combining before the shuffle.
 
     All buffers are fixed-width numbers and bitsets. The separate operators
     above compute the same columns one at a time.

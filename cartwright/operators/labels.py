@@ -21,7 +21,6 @@ from cartwright import names as N
 from cartwright.functions.scalars import normalize_label
 
 WORD_BITS = 63
-MAX_LABELS = 5_000
 
 
 @dataclass(frozen=True)
@@ -37,6 +36,10 @@ class LabelSet:
         """Output flag columns, sorted, one per distinct non-empty name."""
         return [self.prefix + n for n in sorted({n for n in self.normalized if n})]
 
+    def united(self, other: "LabelSet") -> "LabelSet":
+        names = dict(zip(self.raw + other.raw, self.normalized + other.normalized))
+        return LabelSet(self.prefix, tuple(sorted(names)), tuple(names[r] for r in sorted(names)))
+
     @property
     def words(self) -> int:
         return max(1, -(-len(self.raw) // WORD_BITS))
@@ -100,17 +103,14 @@ def sql_text(value: str) -> str:
 
 
 def label_set(df: DataFrame, label: Column, prefix: str) -> LabelSet:
-    """Read the vocabulary of a dimension column (bounded, checked collect)."""
+    """Read the vocabulary of a label column: as many rows as the outputs get flag columns."""
     rows = (
         df.select(label.alias("raw"))
         .where(F.col("raw").isNotNull())
         .distinct()
         .select("raw", normalize_label(F.col("raw")).alias("name"))
-        .limit(MAX_LABELS + 1)
         .collect()
     )
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels for {prefix}*; not a category dimension")
     pairs = sorted((r["raw"], r["name"]) for r in rows)
     return LabelSet(prefix, tuple(p[0] for p in pairs), tuple(p[1] for p in pairs))
 
@@ -134,6 +134,11 @@ class Catalog:
             base=label_set(categories.where(base != exclude), base, N.BASE_PREFIX),
         )
 
+    def covering(self, frames: Iterable[DataFrame]) -> "Catalog":
+        """This catalog and every label that written order features hold, should the dimension have changed since."""
+        held = Catalog.from_order_features(frames)
+        return Catalog(self.dri.united(held.dri), self.base.united(held.base))
+
     @staticmethod
     def from_order_features(frames: Iterable[DataFrame]) -> "Catalog":
         """Vocabularies from already written order features."""

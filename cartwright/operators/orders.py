@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright import names as N
 from cartwright.functions import scalars as X
@@ -30,22 +31,26 @@ def local_window(
 ) -> DataFrame:
     """Keep [run - months, run) of the first column, then localize all of them.
 
-    The bounds are moved to UTC instead of the column, so the predicate stays
-    on the stored value.
+    The bounds are moved instead of the column, so the predicate stays on the
+    stored value and reaches the scan: UTC wall clocks for a column without
+    zone, instants for a TIMESTAMP.
     """
-    start, end = X.window_bounds(run_date, months, zone)
-    placed = X.utc_clock(F.col(columns[0]), _type_of(df, columns[0]))
+    dtype = _type_of(df, columns[0])
+    if isinstance(dtype, T.TimestampType):
+        placed, (start, end) = F.col(columns[0]), X.window_instants(run_date, months, zone)
+    else:
+        placed, (start, end) = X.utc_clock(F.col(columns[0]), dtype), X.window_bounds(run_date, months, zone)
     return localize(df.where((placed >= start) & (placed < end)), columns, zone)
 
 
 def store_window(
     df: DataFrame, column: str, run_date: date, months: int, test_store: int | None
 ) -> DataFrame:
-    """The same window on a local clock, without the test store."""
+    """The same window on a local clock, without the test store; a missing store is kept."""
     start, end = X.window_bounds(run_date, months)
     ts = F.col(column)
     kept = df.where((ts >= start) & (ts < end))
-    return kept if test_store is None else kept.where(F.col("StoreCode") != test_store)
+    return kept if test_store is None else kept.where(~F.col("StoreCode").eqNullSafe(F.lit(test_store)))
 
 
 def since_cutoff(df: DataFrame, cutoff: date, column: str = "order_placed_datetime") -> DataFrame:

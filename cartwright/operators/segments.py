@@ -93,8 +93,7 @@ def rename_features(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     """Strip the ``omnichannel_`` prefix, then apply the rename map."""
     new = []
     for c in df.columns:
-        short = c.replace("omnichannel_", "") if c.startswith("omnichannel_") else c
-        new.append(F.col(f"`{c}`").alias(renames.get(short, short)))
+        new.append(F.col(f"`{c}`").alias(N.feature_name(c, renames)))
     return df.select(*new)
 
 
@@ -116,7 +115,7 @@ def with_segment(base: DataFrame, flags: Sequence[str], renames: Mapping[str, st
 
 def band(df: DataFrame, name: str) -> DataFrame:
     if name not in BANDS:
-        raise ValueError(f"Unknown band: {name}")
+        raise ValueError(f"{name!r} is no band; bands are {', '.join(BANDS)}")
     return df.where(BANDS[name])
 
 

@@ -74,6 +74,8 @@ def delivery_order_features(
     mapped = windowed_customer_orders(orders, dims, window)
     flagged = O.flag_complaints(mapped, complaints)
     base = O.delivery_base(O.store_details(flagged, dims.store_map, dims.store_master))
+    if customers is not None:  # most orders are not wanted, so their lines are dropped first
+        items = I.items_of_orders(items, mapped.withColumnRenamed("id", I.DELIVERY.order), I.DELIVERY.order)
     encoded = I.encoded_item_features(
         items, dims.categories, dims.combos, dims.catalog, I.DELIVERY, dims.bins
     )
@@ -91,7 +93,7 @@ def instore_order_features(
 ) -> DataFrame:
     """In-store orders, limited to ``customers`` of the own app where given.
 
-    Lines are limited to kept invoices by the final left join on the invoice.
+    Lines are limited to kept invoices before they are folded.
     """
     dims = _only_customers(dims, customers)
     bounds = (window.run_date, window.months, window.test_store)
@@ -99,9 +101,9 @@ def instore_order_features(
     mapped = O.map_customers_instore(recent, dims.customer_map)
     known = mapped.where(F.col(N.CUSTOMER_ID).isNotNull())
     base = O.instore_base(O.store_details_instore(known, dims.store_master))
+    lines = I.items_of_orders(O.store_window(items, "OrderDatetime", *bounds), known)
     encoded = I.encoded_item_features(
-        O.store_window(items, "OrderDatetime", *bounds),
-        dims.categories, dims.combos, dims.catalog, I.IN_STORE, dims.bins,
+        lines, dims.categories, dims.combos, dims.catalog, I.IN_STORE, dims.bins
     )
     joined = base.join(encoded, N.ORDER_ID, "left")
     return O.add_order_clock(I.decode_item_features(joined, dims.catalog, dims.buckets))

@@ -83,11 +83,11 @@ def read_order_features(spark: SparkSession, path: str, cutoff: date) -> DataFra
 def run_customers(spark: SparkSession, cfg: FeatureConfig, dims: P.Dimensions | None = None) -> str:
     dims = dims or dimensions(spark, cfg)
     read = lambda path: read_order_features(spark, path, cfg.cutoff)
+    channels = [read(p) for p in (
+        cfg.delivery[N.OWNAPP].output_path, cfg.delivery[N.SWIGGY].output_path, cfg.instore.output_path)]
+    # the order features may be older than the dimension: count every label that they hold
     features = customer_features(
-        read(cfg.delivery[N.OWNAPP].output_path),
-        read(cfg.delivery[N.SWIGGY].output_path),
-        read(cfg.instore.output_path),
-        dims.catalog, cfg.cutoff, cfg.reference, cfg.buckets,
+        *channels, dims.catalog.covering(channels), cfg.cutoff, cfg.reference, cfg.buckets,
     )
     write_features(features, cfg.customer_output_path)
     log.info("customer features written to %s", cfg.customer_output_path)

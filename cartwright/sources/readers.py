@@ -1,12 +1,15 @@
 """Readers of the input tables.
 
-CSV columns are picked by header name and cast to declared types, so no file
-is scanned for schema inference and column order does not matter.
+CSV columns are picked by the header name of each file and cast to declared
+types, so no file is scanned for schema inference and the order of columns may
+differ between files. A declared column that a header lacks is an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +55,39 @@ def _cast(name: str, kind: str) -> Column:
     return out.alias(name)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
-    text = spark.read.csv(path, header=True)
-    have = set(text.columns)
-    return text.select(*[_cast(n, k) for n, k in columns.items() if n in have])
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    columns: Mapping[str, str],
+    optional: Sequence[str] = (),
+    multi_line: bool = False,
+) -> DataFrame:
+    """Declared columns of all files under ``path``.
+
+    Files are grouped by header, and each group is read with its own; Spark checks every
+    file of a group against it. Columns in ``optional`` that no file has are left out, and are
+    NULL where only some have them. ``multi_line`` allows line breaks in quotes, at the
+    price of one task per file.
+    """
+    options = {"header": True, "multiLine": multi_line}
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda f: tuple(spark.read.csv(f, **options).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files):
+        if header:  # an empty file has neither header nor rows
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        raise ValueError(f"no CSV header found in {path}")
+    parts = []
+    for header, group in groups.items():
+        absent = [n for n in columns if n not in header and n not in optional]
+        if absent:
+            raise ValueError(f"{group[0]} has no column {absent}; its header is {list(header)}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
+        text = spark.read.schema(schema).csv(group, enforceSchema=False, **options)
+        parts.append(text.select(*[_cast(n, k) for n, k in columns.items() if n in header]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

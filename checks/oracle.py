@@ -114,10 +114,12 @@ SELECT li.*, trim(base_label) AS base, dri_label AS dri FROM li JOIN cat USING (
 WHERE NOT promo_item AND dri_label IS NOT NULL AND (base_label IS NULL OR trim(base_label) <> 'Exclude')""")
 
 # cleaned lines of the order features: choice pairs removed, promo only where known
-cte("kept", "li", "cat", "mix_removed", sql="""
+PAYABLE = {"dlv": "NOT promo_item", "ins": "true", "mix": "(instore OR NOT promo_item)"}
+for form, payable in PAYABLE.items():
+    cte(f"{form}_kept", "li", "cat", f"{form}_removed", sql=f"""
 SELECT li.*, trim(base_label) AS base, dri_label AS dri FROM li JOIN cat USING (item_id_id)
-WHERE (instore OR NOT promo_item) AND dri_label IS NOT NULL AND (base_label IS NULL OR trim(base_label) <> 'Exclude')
-  AND NOT EXISTS (SELECT 1 FROM mix_removed m WHERE m.sales_id = li.sales_id AND m.item_id_id = li.item_id_id)""")
+WHERE {payable} AND dri_label IS NOT NULL AND (base_label IS NULL OR trim(base_label) <> 'Exclude')
+  AND NOT EXISTS (SELECT 1 FROM {form}_removed m WHERE m.sales_id = li.sales_id AND m.item_id_id = li.item_id_id)""")
 
 
 def presence(values: dict[str, str], column: str) -> str:
@@ -137,10 +139,11 @@ def label_list(column: str) -> str:
     return f"coalesce(list_sort(list_distinct(list({column}) FILTER (WHERE {column} IS NOT NULL))), [])"
 
 
-cte("kept_order", "kept", sql=f"""
+for form in PAYABLE:
+    cte(f"{form}_kept_order", f"{form}_kept", sql=f"""
 SELECT sales_id, {bucket_presence()}, {presence(TYPE_COLS, 'dri')}, {presence(BASE_COLS, 'base')},
   {label_list('dri')} AS {N.DRI_LIST}, {label_list('base')} AS {N.BASE_LIST}
-FROM kept GROUP BY sales_id""")
+FROM {form}_kept GROUP BY sales_id""")
 
 cte("raw_order", "li", sql="""
 SELECT sales_id, bool_or(is_customized) AS customization_flag, CAST(min(CAST(is_veg AS INTEGER)) AS INTEGER) AS veg_indicator,
@@ -151,16 +154,23 @@ FROM li GROUP BY sales_id""")
 cte("users", "o", sql=f"SELECT DISTINCT cust FROM o WHERE channel = 'ownapp' AND cust IS NOT NULL AND {WINDOW}")
 
 FLAG_COLS = [*BUCKET_COLS, *CATEGORY_COLS]
-cte("feat", "o", "users", "raw_order", "kept_order", "store", sql=f"""
+# mix: each order in the form of its channel; dlv, agg and ins: every order in that form
+FORMS = {
+    "feat": ("mix", """(o.channel = 'ownapp' OR o.cust IN (SELECT cust FROM users))
+  AND (o.channel <> 'instore' OR o.store_id <> 13)"""),
+    "dlv_feat": ("dlv", "true"),
+    "agg_feat": ("dlv", "o.cust IN (SELECT cust FROM users)"),
+    "ins_feat": ("ins", "o.cust IN (SELECT cust FROM users) AND o.store_id <> 13"),
+}
+for feature_set, (form, wanted) in FORMS.items():
+    cte(feature_set, "o", "users", "raw_order", f"{form}_kept_order", "store", sql=f"""
 SELECT o.*, {daypart('placed')} AS order_time_of_day, {weekend('placed')} AS is_weekend,
   r.customization_flag, r.veg_indicator, r.item_count, r.veg_count, coalesce(r.promo_items, 0) AS promo_items,
   {', '.join('k.' + q(c) for c in FLAG_COLS)}, k.{N.DRI_LIST}, k.{N.BASE_LIST},
   s.store_type, s.generator, s.city
-FROM o LEFT JOIN raw_order r ON r.sales_id = o.id LEFT JOIN kept_order k ON k.sales_id = o.id
+FROM o LEFT JOIN raw_order r ON r.sales_id = o.id LEFT JOIN {form}_kept_order k ON k.sales_id = o.id
 LEFT JOIN store s ON s.code = o.store_id
-WHERE o.cust IS NOT NULL AND {WINDOW}
-  AND (o.channel = 'ownapp' OR o.cust IN (SELECT cust FROM users))
-  AND (o.channel <> 'instore' OR o.store_id <> 13)""")
+WHERE o.cust IS NOT NULL AND {WINDOW} AND {wanted}""")
 
 # unified orders of the customer stage
 cte("u", "feat", sql=f"""
@@ -386,13 +396,13 @@ cte("dist", "vec", sql=f"SELECT * EXCLUDE (v), {DIST} AS d FROM vec")
 cte("micro", "dist", sql=f"SELECT * EXCLUDE (d, plan), {label('d')} AS microcluster, plan AS Segment FROM dist")
 
 
-def order_feature_columns(instore: bool) -> str:
+def order_feature_columns(instore: bool, has_query: str = "has_query") -> str:
     tail = f"""{', '.join(q(c) for c in FLAG_COLS)}, {N.DRI_LIST}, {N.BASE_LIST}, order_time_of_day, is_weekend"""
     if instore:
         return f"""id AS order_id, placed AS order_placed_datetime, placed AS BussTime, store_id AS StoreCode, total_price,
   discounted_price, total_price AS BaseAmount, platform AS TransType, cust AS algonomy_id, status_id AS SaleType,
   store_type, generator AS store_generator_new, city AS store_geographical_city, city AS store_key_city, item_count, {tail}"""
-    return f"""{delivery_base("channel = 'ownapp' AND has_query")}, customization_flag, veg_indicator, item_count, veg_count,
+    return f"""{delivery_base(has_query)}, customization_flag, veg_indicator, item_count, veg_count,
   CAST(promo_items AS BIGINT) AS promo_items, {tail}"""
 
 
@@ -416,6 +426,12 @@ query("scan_order_items", sql="""SELECT l_orderkey, CAST(l_partkey AS VARCHAR) A
   l_returnflag, l_linestatus FROM lineitem""")
 query("scan_instore_csv", "o", sql="""SELECT id AS InvoiceNo, placed AS BussTime, CAST(store_id AS BIGINT) AS StoreCode,
   total_price AS GrossAmount, discounted_price AS Discount, total_price AS BaseAmount, platform AS TransType, status_id AS SaleType FROM o""")
+query("scan_instore_items_csv", "o", "li", sql="""SELECT sales_id AS InvoiceNo, placed AS OrderDatetime, CAST(store_id AS BIGINT) AS StoreCode,
+  'P' || item_id_id AS ProductCode, CAST(quantity AS BIGINT) AS quantity, original_price AS PriceNet FROM li JOIN o ON o.id = sales_id""")
+query("scan_dimensions_csv", "cat", "combo", sql="""SELECT 'categories' AS dimension, item_id_id AS a, ProductCode AS b,
+  trim(base_label) AS c, dri_label AS d FROM cat
+  UNION ALL SELECT 'combos', h, c, 'P' || h, 'P' || c FROM combo""")
+query("scan_complaints", "o", sql="SELECT id AS order_id FROM o WHERE has_query")
 query("sink_order_features", "o", sql=f"""SELECT id AS order_id, cust AS algonomy_id, placed AS order_placed_datetime, total_price,
   {daypart('placed')} AS order_time_of_day, {weekend('placed')} AS is_weekend, strftime(placed, '%Y-%m') AS order_month
   FROM o WHERE cust IS NOT NULL AND {WINDOW}""")
@@ -423,6 +439,9 @@ query("filter_date_window", "o", sql=f"""SELECT id, placed AS order_placed_datet
   placed AS schedule_datetime FROM o WHERE {WINDOW}""")
 query("filter_exclude_store_window", "o", sql=f"""SELECT id AS InvoiceNo, placed AS BussTime, store_id AS StoreCode
   FROM o WHERE {WINDOW} AND store_id <> 13""")
+query("filter_window_missing_store", "o", sql=f"""SELECT id AS InvoiceNo, placed AS BussTime,
+  CASE WHEN id % 7 <> 0 THEN store_id END AS StoreCode
+  FROM o WHERE {WINDOW} AND (id % 7 = 0 OR store_id <> 13)""")
 query("filter_unmapped_excluded", "li", "cat", sql="""SELECT sales_id, item_id_id, quantity, trim(base_label) AS base_label, dri_label
   FROM li JOIN cat USING (item_id_id) WHERE dri_label IS NOT NULL AND coalesce(trim(base_label), '') <> 'Exclude'""")
 query("filter_promo_items", "li", sql="SELECT sales_id, item_id_id, quantity, promo_item FROM li WHERE NOT promo_item")
@@ -448,7 +467,7 @@ query("flag_orders_with_queries", "o", sql="SELECT id, has_query FROM o")
 query("join_item_categories", "li", "cat", sql="""SELECT sales_id, item_id_id, quantity, ProductCode, base_label, dri_label
   FROM li LEFT JOIN cat USING (item_id_id)""")
 query("semi_items_in_orders", "o", "li", sql=f"""SELECT sales_id AS InvoiceNo, 'P' || item_id_id AS ProductCode, quantity, original_price AS PriceNet
-  FROM li WHERE sales_id IN (SELECT id FROM o WHERE channel = 'instore' AND store_id <> 13 AND {WINDOW})""")
+  FROM li WHERE sales_id IN (SELECT id FROM o WHERE store_id <> 13 AND {WINDOW})""")
 query("choice_counts", "dlv_pair", sql="SELECT sales_id, item_id_id, choice_count, order_quantity FROM dlv_pair")
 query("remove_choice_items", "dlv_removed", "li", sql="""SELECT sales_id, item_id_id, quantity, original_price
   FROM li ANTI JOIN dlv_removed USING (sales_id, item_id_id) WHERE NOT promo_item""")
@@ -464,8 +483,9 @@ query("unique_dri_in_order", "clean", sql=f"""SELECT sales_id AS order_id, {labe
   FROM clean WHERE dri IS NOT NULL GROUP BY sales_id""")
 query("unique_base_in_order", "clean", sql=f"""SELECT sales_id AS order_id, {label_list('base')} AS {N.BASE_LIST}
   FROM clean WHERE base IS NOT NULL GROUP BY sales_id""")
-query("order_features", "feat", sql=f"SELECT {order_feature_columns(False)} FROM feat WHERE channel <> 'instore'")
-query("order_features_instore", "feat", sql=f"SELECT {order_feature_columns(True)} FROM feat WHERE channel = 'instore'")
+query("order_features", "dlv_feat", sql=f"SELECT {order_feature_columns(False)} FROM dlv_feat")
+query("order_features_aggregator", "agg_feat", sql=f"SELECT {order_feature_columns(False, 'false')} FROM agg_feat")
+query("order_features_instore", "ins_feat", sql=f"SELECT {order_feature_columns(True)} FROM ins_feat")
 query("union_channels", "u", sql=f"""SELECT cust AS algonomy_id, id AS order_id, placed AS order_placed_datetime,
   CASE WHEN channel = 'ownapp' THEN delivered END AS order_delivery_datetime, total_price, discounted_price, price_without_taxes,
   order_time_of_day, is_weekend, coalesce({N.DRI_LIST}, []) AS {N.DRI_LIST}, coalesce({N.BASE_LIST}, []) AS {N.BASE_LIST},
@@ -473,6 +493,7 @@ query("union_channels", "u", sql=f"""SELECT cust AS algonomy_id, id AS order_id,
 query("avg_discount_pct", "agg", sql=f"SELECT algonomy_id, {PCT} FROM agg")
 query("unique_base_per_customer", "agg", sql=f"SELECT algonomy_id, {N.BASE_LIST}, {BASE_COUNT} FROM agg")
 query("unique_dri_per_customer", "agg", sql=f"SELECT algonomy_id, {N.DRI_LIST}, {DRI_COUNT} FROM agg")
+query("unique_labels_after_dimension_change", "agg", sql=f"SELECT algonomy_id, {N.DRI_LIST}, {DRI_COUNT} FROM agg")
 query("customer_order_metrics", "agg", sql=f"SELECT algonomy_id, {ORDER_COUNTS}, {WEEK}, {MEANS}, {TIMES} FROM agg")
 query("channel_label", "agg", sql=f"SELECT algonomy_id, {LABEL} FROM agg")
 query("channel_count", "agg", sql=f"SELECT algonomy_id, {WEEK}, {CHANNEL_COUNT} FROM agg")

@@ -16,6 +16,7 @@ from cartwright.operators import items as I
 from cartwright.operators import metrics as Q
 from cartwright.operators import orders as O
 from cartwright.operators import segments as S
+from cartwright.operators.labels import Catalog
 from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
 from cartwright.plans.customer_features import customer_features
@@ -51,10 +52,40 @@ def scan_order_items(st: Stage) -> DataFrame:
     return lines.withColumn("l_partkey", X.text_key(F.col("l_partkey")))
 
 
+def _two_orders_csv(st: Stage, df: DataFrame, key: str) -> str:
+    """CSV files of two parts with their columns in opposite order; a pattern for both."""
+    path = shared_dir(st.spark, "csv")
+    df.where(F.col(key) % 2 == 0).write.csv(f"{path}/a", header=True)
+    df.where(F.col(key) % 2 != 0).select(*df.columns[::-1]).write.csv(f"{path}/b", header=True)
+    return f"{path}/*/*.csv"
+
+
 def scan_instore_csv(st: Stage) -> DataFrame:
-    path = shared_dir(st.spark, "instore-csv")
-    st.all_as_instore_orders.write.csv(path, header=True)
-    return R.read_instore_orders(st.spark, f"{path}/*.csv")
+    return R.read_instore_orders(st.spark, _two_orders_csv(st, st.all_as_instore_orders, "InvoiceNo"))
+
+
+def scan_instore_items_csv(st: Stage) -> DataFrame:
+    items = st.all_as_instore_items.withColumnRenamed("quantity", "Qty")
+    return R.read_instore_items(st.spark, _two_orders_csv(st, items, "InvoiceNo"))
+
+
+def scan_dimensions_csv(st: Stage) -> DataFrame:
+    path = shared_dir(st.spark, "dimensions")
+    st.categories.write.csv(f"{path}/categories", header=True)
+    st.combos.write.csv(f"{path}/combos", header=True)
+    categories = R.read_csv(st.spark, f"{path}/categories/*.csv", R.CATEGORIES)
+    combos = R.read_csv(st.spark, f"{path}/combos/*.csv", R.COMBO_MASTER)
+    left = categories.select(
+        F.lit("categories").alias("dimension"), F.col("item_id_id").alias("a"), F.col("ProductCode").alias("b"),
+        F.trim(N.BASE_LABEL).alias("c"), F.col(N.DRI_LABEL).alias("d"))
+    return left.union(combos.select(
+        F.lit("combos"), "header_item_id_id", "choice_item_id_id", "HeaderItemId", "ChoiceItemId"))
+
+
+def scan_complaints(st: Stage) -> DataFrame:
+    path = shared_dir(st.spark, "complaints")
+    st.complaints.write.parquet(path)
+    return R.read_complaints(st.spark, path)
 
 
 def sink_order_features(st: Stage) -> DataFrame:
@@ -82,6 +113,13 @@ def filter_exclude_store_window(st: Stage) -> DataFrame:
     return out.select("InvoiceNo", "BussTime", "StoreCode")
 
 
+def filter_window_missing_store(st: Stage) -> DataFrame:
+    """Every seventh order without a store: those stay, whatever the test store."""
+    orders = st.all_as_instore_orders.withColumn("StoreCode", F.when(F.col("InvoiceNo") % 7 != 0, F.col("StoreCode")))
+    out = O.store_window(orders, "BussTime", WINDOW.run_date, WINDOW.months, WINDOW.test_store)
+    return out.select("InvoiceNo", "BussTime", "StoreCode")
+
+
 def _categorized(st: Stage) -> DataFrame:
     return I.map_categories(st.all_items, st.categories)
 
@@ -174,7 +212,7 @@ def join_item_categories(st: Stage) -> DataFrame:
 
 def semi_items_in_orders(st: Stage) -> DataFrame:
     orders = O.store_window(
-        st.instore_orders, "BussTime", WINDOW.run_date, WINDOW.months, WINDOW.test_store
+        st.all_as_instore_orders, "BussTime", WINDOW.run_date, WINDOW.months, WINDOW.test_store
     )
     kept = I.items_of_orders(st.all_as_instore_items, orders)
     return kept.select("InvoiceNo", "ProductCode", "quantity", "PriceNet")
@@ -255,11 +293,18 @@ def _instore(st: Stage, users: DataFrame | None) -> DataFrame:
 
 
 def order_features(st: Stage) -> DataFrame:
-    return _ownapp(st).unionByName(_swiggy(st, _users(st)))
+    """Own-app form of every order."""
+    return P.delivery_order_features(st.all_orders, st.all_items, st.dims, WINDOW, st.complaints)
+
+
+def order_features_aggregator(st: Stage) -> DataFrame:
+    """Aggregator form of every order: customers of the own app only, no complaints."""
+    return P.delivery_order_features(st.all_orders, st.all_items, st.dims, WINDOW, None, _users(st))
 
 
 def order_features_instore(st: Stage) -> DataFrame:
-    return _instore(st, _users(st))
+    """In-store form of every order."""
+    return P.instore_order_features(st.all_as_instore_orders, st.all_as_instore_items, st.dims, WINDOW, _users(st))
 
 
 # -- customer features ------------------------------------------------------
@@ -296,6 +341,17 @@ def unique_dri_per_customer(st: Stage) -> DataFrame:
         N.DRI_LIST, st.catalog.dri, "unique_dri_category_count"))
 
 
+def unique_labels_after_dimension_change(st: Stage) -> DataFrame:
+    """The dimension has lost half of its categories since the order features were written."""
+    channels = [_ownapp(st), _swiggy(st, None), _instore(st, None)]
+    lists = shared_dir(st.spark, "label-lists")
+    reduce(DataFrame.unionByName, [c.select(N.DRI_LIST, N.BASE_LIST) for c in channels]).write.parquet(lists)
+    fewer = Catalog.from_categories(st.categories.where(F.col(N.DRI_LABEL) < "M"))
+    catalog = fewer.covering([st.spark.read.parquet(lists)])
+    group = C.unique_label_metrics(N.DRI_LIST, catalog.dri, "unique_dri_category_count")
+    return customer_features(*channels, catalog, CUTOFF, REFERENCE, groups=(group,))
+
+
 def _metrics(st: Stage) -> DataFrame:
     return _customers(st, C.order_metrics(REFERENCE))
 
@@ -510,16 +566,17 @@ def quality_counters(st: Stage) -> DataFrame:
 QUERIES: dict[str, Callable[[Stage], DataFrame]] = {
     f.__name__: f
     for f in (
-        scan_orders, scan_order_items, scan_instore_csv, sink_order_features,
-        filter_date_window, filter_exclude_store_window, filter_unmapped_excluded,
+        scan_orders, scan_order_items, scan_instore_csv, scan_instore_items_csv, scan_dimensions_csv,
+        scan_complaints, sink_order_features,
+        filter_date_window, filter_exclude_store_window, filter_window_missing_store, filter_unmapped_excluded,
         filter_promo_items, filter_cutoff_window, project_base_features, project_instore_base,
         price_without_taxes, normalize_keys, join_customer_map, join_customer_map_composite,
         semi_ownapp_customers, join_store_details, flag_orders_with_queries, join_item_categories,
         semi_items_in_orders, choice_counts, remove_choice_items, remove_choice_items_instore,
         price_bucket_presence, dri_category_presence, base_category_presence, order_item_stats,
         instore_item_count, promo_items, unique_dri_in_order, unique_base_in_order,
-        order_features, order_features_instore, union_channels, avg_discount_pct,
-        unique_base_per_customer, unique_dri_per_customer, customer_order_metrics, channel_label,
+        order_features, order_features_aggregator, order_features_instore, union_channels, avg_discount_pct,
+        unique_base_per_customer, unique_dri_per_customer, unique_labels_after_dimension_change, customer_order_metrics, channel_label,
         channel_count, recency_tenure, daypart_counts, daypart_combos, price_bucket_orders,
         category_orders, avg_delivery_minutes, localize_timestamps, order_time_of_day, is_weekend,
         price_bucket, normalize_category, ensure_list, create_flags, rename_features,

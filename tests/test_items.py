@@ -181,8 +181,34 @@ def test_labels_with_quotes(spark):
     assert got == [0, 1, None]
 
 
-def test_vocabulary_size_is_checked(spark, monkeypatch):
-    from cartwright.operators import labels
-    monkeypatch.setattr(labels, "MAX_LABELS", 3)
-    with pytest.raises(ValueError):
-        label_set(spark.range(4).select(F.col("id").cast("string").alias("l")), F.col("l"), "x_")
+def test_a_vocabulary_may_be_large(spark):
+    labels = label_set(spark.range(6000).select(F.format_string("l%04d", "id").alias("l")), F.col("l"), "x_")
+    assert len(labels.raw) == 6000 and labels.columns[-1] == "x_l5999"
+
+
+def test_catalog_covers_written_labels(spark):
+    """Labels that the dimension has lost since count like the others."""
+    from cartwright import names as N
+    from cartwright.operators.labels import Catalog
+
+    orders = spark.createDataFrame([(["a", "new"], ["b"])], f"{N.DRI_LIST} array<string>, {N.BASE_LIST} array<string>")
+    catalog = Catalog(LabelSet(N.DRI_PREFIX, ("a", "z"), ("a", "z")), LabelSet(N.BASE_PREFIX, (), ())).covering([orders])
+    assert catalog.dri.raw == ("a", "new", "z") and catalog.base.raw == ("b",)
+    words = orders.select(catalog.dri.word_of_array(N.DRI_LIST, 0).alias("w"))
+    assert words.select(catalog.dri.count(["w"])).first()[0] == 2
+
+
+def test_limits_of_a_hot_order(spark):
+    """Choice limits of an order with all items come from a join and an aggregate on (order, item)."""
+    from cartwright.operators.items import DELIVERY, with_limits
+
+    pairs = spark.range(300).select(F.lit(1).alias("sales_id"), F.col("id").cast("string").alias("item_id_id"), F.lit(2).alias("_qty"))
+    combos = spark.range(300).select(
+        F.col("id").cast("string").alias("header_item_id_id"), ((F.col("id") + 1) % 300).cast("string").alias("choice_item_id_id"),
+        (F.col("id") % 5).alias("Qty")).union(spark.createDataFrame([("7", "8", 99), (None, "9", 50), ("400", "9", 50)], "a string, b string, c long"))
+    out = with_limits(pairs, combos, F.lit(True), DELIVERY)
+    got = {r["item_id_id"]: r["_limit"] for r in out.collect()}
+    want = {str((i + 1) % 300): i % 5 for i in range(300)} | {"8": 99}
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "REPARTITION_BY_COL" not in plan

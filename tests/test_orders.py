@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwright import names as N
@@ -98,3 +99,60 @@ def test_order_clock(spark):
     assert (row["order_time_of_day"], row["is_weekend"]) == ("Lunch", 1)
     assert O.since_cutoff(df, date(2025, 1, 4)).count() == 1
     assert O.since_cutoff(df, date(2025, 1, 5)).count() == 0
+
+
+def test_a_missing_store_is_kept(spark):
+    df = spark.createDataFrame([(1, 13), (2, None), (3, 4)], "id long, StoreCode long").withColumn(
+        "BussTime", F.lit("2024-01-10 10:00:00").cast("timestamp_ntz"))
+    kept = O.store_window(df, "BussTime", date(2024, 2, 1), 1, 13)
+    assert sorted(r["id"] for r in kept.collect()) == [2, 3]
+
+
+def test_window_of_instants_reaches_the_scan(spark, tmp_path):
+    """Both bounds are pushed for TIMESTAMP, and mean local midnights in any session zone."""
+    zone, path = "Asia/Kolkata", str(tmp_path / "t")
+    stamps = ["2023-12-31 18:29:59", "2023-12-31 18:30:00", "2024-01-31 18:29:59", "2024-01-31 18:30:00"]
+    spark.createDataFrame([(s,) for s in stamps], "s string").select(
+        F.col("s"), F.col("s").cast("timestamp").alias("placed")).write.parquet(path)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            out = O.local_window(spark.read.parquet(path), ["placed"], date(2024, 2, 1), 1, zone)
+            assert sorted(r["s"] for r in out.collect()) == stamps[1:3]
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            pushed = plan[plan.index("PushedFilters"):].split("]")[0]
+            assert "GreaterThanOrEqual(placed" in pushed and "LessThan(placed" in pushed
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_csv_by_name(spark, tmp_path):
+    """Files may order their columns differently; a missing column is an error; an optional one is NULL."""
+    from cartwright.sources.readers import read_csv
+
+    (tmp_path / "a.csv").write_text("InvoiceNo,StoreCode,Note\n1,7,x\n")
+    (tmp_path / "b.csv").write_text('StoreCode,Note,InvoiceNo\n8,"two\nlines",2\n')
+    columns = {"InvoiceNo": "long", "StoreCode": "long", "Note": "raw"}
+    got = read_csv(spark, f"{tmp_path}/*.csv", columns, multi_line=True)
+    assert sorted(map(tuple, got.collect())) == [(1, 7, "x"), (2, 8, "two\nlines")]
+    (tmp_path / "c.csv").write_text("InvoiceNo,StoreCode\n3,9\n")
+    with pytest.raises(ValueError, match="Note"):
+        read_csv(spark, f"{tmp_path}/*.csv", columns)
+    some = read_csv(spark, f"{tmp_path}/*.csv", columns, optional=["Note"], multi_line=True)
+    assert sorted((r["InvoiceNo"], r["Note"]) for r in some.collect()) == [(1, "x"), (2, "two\nlines"), (3, None)]
+
+
+def test_lines_are_restricted_before_the_fold(spark):
+    """The semi-join with kept invoices stands below the aggregate over (order, item)."""
+    from checks.staging import WINDOW, Stage
+    from cartwright.plans import order_features as P
+
+    st = Stage(spark, "/root/testdata/sf0.001")
+    users = P.ownapp_customers(st.delivery_orders("ownapp"), st.dims, WINDOW)
+    out = P.instore_order_features(st.all_as_instore_orders, st.all_as_instore_items, st.dims, WINDOW, users)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    fold = next(i for i, x in enumerate(plan) if "Aggregate [InvoiceNo" in x and "ProductCode" in x and "_paid_qty" in x)
+    depth = len(plan[fold]) - len(plan[fold].lstrip(" :+-"))
+    below = [x for x in plan[fold + 1:] if len(x) - len(x.lstrip(" :+-")) > depth]
+    assert any("LeftSemi" in x for x in below)

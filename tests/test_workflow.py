@@ -100,8 +100,9 @@ def test_order_outputs(spark, job):
     both = R.read_parquet(spark, fc.delivery[N.OWNAPP].output_path).unionByName(
         R.read_parquet(spark, fc.delivery[N.SWIGGY].output_path))
     assert both.count() > 500
-    same(both, Q.order_features(st))
-    same(R.read_parquet(spark, fc.instore.output_path), Q.order_features_instore(st))
+    users = Q._users(st)
+    same(both, Q._ownapp(st).unionByName(Q._swiggy(st, users)))
+    same(R.read_parquet(spark, fc.instore.output_path), Q._instore(st, users))
 
 
 def test_customer_output(spark, job):
@@ -155,7 +156,8 @@ def test_bins_must_match_labels(job):
 
 def test_reader_normalises_csv(spark, tmp_path):
     path = tmp_path / "orders.csv"
-    path.write_text("StoreCode,InvoiceNo,BussTime,GrossAmount,Extra\n7.0,123.0,2025-01-01 10:00:00,NaN,z\n8,x,bad,2.5,z\n")
+    path.write_text("StoreCode,InvoiceNo,BussTime,GrossAmount,Extra,Discount,BaseAmount,TransType,SaleType\n"
+                    "7.0,123.0,2025-01-01 10:00:00,NaN,z,1,2,a,b\n8,x,bad,2.5,z,1,2,a,b\n")
     rows = R.read_instore_orders(spark, str(path)).orderBy("StoreCode").collect()
     assert [r["InvoiceNo"] for r in rows] == [123, None]
     assert [r["GrossAmount"] for r in rows] == [None, 2.5]
