@@ -16,6 +16,10 @@ from cartwright.functions import scalars as X
 CAP_QUANTILES = (0.01, 0.99)
 CAPPED_SEGMENTS = frozenset({"Seg1_5_6", "Seg_6_15_10", "Seg15_plus_9"})
 
+# half the width, in ranks, of the bracket around a quantile; the approximation errs by a tenth of it at most
+BRACKET = 0.001
+EXACT_ROWS = 100_000
+
 MODEL_SCHEMA = T.StructType([
     T.StructField("model_key", T.StringType(), False),
     T.StructField("features", T.ArrayType(T.StringType()), False),
@@ -116,15 +120,34 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def cap_bounds(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
-    """Lower and upper quantile of each column, linear interpolation.
+    """Lower and upper quantile of each column, linear interpolation, exact.
 
-    One row per value of ``by``. The exact percentile keeps one counter per
-    distinct value; the capped columns are order counts, so that stays small
-    however many customers there are.
+    One row per value of ``by``. A first aggregate brackets each quantile with
+    approximate ones, whose buffers are bounded. The exact percentile then runs
+    over values clamped to the bracket: that leaves the order statistics inside
+    it as they are, and its map of distinct values holds the few in the bracket
+    only. Columns with up to ``EXACT_ROWS`` values are not clamped.
     """
-    q = F.array(*map(F.lit, CAP_QUANTILES))
-    aggs = [F.percentile(F.col(f"`{c}`"), q).alias(f"_cap_{i}") for i, c in enumerate(columns)]
-    return (df.groupBy(by) if by else df.groupBy()).agg(*aggs)
+    value = [F.col(f"`{c}`") for c in columns]
+    ends = F.array(*[F.lit(min(1.0, max(0.0, q + side * BRACKET))) for q in CAP_QUANTILES for side in (-1, 1)])
+    near = [x for i, v in enumerate(value) for x in (
+        F.percentile_approx(v, ends, F.lit(10_000)).alias(f"_near_{i}"), F.count(v).alias(f"_rows_{i}"))]
+    if by is None:
+        brackets = df.agg(*near).select(F.struct("*").alias("b")).scalar()
+        bracketed, of = df.withColumn("_near", brackets), lambda name: F.col(f"_near.{name}")
+    else:
+        bracketed, of = df.join(F.broadcast(df.groupBy(by).agg(*near)), by), F.col  # a row per value of ``by``
+
+    def clamped(i: int, j: int) -> Column:
+        low, high = (F.get(of(f"_near_{i}"), F.lit(2 * j + side)) for side in (0, 1))
+        inside = F.when(value[i].isNotNull(), F.least(F.greatest(value[i], low), high))
+        return F.when(of(f"_rows_{i}") > EXACT_ROWS, inside).otherwise(value[i])
+
+    aggs = [
+        F.array(*[F.percentile(clamped(i, j), F.lit(q)) for j, q in enumerate(CAP_QUANTILES)]).alias(f"_cap_{i}")
+        for i in range(len(columns))
+    ]
+    return (bracketed.groupBy(by) if by else bracketed.groupBy()).agg(*aggs)
 
 
 def cap_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -71,6 +71,12 @@ def map_customers(orders: DataFrame, customer_map: DataFrame, order_id: str = "i
     return orders.join(mapping, order_id, "inner")
 
 
+def with_customers(orders: DataFrame, customer_map: DataFrame, order_id: str = "id") -> DataFrame:
+    """Every order with its customer id, NULL where the map has none (for counting)."""
+    mapping = customer_map.select(F.col("invoice_no").alias(order_id), F.col("customer_code_ty").alias(N.CUSTOMER_ID))
+    return orders.select(order_id).join(mapping, order_id, "left")
+
+
 def map_customers_instore(orders: DataFrame, customer_map: DataFrame) -> DataFrame:
     """Attach the customer id by invoice, business date and store (left join)."""
     mapping = customer_map.select(

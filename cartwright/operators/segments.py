@@ -161,6 +161,9 @@ def assign_segments(flagged: DataFrame) -> DataFrame:
     return first.select(N.CUSTOMER_ID, rank_to_segment(F.col("_rank")).alias("Segment"))
 
 
+SUMMARY = ("Customer Count", "Total Orders", "Avg Orders per Customer")
+
+
 def segment_summary(flagged: DataFrame, bands: Sequence[str] = tuple(BANDS)) -> DataFrame:
     """Customers, orders and mean orders per segment, also for empty segments."""
     listed = [F.lit(name) for b, name, _ in rule_list() if b in bands]

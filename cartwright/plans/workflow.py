@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from cartwright import names as N
 from cartwright.config import FeatureConfig, SegmentConfig
 from cartwright.operators import centroids as M
+from cartwright.operators import metrics as Q
+from cartwright.operators import orders as O
+from cartwright.operators import segments as S
 from cartwright.operators.labels import Catalog
 from cartwright.operators.orders import customer_ids
 from cartwright.plans import order_features as P
@@ -24,6 +27,9 @@ from cartwright.plans.customer_features import customer_features
 from cartwright.sources import readers as R
 from cartwright.sources.sinks import write_features
 
+# written next to the outputs they describe
+COUNTERS, SUMMARY = "_counters", "_summary"
+
 log = logging.getLogger(__name__)
 
 
@@ -46,20 +52,52 @@ def ownapp_users(spark: SparkSession, cfg: FeatureConfig) -> DataFrame:
     return customer_ids(spark.read.parquet(cfg.delivery[N.OWNAPP].output_path))
 
 
+def channel_counters(channel: str, features: DataFrame, recent: DataFrame, dims: P.Dimensions) -> DataFrame:
+    """(step, metric, value) of one channel: one aggregate over its orders in the window, one over its output."""
+    placed = F.col("order_placed_datetime")
+    found = {
+        "rows": Q.rows(), "missing_store": Q.missing("store_type"), "without_items": Q.missing("item_count"),
+        "first_order": F.min(placed), "last_order": F.max(placed),
+    }
+    if "has_query" in features.columns:
+        found["flagged"] = Q.hits("has_query")
+    if channel == N.INSTORE:
+        known = O.map_customers_instore(recent, dims.customer_map)
+    else:
+        known = O.with_customers(recent, dims.customer_map)
+    seen = {"rows": Q.rows(), "without_customer": Q.missing(N.CUSTOMER_ID)}
+    return Q.collect_counters(Q.counters(f"{channel} window", known, **seen), Q.counters(f"{channel} output", features, **found))
+
+
+def dimension_counters(dims: P.Dimensions) -> DataFrame:
+    """Keys that stand more than once in a dimension, and so multiply facts."""
+    return Q.collect_counters(
+        Q.duplicate_keys("categories by item", dims.categories, "item_id_id"),
+        Q.duplicate_keys("categories by product", dims.categories, "ProductCode"),
+        Q.duplicate_keys("store map", dims.store_map, "MDS ID"),
+        Q.duplicate_keys("store master", dims.store_master, "Store Code"),
+        Q.duplicate_keys("customer map", dims.customer_map, "invoice_no", "invoice_date", "store_code"),
+    )
+
+
 def run_orders(spark: SparkSession, cfg: FeatureConfig, channel: str, dims: P.Dimensions | None = None) -> str:
     """Order features of one channel; the own app has to be written first."""
     dims = dims or dimensions(spark, cfg)
     if channel == N.INSTORE:
+        orders = R.read_instore_orders(spark, cfg.instore.orders_pattern)
+        recent = O.store_window(orders, "BussTime", cfg.window.run_date, cfg.window.months, cfg.window.test_store)
         features = P.instore_order_features(
-            R.read_instore_orders(spark, cfg.instore.orders_pattern),
+            orders,
             R.read_instore_items(spark, cfg.instore.items_pattern),
             dims, cfg.window, ownapp_users(spark, cfg),
         )
         path = cfg.instore.output_path
     else:
         feed = cfg.delivery[channel]
+        orders = R.read_orders(spark, feed.orders_path, feed.order_columns)
+        recent = O.local_window(orders, P.CLOCKS, cfg.window.run_date, cfg.window.months, cfg.window.zone)
         features = P.delivery_order_features(
-            R.read_orders(spark, feed.orders_path, feed.order_columns),
+            orders,
             R.read_order_items(spark, feed.items_path, feed.item_columns),
             dims, cfg.window,
             None if feed.complaints_path is None else R.read_complaints(spark, feed.complaints_path),
@@ -67,6 +105,8 @@ def run_orders(spark: SparkSession, cfg: FeatureConfig, channel: str, dims: P.Di
         )
         path = feed.output_path
     write_features(features, path, cfg.by_month)
+    counted = channel_counters(channel, R.read_parquet(spark, path), recent, dims)
+    counted.coalesce(1).write.mode("overwrite").parquet(f"{path}{COUNTERS}")
     log.info("order features of %s written to %s", channel, path)
     return path
 
@@ -103,12 +143,19 @@ def run_segments(spark: SparkSession, cfg: SegmentConfig, features_path: str | N
     for key in {p.model_key for p in enabled}:
         models |= M.load_models(spark.read.parquet(cfg.model_paths[key]), [key])
     write_features(G.micro_segments(features, cfg.spec, models), cfg.micro_path)
+    base = G.flagged(G.segment_base(features, cfg.spec), cfg.spec)
+    summary = S.segment_summary(base).withColumnsRenamed({c: c.lower().replace(" ", "_") for c in S.SUMMARY})
+    summary.write.mode("overwrite").parquet(f"{cfg.segments_path}{SUMMARY}")
+    sizes = M.microcluster_sizes(spark.read.parquet(cfg.micro_path))
+    sizes.write.mode("overwrite").parquet(f"{cfg.micro_path}{SUMMARY}")
     log.info("segments written to %s and %s", cfg.segments_path, cfg.micro_path)
     return cfg.segments_path, cfg.micro_path
 
 
 def run_all(spark: SparkSession, features: FeatureConfig, segments: SegmentConfig) -> tuple[str, str]:
     dims = dimensions(spark, features)
+    counted = dimension_counters(dims)
+    counted.coalesce(1).write.mode("overwrite").parquet(f"{features.customer_output_path}{COUNTERS}")
     for channel in N.CHANNELS:
         run_orders(spark, features, channel, dims)
     path = run_customers(spark, features, dims)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from itertools import combinations
 
 from cartwright import names as N
-from cartwright.operators.segments import BANDS, RULES
 from checks import spec
 
 RUN, START, CUTOFF, REFERENCE = "2001-06-01", "1995-06-01", "1996-01-01", "2001-05-31"
@@ -295,17 +294,38 @@ RULE_FLAGS = {
 }
 
 
-def rank_case() -> str:
-    whens, rank = [], 0
-    for band, rules in RULES.items():
-        for _, cond in rules:
-            whens.append(f"WHEN ({BANDS[band]}) AND ({cond}) THEN {rank}")
-            rank += 1
-    return "CASE " + " ".join(whens) + " END"
+# The rules as the trees they come from, written out for this file: numbers count the segments below.
+SEGMENTS = [f"Seg1_5_{i}" for i in range(1, 9)] + [f"Seg_6_15_{i:02}" for i in range(1, 11)] + [f"Seg15_plus_{i}" for i in range(1, 10)]
+RANK_BAND = ["1_5"] * 8 + ["6_15"] * 10 + ["15_plus"] * 9
+RANK = """CASE
+  WHEN ownapp_order_count < 6 THEN CASE
+    WHEN u <= 2.5 THEN CASE WHEN Weekend_flag = 0 THEN 0 WHEN Weekend_flag = 1 THEN
+      CASE WHEN Weekday_flag = 0 THEN 1 WHEN Weekday_flag = 1 THEN 2 END END
+    WHEN u > 2.5 THEN CASE
+      WHEN channel_count <= 1.5 THEN CASE WHEN Weekday_flag = 0 THEN 3 WHEN Weekday_flag = 1 THEN 4 END
+      WHEN channel_count > 1.5 THEN CASE WHEN Premium_price_flag = 1 THEN 5 WHEN Premium_price_flag = 0 THEN
+        CASE WHEN Weekend_flag = 0 THEN 6 WHEN Weekend_flag = 1 THEN 7 END END END END
+  WHEN ownapp_order_count BETWEEN 6 AND 15 THEN CASE
+    WHEN u <= 6.5 THEN CASE WHEN Weekend_flag = 0 THEN 8 WHEN Weekend_flag = 1 THEN
+      CASE WHEN Lunch_flag = 0 THEN 9 WHEN Lunch_flag = 1 THEN 10 END END
+    WHEN u > 6.5 THEN CASE
+      WHEN Premium_price_flag = 0 THEN CASE WHEN Lunch_flag = 0 THEN 11 WHEN Lunch_flag = 1 THEN
+        CASE WHEN Late_Night_flag = 0 THEN 12 WHEN Late_Night_flag = 1 THEN 13 END END
+      WHEN Premium_price_flag = 1 THEN CASE
+        WHEN channel_count <= 1.5 THEN CASE WHEN Lunch_flag = 0 THEN 14 WHEN Lunch_flag = 1 THEN 15 END
+        WHEN channel_count > 1.5 THEN CASE WHEN Late_Night_flag = 0 THEN 16 WHEN Late_Night_flag = 1 THEN 17 END END END END
+  WHEN ownapp_order_count > 15 THEN CASE
+    WHEN u <= 11.5 THEN CASE WHEN Breakfast_flag = 1 THEN 22 WHEN Breakfast_flag = 0 THEN CASE
+      WHEN Late_Night_flag = 0 THEN 18 WHEN Late_Night_flag = 1 THEN
+        CASE WHEN Evening_flag = 0 THEN 19 WHEN Evening_flag = 1 THEN CASE WHEN u > 8.5 THEN 20 ELSE 21 END END END END
+    WHEN u > 11.5 THEN CASE WHEN Breakfast_flag = 1 THEN 26 WHEN Breakfast_flag = 0 THEN CASE
+      WHEN Late_Night_flag = 1 THEN 25 WHEN Late_Night_flag = 0 THEN CASE WHEN u <= 16.5 THEN 23 ELSE 24 END END END END
+END"""
+
 
+def rank_case() -> str:
+    return RANK.replace("u ", "unique_cat_base_count ")
 
-SEGMENTS = [name for rules in RULES.values() for name, _ in rules]
-RANK_BAND = [b for b, rules in RULES.items() for _ in rules]
 
 
 def sql_list(values) -> str:
@@ -343,7 +363,7 @@ def plan_rows() -> str:
     return f"(VALUES {', '.join(rows)}) AS plan(seg, plan)"
 
 
-CAPPED_PLANS = [p.name for p in spec.PLANS if p.capped]
+CAPPED_PLANS = ["Seg1_5_6", "Seg_6_15_10", "Seg15_plus_9"]
 
 
 def model_column(feature: str) -> str:
@@ -534,7 +554,7 @@ query("segment_dedupe", "grid_ranked", sql=f"""SELECT algonomy_id, {name_of('rnk
    GROUP BY algonomy_id, list_extract({sql_list(RANK_BAND)}, rnk + 1))""")
 query("segment_summary", "ranked", sql=f"""SELECT e.Segment, count(r.rnk) AS customer_count,
   CAST(coalesce(sum(r.ownapp_order_count), 0) AS BIGINT) AS total_orders,
-  CASE WHEN count(r.rnk) > 0 THEN sum(r.ownapp_order_count)::DOUBLE / count(r.rnk) END AS avg_orders
+  CASE WHEN count(r.rnk) > 0 THEN round_even(sum(r.ownapp_order_count)::DOUBLE / count(r.rnk), 2) END AS avg_orders
   FROM (SELECT unnest({sql_list(SEGMENTS)}) AS Segment) e LEFT JOIN ranked r ON e.Segment = {name_of('r.rnk')} GROUP BY e.Segment""")
 query("rule_segments", "seg", sql="SELECT algonomy_id, Segment FROM seg WHERE Segment IS NOT NULL")
 query("segments_with_features", "seg", sql="SELECT * FROM seg")
@@ -547,6 +567,19 @@ query("cap_outliers", "cust", sql=f"""SELECT algonomy_id, ownapp_order_count, {'
 query("kmeans_assign", sql=f"""SELECT vec_id, {label('d')} AS microcluster FROM
   (SELECT vec_id, {distances('v', spec.EMBEDDING_MODEL)} AS d FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings))""")
 query("microsegments", "micro", sql="SELECT * FROM micro")
+# every order line as a customer: all plans are scored and capped
+cte("grid_base", sql=f"""
+SELECT {', '.join(spec.grid_sql())} FROM lineitem""")
+cte("grid_flagged", "grid_base", sql=f"""
+SELECT *, unique_category_base_products_count AS unique_cat_base_count,
+  {', '.join(f'{flag(src)} AS {q(name)}' for name, src in RULE_FLAGS.items())} FROM grid_base""")
+cte("grid_seg", "grid_flagged", sql=f"SELECT *, {name_of(rank_case())} AS Segment FROM grid_flagged")
+cte("grid_planned", "grid_seg", sql=f"SELECT grid_seg.*, plan FROM grid_seg JOIN {plan_rows()} ON grid_seg.Segment = plan.seg")
+cte("grid_bounds", "grid_planned", sql=CTE["bounds"][1].replace("FROM planned", "FROM grid_planned"))
+cte("grid_vec", "grid_planned", "grid_bounds", sql=f"""
+SELECT p.algonomy_id, p.plan, {vector()} AS v FROM grid_planned p LEFT JOIN grid_bounds b ON p.plan = b.plan""")
+query("microsegments_grid", "grid_vec", sql=f"""SELECT algonomy_id, plan AS Segment, {label('d')} AS microcluster
+  FROM (SELECT algonomy_id, plan, {DIST} AS d FROM grid_vec)""")
 query("microcluster_sizes", "micro", sql="SELECT Segment, microcluster, count(*) AS customers FROM micro GROUP BY ALL")
 query("quality_counters", "o", "li", "cat", "clean", "store", sql=f"""
 SELECT 'orders' AS step, 'rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM o

@@ -509,7 +509,7 @@ def segment_summary(st: Stage) -> DataFrame:
     n, orders = F.col("Customer Count"), F.col("Total Orders")
     return S.segment_summary(flagged).select(
         "Segment", n.alias("customer_count"), orders.alias("total_orders"),
-        X.ratio(orders.cast("double"), n.cast("double")).alias("avg_orders"),
+        F.col("Avg Orders per Customer").alias("avg_orders"),
     )
 
 
@@ -537,6 +537,13 @@ def microsegments(st: Stage) -> DataFrame:
     return G.micro_segments(_customers(st), spec.SPEC, spec.MODELS)
 
 
+def microsegments_grid(st: Stage) -> DataFrame:
+    """Every order line as a customer: all plans have members, the capped ones among them."""
+    columns = [F.expr(e.replace("VARCHAR", "STRING")).alias(c) for c, e in spec.grid_columns().items()]
+    scored = G.micro_segments(st.table("lineitem").select(*columns), spec.SPEC, spec.MODELS)
+    return scored.select(N.CUSTOMER_ID, "Segment", "microcluster")
+
+
 def microcluster_sizes(st: Stage) -> DataFrame:
     return M.microcluster_sizes(microsegments(st))
 
@@ -582,7 +589,7 @@ QUERIES: dict[str, Callable[[Stage], DataFrame]] = {
         price_bucket, normalize_category, ensure_list, create_flags, rename_features,
         segment_load_filter, segment_band, segment_rules_grid, segment_dedupe, segment_summary,
         rule_segments, segments_with_features, cap_outliers, kmeans_assign, microsegments,
-        microcluster_sizes, quality_counters,
+        microsegments_grid, microcluster_sizes, quality_counters,
     )
 }
 QUERIES["customer_features"] = all_customer_features

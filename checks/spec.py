@@ -85,3 +85,21 @@ EMBEDDING_MODEL = CentroidModel(
     scale=(0.125,) * DIM,
     centers=tuple(tuple(((c + 2) * (j + 3) % 5 - 2) / 2 for j in range(DIM)) for c in range(5)),
 )
+
+
+def grid_columns() -> dict[str, str]:
+    """Column -> SQL over ``lineitem``: every order line as a customer, so that each rule and plan has members."""
+    mixed = "(l_orderkey * {a} + l_partkey * {b} + l_linenumber * {c})"
+    counts = {
+        N.TARGET: mixed.format(a=1, b=3, c=5) + " % 24 + 1",
+        "unique_category_base_products_count": mixed.format(a=5, b=1, c=3) + " % 20",
+        "unique_dri_category_count": mixed.format(a=1, b=1, c=1) + " % 5 + 1",
+        "channel_count": mixed.format(a=3, b=1, c=7) + " % 3 + 1",
+    }
+    for i, c in enumerate(FLAGS):
+        counts[c] = mixed.format(a=1 + i % 7, b=2 + i % 5, c=1 + i % 3) + f" % {2 + i % 4}"
+    return {N.CUSTOMER_ID: "CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)", **{c: f"CAST({e} AS BIGINT)" for c, e in counts.items()}}
+
+
+def grid_sql() -> list[str]:
+    return [f'{e} AS "{c}"' for c, e in grid_columns().items()]

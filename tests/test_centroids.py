@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwright import names as N
 from cartwright.operators import centroids as M
@@ -122,3 +123,24 @@ def test_assignments_join_back(spark):
     pairs = spark.createDataFrame([("a", "Seg1_5_2"), ("a", "Seg1_5_2")], f"{N.CUSTOMER_ID} string, Segment string")
     rows = M.attach_assignments(base, pairs).collect()
     assert len(rows) == 1 and rows[0]["b_count"] == 3
+
+
+def test_caps_of_a_continuous_column(spark):
+    """More values than are kept exactly: bracketed, and still the exact interpolated quantiles."""
+    n = M.EXACT_ROWS + 5000
+    df = spark.range(n).select(
+        (F.xxhash64("id") / F.lit(2.0**60)).alias("x"), (F.col("id") % 3).cast("string").alias("p"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("half"))
+    values = sorted(r["x"] for r in df.select("x").collect())
+    halves = sorted(r["half"] for r in df.select("half").collect() if r["half"] is not None)
+
+    def quantile(v, q):
+        at = q * (len(v) - 1)
+        low = int(at)
+        return v[low] + (at - low) * (v[min(low + 1, len(v) - 1)] - v[low])
+
+    row = M.cap_bounds(df, ["x", "half"]).first()
+    assert row["_cap_0"] == pytest.approx([quantile(values, 0.01), quantile(values, 0.99)], rel=1e-12)
+    assert row["_cap_1"] == pytest.approx([quantile(halves, 0.01), quantile(halves, 0.99)], rel=1e-12)
+    assert M.cap_bounds(df, ["x"], by="p").count() == 3
+

@@ -162,3 +162,26 @@ def test_reader_normalises_csv(spark, tmp_path):
     assert [r["InvoiceNo"] for r in rows] == [123, None]
     assert [r["GrossAmount"] for r in rows] == [None, 2.5]
     assert rows[1]["BussTime"] is None and "Extra" not in rows[0].asDict()
+
+
+def test_counters_and_summaries_are_written(spark, job):
+    _, fc, sc, st = job
+    counted = {(r["step"], r["metric"]): r["value"] for p in (*(c.output_path for c in fc.delivery.values()), fc.instore.output_path)
+               for r in spark.read.parquet(p + W.COUNTERS).collect()}
+    own = spark.read.parquet(fc.delivery[N.OWNAPP].output_path)
+    assert counted["ownapp output", "rows"] == str(own.count())
+    assert counted["ownapp output", "flagged"] == str(own.where("has_query").count())
+    assert counted["ownapp output", "last_order"] == str(own.agg({"order_placed_datetime": "max"}).first()[0])
+    assert int(counted["ownapp window", "rows"]) == own.count() + int(counted["ownapp window", "without_customer"])
+    dims = {(r["step"], r["metric"]): r["value"] for r in spark.read.parquet(fc.customer_output_path + W.COUNTERS).collect()}
+    assert dims["categories by item", "duplicate_keys"] == "0"
+    summary = spark.read.parquet(sc.segments_path + W.SUMMARY)
+    assert summary.count() == 27 and summary.agg({"customer_count": "sum"}).first()[0] == spark.read.parquet(sc.segments_path).count()
+    sizes = spark.read.parquet(sc.micro_path + W.SUMMARY)
+    assert sizes.agg({"customers": "sum"}).first()[0] == spark.read.parquet(sc.micro_path).count()
+
+
+def test_grid_reaches_every_plan(spark):
+    st = Q.Stage(spark, "/root/testdata/sf0.001")
+    assert Q.microsegments_grid(st).select("Segment").distinct().count() == len(spec.PLANS)
+
