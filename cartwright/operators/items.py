@@ -57,12 +57,19 @@ def payable_items(items: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
     return items if keys.promo is None else items.where(keys.payable())
 
 
+def is_mapped(exclude: str = N.EXCLUDE_LABEL) -> Column:
+    """A DRI category, and a base category that is not ``exclude``."""
+    return F.col(N.DRI_LABEL).isNotNull() & ~F.trim(F.col(N.BASE_LABEL)).eqNullSafe(F.lit(exclude))
+
+
+def is_payable_and_mapped(keys: ItemKeys = DELIVERY, exclude: str = N.EXCLUDE_LABEL) -> Column:
+    """Whether a line with its categories is kept; never NULL."""
+    return F.coalesce(keys.payable(), F.lit(False)) & is_mapped(exclude)
+
+
 def drop_unmapped(items: DataFrame, exclude: str = N.EXCLUDE_LABEL) -> DataFrame:
     """Keep lines with a DRI category whose base category is not ``exclude``."""
-    base = F.trim(F.col(N.BASE_LABEL))
-    return items.where(F.col(N.DRI_LABEL).isNotNull() & ~base.eqNullSafe(F.lit(exclude))).withColumn(
-        N.BASE_LABEL, base
-    )
+    return items.where(is_mapped(exclude)).withColumn(N.BASE_LABEL, F.trim(F.col(N.BASE_LABEL)))
 
 
 def pair_counts(items: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def counted(df: DataFrame, metrics: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """(step, metric, value) rows of several steps from one aggregate over ``df``."""
+    row = df.agg(*[c.cast("string").alias(f"_{i}") for i, c in enumerate(metrics.values())])
+    names = ("step", "metric", "value")
+    lines = [F.struct(*[c.alias(n) for c, n in zip((F.lit(s), F.lit(m), F.col(f"_{i}")), names)])
+             for i, (s, m) in enumerate(metrics)]
+    return row.select(F.inline(F.array(*lines)).alias(*names))
+
+
 def counters(step: str, df: DataFrame, **metrics: Column) -> DataFrame:
-    """(step, metric, value) rows from one aggregate over ``df``."""
-    row = df.agg(*[c.cast("string").alias(name) for name, c in metrics.items()])
-    pairs = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in metrics]
-    return row.select(F.lit(step).alias("step"), F.inline(F.array(*pairs)).alias("metric", "value"))
+    """The same for one step."""
+    return counted(df, {(step, name): c for name, c in metrics.items()})
 
 
-def rows() -> Column:
-    return F.count(F.lit(1))
+def rows(where: Column | None = None) -> Column:
+    return F.count(F.lit(1)) if where is None else F.count_if(where)
 
 
 def missing(column: str) -> Column:

@@ -26,21 +26,26 @@ def localize(df: DataFrame, columns: Sequence[str], zone: str) -> DataFrame:
     )
 
 
-def local_window(
-    df: DataFrame, columns: Sequence[str], run_date: date, months: int, zone: str
-) -> DataFrame:
-    """Keep [run - months, run) of the first column, then localize all of them.
+def in_window(df: DataFrame, column: str, run_date: date, months: int, zone: str) -> Column:
+    """Whether a UTC column lies in [run - months, run), local midnights.
 
     The bounds are moved instead of the column, so the predicate stays on the
     stored value and reaches the scan: UTC wall clocks for a column without
     zone, instants for a TIMESTAMP.
     """
-    dtype = _type_of(df, columns[0])
+    dtype = _type_of(df, column)
     if isinstance(dtype, T.TimestampType):
-        placed, (start, end) = F.col(columns[0]), X.window_instants(run_date, months, zone)
+        placed, (start, end) = F.col(column), X.window_instants(run_date, months, zone)
     else:
-        placed, (start, end) = X.utc_clock(F.col(columns[0]), dtype), X.window_bounds(run_date, months, zone)
-    return localize(df.where((placed >= start) & (placed < end)), columns, zone)
+        placed, (start, end) = X.utc_clock(F.col(column), dtype), X.window_bounds(run_date, months, zone)
+    return (placed >= start) & (placed < end)
+
+
+def local_window(
+    df: DataFrame, columns: Sequence[str], run_date: date, months: int, zone: str
+) -> DataFrame:
+    """Keep the window of the first column, then localize all of them."""
+    return localize(df.where(in_window(df, columns[0], run_date, months, zone)), columns, zone)
 
 
 def store_window(
@@ -74,7 +79,7 @@ def map_customers(orders: DataFrame, customer_map: DataFrame, order_id: str = "i
 def with_customers(orders: DataFrame, customer_map: DataFrame, order_id: str = "id") -> DataFrame:
     """Every order with its customer id, NULL where the map has none (for counting)."""
     mapping = customer_map.select(F.col("invoice_no").alias(order_id), F.col("customer_code_ty").alias(N.CUSTOMER_ID))
-    return orders.select(order_id).join(mapping, order_id, "left")
+    return orders.join(mapping, order_id, "left")
 
 
 def map_customers_instore(orders: DataFrame, customer_map: DataFrame) -> DataFrame:

@@ -587,6 +587,10 @@ UNION ALL SELECT 'window', 'rows', CAST(count(*) AS VARCHAR) FROM o WHERE {WINDO
 UNION ALL SELECT 'window', 'first', strftime(min(placed), '%Y-%m-%d %H:%M:%S') FROM o WHERE {WINDOW}
 UNION ALL SELECT 'window', 'last', strftime(max(placed), '%Y-%m-%d %H:%M:%S') FROM o WHERE {WINDOW}
 UNION ALL SELECT 'customers', 'rows', CAST(count(*) AS VARCHAR) FROM o WHERE cust IS NOT NULL
+UNION ALL SELECT 'customers', 'missing', CAST(count(*) AS VARCHAR) FROM o WHERE cust IS NULL
+UNION ALL SELECT channel, 'first', strftime(min(placed), '%Y-%m-%d %H:%M:%S') FROM o WHERE {WINDOW} GROUP BY channel
+UNION ALL SELECT channel, 'last', strftime(max(placed), '%Y-%m-%d %H:%M:%S') FROM o WHERE {WINDOW} GROUP BY channel
+UNION ALL SELECT 'kept_items', 'removed', CAST((SELECT count(*) FROM li) - (SELECT count(*) FROM clean) AS VARCHAR)
 UNION ALL SELECT 'stores', 'missing_store', CAST(count(*) AS VARCHAR) FROM o WHERE store_id NOT IN (SELECT code FROM store)
 UNION ALL SELECT 'complaints', 'flagged', CAST(count(*) AS VARCHAR) FROM o WHERE has_query
 UNION ALL SELECT 'items', 'rows', CAST(count(*) AS VARCHAR) FROM li LEFT JOIN cat USING (item_id_id)

@@ -551,20 +551,29 @@ def microcluster_sizes(st: Stage) -> DataFrame:
 # -- counters ---------------------------------------------------------------
 
 def quality_counters(st: Stage) -> DataFrame:
-    window = O.local_window(st.all_orders, P.CLOCKS, WINDOW.run_date, WINDOW.months, ZONE)
-    mapped = O.map_customers(st.all_orders, st.customer_map)
-    stores = O.store_details(st.all_orders, st.store_map, st.store_master)
-    complaints = O.flag_complaints(st.all_orders, st.complaints)
-    placed = F.col("order_placed_datetime")
+    """One aggregate over the orders, one over the lines, one over the categories."""
+    orders = O.with_customers(O.flag_complaints(
+        O.store_details(st.all_orders, st.store_map, st.store_master), st.complaints), st.customer_map)
+    recent = O.in_window(orders, "order_placed_datetime", WINDOW.run_date, WINDOW.months, ZONE)
+    marked = O.localize(orders.withColumn("_recent", recent), ["order_placed_datetime"], ZONE)
+    placed = F.when(F.col("_recent"), F.col("order_placed_datetime"))
     day = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    lines = _categorized(st)
+    kept = I.is_payable_and_mapped()
     return Q.collect_counters(
-        Q.counters("orders", st.all_orders, rows=Q.rows()),
-        Q.counters("window", window, rows=Q.rows(), first=day(F.min(placed)), last=day(F.max(placed))),
-        Q.counters("customers", mapped, rows=Q.rows()),
-        Q.counters("stores", stores, missing_store=Q.missing("Store Name")),
-        Q.counters("complaints", complaints, flagged=Q.hits("has_query")),
-        Q.counters("items", _categorized(st), rows=Q.rows(), missing_category=Q.missing(N.DRI_LABEL)),
-        Q.counters("kept_items", _clean(st), rows=Q.rows()),
+        Q.counted(marked, {
+            ("orders", "rows"): Q.rows(), ("window", "rows"): Q.rows(F.col("_recent")),
+            ("window", "first"): day(F.min(placed)), ("window", "last"): day(F.max(placed)),
+            ("customers", "rows"): Q.rows(F.col(N.CUSTOMER_ID).isNotNull()),
+            ("customers", "missing"): Q.missing(N.CUSTOMER_ID),
+            ("stores", "missing_store"): Q.missing("Store Name"), ("complaints", "flagged"): Q.hits("has_query"),
+            **{(channel, end): day(f(F.when(F.col("channel") == channel, placed)))
+               for channel in N.CHANNELS for end, f in (("first", F.min), ("last", F.max))},
+        }),
+        Q.counted(lines, {
+            ("items", "rows"): Q.rows(), ("items", "missing_category"): Q.missing(N.DRI_LABEL),
+            ("kept_items", "rows"): Q.rows(kept), ("kept_items", "removed"): Q.rows(~kept),
+        }),
         Q.duplicate_keys("categories", st.categories, "item_id_id"),
     )
 
