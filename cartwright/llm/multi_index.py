@@ -42,8 +42,9 @@ MEETINGS = 1 << 20
 @dataclass(frozen=True)
 class Index:
     top: int = 20
-    #: rows of the sample that codebooks are fitted on, and of the one that sets the budget
+    #: the sample that codebooks are fitted on: so many rows, and so many components in all; rows of the one that sets the budget
     fit_sample: int = 20_000
+    fit_values: int = 8_000_000
     probe_sample: int = 128
     recall: float = 0.96
     least_budget: int = 1000
@@ -214,7 +215,9 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     if not n:
         return asked.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     at_random = F.xxhash64(F.lit(index.seed), "eid")
-    sample = np.array([r["v"] for r in entries.orderBy(at_random).limit(index.fit_sample).select("v").collect()])
+    width = entries.select(F.size("v")).first()[0]
+    drawn = entries.orderBy(at_random).limit(min(index.fit_sample, max(1, index.fit_values // width))).select("v").toArrow()
+    sample = _matrix(drawn.column("v").combine_chunks())
     k = max(1, min(index.most_centroids, int(1.5 * n**0.4)))
     half = max(1, sample.shape[1] // 2)
     books = (fit(sample[:, :half], k, index.iterations, index.seed), fit(sample[:, half:], k, index.iterations, index.seed + 1))
