@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle
 from checks.compare import connect, difference
+from checks.queries import registered
 
 SF_DIR = "/root/testdata/sf0.001"
 # column slices of customer_features, which is compared whole
@@ -21,10 +23,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registered()) == set(oracle.statements())
+    assert set(registered()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLICES))
+@pytest.mark.parametrize("name", sorted(set(registered()) - SLICES))
 def test_query(spark, con, name):
     assert difference(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
 
