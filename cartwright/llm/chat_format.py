@@ -147,60 +147,82 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict]
         yield at, held
 
 
+def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+PLACE = [("conv", pa.int64()), ("block", pa.int64())]
+SUMS = pa.schema([*PLACE, ("first", pa.list_(pa.float64())), ("matrix", pa.list_(pa.float64()))])
+BORDERS = pa.schema([*PLACE, ("entry", pa.int32()), ("leave", pa.int32())])
+TURNS = pa.schema([*PLACE, ("n", pa.int64()), ("opens", pa.bool_()), ("role", pa.string()), ("text", pa.string())])
+
+
 def _sum_up(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for (conv, block), rows in _runs(batches):
-        matrix = model.summed(model.seen([r["feature"] for r in rows[1:]]))
-        first = model.emit[model.index.get(rows[0]["feature"], len(model.features))]
-        yield pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), pa.array([block], pa.int64()),
-                                          pa.array([first.tolist()], pa.list_(pa.float64())), pa.array([matrix.ravel().tolist()], pa.list_(pa.float64()))],
-                                         names=["conv", "block", "first", "matrix"])
+    def sums() -> Iterator[tuple]:
+        for (conv, block), rows in _runs(batches):
+            matrix = model.summed(model.seen([r["feature"] for r in rows[1:]]))
+            first = model.emit[model.index.get(rows[0]["feature"], len(model.features))]
+            yield conv, block, first.tolist(), matrix.ravel().tolist()
+
+    yield from _batched(sums(), SUMS)
+
+
+def _chain(blocks: list[dict], model: Model) -> list[tuple]:
+    """(conv, block, entry, leave) for the blocks of one conversation, in order."""
+    score, arrived = None, []
+    for b in blocks:
+        inner = np.array(b["matrix"]).reshape(STATES, STATES)
+        via = model.start[None, :] if score is None else score[:, None] + model.step
+        opened = via.max(axis=0) + np.array(b["first"])  # at the block's first line
+        arrived.append((via.argmax(axis=0), (opened[:, None] + inner).argmax(axis=0)))
+        score = (opened[:, None] + inner).max(axis=0)
+    leave, rows = int(score.argmax()), []
+    for b, (came, opened) in zip(blocks[::-1], arrived[::-1]):
+        entry = None if b is blocks[0] else int(came[opened[leave]])
+        rows.append((b["conv"], b["block"], entry, leave))
+        leave = entry
+    return rows[::-1]
 
 
 def _borders(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """(conv, block, entry, leave): states at the borders of the blocks of each conversation, in sorted order."""
-    def chain(blocks: list[dict]) -> pa.RecordBatch:
-        score, arrived = None, []
-        for b in blocks:
-            inner = np.array(b["matrix"]).reshape(STATES, STATES)
-            via = model.start[None, :] if score is None else score[:, None] + model.step
-            opened = via.max(axis=0) + np.array(b["first"])  # at the block's first line
-            arrived.append((via.argmax(axis=0), (opened[:, None] + inner).argmax(axis=0)))
-            score = (opened[:, None] + inner).max(axis=0)
-        leave, rows = int(score.argmax()), []
-        for b, (came, opened) in zip(blocks[::-1], arrived[::-1]):
-            entry = None if b is blocks[0] else int(came[opened[leave]])
-            rows.append((b["conv"], b["block"], entry, leave))
-            leave = entry
-        columns = zip(*rows[::-1])
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["conv", "block", "entry", "leave"])
-
-    held: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and row["conv"] != held[0]["conv"]:
-                yield chain(held)
-                held = []
-            held.append(row)
-    if held:
-        yield chain(held)
+    """States at the borders of the blocks of each conversation, from sorted sums."""
+    def borders() -> Iterator[tuple]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["conv"] != held[0]["conv"]:
+                    yield from _chain(held, model)
+                    held = []
+                held.append(row)
+        if held:
+            yield from _chain(held, model)
+
+    yield from _batched(borders(), BORDERS)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """(conv, block, n, opens, role, text): turns, or parts of them, of each block."""
-    for (conv, block), rows in _runs(batches):
-        states = model.path(model.seen([r["feature"] for r in rows]), rows[0]["entry"], rows[0]["leave"])
-        turns: list[list] = []
-        for r, s in zip(rows, states):
-            if s % 2 == 0 or not turns:
-                turns.append([s % 2 == 0, ROLES[s // 2], []])
-            turns[-1][2].append(r["content"])
-        n = np.cumsum([t[0] for t in turns])
-        columns = [[conv] * len(turns), [block] * len(turns), n.tolist(), [t[0] for t in turns], [t[1] for t in turns],
-                   ["\n".join(t[2]).strip("\n") for t in turns]]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                         names=["conv", "block", "n", "opens", "role", "text"])
+    """Turns, or parts of them, of each block."""
+    def parts() -> Iterator[tuple]:
+        for (conv, block), rows in _runs(batches):
+            states = model.path(model.seen([r["feature"] for r in rows]), rows[0]["entry"], rows[0]["leave"])
+            turns: list[tuple[bool, str, list[str]]] = []
+            for r, s in zip(rows, states):
+                if s % 2 == 0 or not turns:
+                    turns.append((s % 2 == 0, ROLES[s // 2], []))
+                turns[-1][2].append(r["content"])
+            n = 0
+            for opens, role, texts in turns:
+                n += opens
+                yield conv, block, n, opens, role, "\n".join(texts).strip("\n")
+
+    yield from _batched(parts(), TURNS)
 
 
 def parse(transcripts: DataFrame, model: Model, key: str = "conv_id", order: str = "turn", text: str = "text") -> DataFrame:

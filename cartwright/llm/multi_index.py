@@ -46,7 +46,7 @@ class Index:
     fit_sample: int = 20_000
     fit_values: int = 8_000_000
     probe_sample: int = 128
-    recall: float = 0.96
+    recall: float = 0.95
     least_budget: int = 1000
     most_centroids: int = 256
     iterations: int = 10
