@@ -44,3 +44,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = _test_root()
     return f"{root.rstrip('/')}/cartwright/{name}-{uuid.uuid4().hex}"
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate when the application ends; results that read it work until then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)

@@ -20,7 +20,7 @@ from cartwright.operators.labels import Catalog
 from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
 from cartwright.plans.customer_features import customer_features
-from cartwright.session import shared_dir
+from cartwright.session import delete_at_exit, shared_dir
 from cartwright.sources import readers as R
 from cartwright.sources import sinks
 from checks import spec
@@ -57,6 +57,7 @@ def _two_orders_csv(st: Stage, df: DataFrame, key: str) -> str:
     path = shared_dir(st.spark, "csv")
     df.where(F.col(key) % 2 == 0).write.csv(f"{path}/a", header=True)
     df.where(F.col(key) % 2 != 0).select(*df.columns[::-1]).write.csv(f"{path}/b", header=True)
+    delete_at_exit(st.spark, path)
     return f"{path}/*/*.csv"
 
 
@@ -73,6 +74,7 @@ def scan_dimensions_csv(st: Stage) -> DataFrame:
     path = shared_dir(st.spark, "dimensions")
     st.categories.write.csv(f"{path}/categories", header=True)
     st.combos.write.csv(f"{path}/combos", header=True)
+    delete_at_exit(st.spark, path)
     categories = R.read_csv(st.spark, f"{path}/categories/*.csv", R.CATEGORIES)
     combos = R.read_csv(st.spark, f"{path}/combos/*.csv", R.COMBO_MASTER)
     left = categories.select(
@@ -85,6 +87,7 @@ def scan_dimensions_csv(st: Stage) -> DataFrame:
 def scan_complaints(st: Stage) -> DataFrame:
     path = shared_dir(st.spark, "complaints")
     st.complaints.write.parquet(path)
+    delete_at_exit(st.spark, path)
     return R.read_complaints(st.spark, path)
 
 
@@ -92,6 +95,7 @@ def sink_order_features(st: Stage) -> DataFrame:
     path = shared_dir(st.spark, "order-features")
     orders = O.add_order_clock(O.delivery_base(P.windowed_customer_orders(st.all_orders, st.dims, WINDOW)))
     sinks.write_features(orders, path, by_month=True)
+    delete_at_exit(st.spark, path)
     back = R.read_parquet(st.spark, path)
     return back.select(
         N.ORDER_ID, N.CUSTOMER_ID, "order_placed_datetime", "total_price", "order_time_of_day",
@@ -346,6 +350,7 @@ def unique_labels_after_dimension_change(st: Stage) -> DataFrame:
     channels = [_ownapp(st), _swiggy(st, None), _instore(st, None)]
     lists = shared_dir(st.spark, "label-lists")
     reduce(DataFrame.unionByName, [c.select(N.DRI_LIST, N.BASE_LIST) for c in channels]).write.parquet(lists)
+    delete_at_exit(st.spark, lists)
     fewer = Catalog.from_categories(st.categories.where(F.col(N.DRI_LABEL) < "M"))
     catalog = fewer.covering([st.spark.read.parquet(lists)])
     group = C.unique_label_metrics(N.DRI_LIST, catalog.dri, "unique_dri_category_count")

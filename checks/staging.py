@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cartwright import names as N
 from cartwright.operators.labels import Catalog
 from cartwright.plans.order_features import Dimensions, OrderWindow
-from cartwright.session import shared_dir
+from cartwright.session import delete_at_exit, shared_dir
 
 WINDOW = OrderWindow(run_date=date(2001, 6, 1), months=72, zone="Asia/Kolkata", test_store=13)
 CUTOFF = date(1996, 1, 1)
@@ -33,6 +33,7 @@ def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if key not in _written:
         path = shared_dir(spark, name)
         build().write.parquet(path)
+        delete_at_exit(spark, path)
         _written[key] = path
     return spark.read.parquet(_written[key])
 
