@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.session import shared_dir
+from cartwright.session import delete_at_exit, shared_dir
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder that all executors share and read it back.
 
     The result has no lineage before the written files, so a lost executor
-    costs one scan and never a recomputation of what came before.
+    costs one scan and never a recomputation of what came before. The files go
+    when the application ends.
     """
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
