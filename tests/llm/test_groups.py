@@ -99,6 +99,17 @@ def test_packing(spark):
     assert packing.pack(documents(spark, []), path).count() == 0
 
 
+def test_packing_ids_equal_the_tokenizers_library():
+    import random
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    slow, fast, rng = Tokenizer.from_file(path), packing.encoder(path), random.Random(3)
+    parts = ["'", "s", "re", "ll", " ", "  ", "\n", "\t", "\u00a0", "1", "\u00b2", "a", "é", "中", "!", "#", "\0", "\u0301", "<|endoftext|>", "hello", "\x85"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert fast.encode(text, allowed_special="all") == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_cut():
     assert packing.cut(1024, 1024) == [(0, 1024)]
     assert packing.cut(1025, 1024) == [(0, 1), (1, 1024)]
