@@ -8,6 +8,7 @@ one stage, never the stages before it.
 from __future__ import annotations
 
 import logging
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from cartwright.operators.orders import customer_ids
 from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
 from cartwright.plans.customer_features import customer_features
+from cartwright.session import delete_at_exit, shared_dir
 from cartwright.sources import readers as R
 from cartwright.sources.sinks import write_features
 
@@ -152,8 +154,16 @@ def run_segments(spark: SparkSession, cfg: SegmentConfig, features_path: str | N
     return cfg.segments_path, cfg.micro_path
 
 
+def parsed_once(spark: SparkSession, dims: P.Dimensions) -> P.Dimensions:
+    """The customer map is as large as the orders: parse its text once, not once per channel."""
+    path = shared_dir(spark, "customer-map")
+    dims.customer_map.write.parquet(path)
+    delete_at_exit(spark, path)
+    return replace(dims, customer_map=spark.read.schema(dims.customer_map.schema).parquet(path))
+
+
 def run_all(spark: SparkSession, features: FeatureConfig, segments: SegmentConfig) -> tuple[str, str]:
-    dims = dimensions(spark, features)
+    dims = parsed_once(spark, dimensions(spark, features))
     counted = dimension_counters(dims)
     counted.coalesce(1).write.mode("overwrite").parquet(f"{features.customer_output_path}{COUNTERS}")
     for channel in N.CHANNELS:
