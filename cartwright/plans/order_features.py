@@ -93,7 +93,8 @@ def instore_order_features(
 ) -> DataFrame:
     """In-store orders, limited to ``customers`` of the own app where given.
 
-    Lines are limited to kept invoices before they are folded.
+    Lines are limited to kept invoices before they are folded where ``customers`` is
+    given; without it the window of the lines keeps nearly the same ones.
     """
     dims = _only_customers(dims, customers)
     bounds = (window.run_date, window.months, window.test_store)
@@ -101,7 +102,9 @@ def instore_order_features(
     mapped = O.map_customers_instore(recent, dims.customer_map)
     known = mapped.where(F.col(N.CUSTOMER_ID).isNotNull())
     base = O.instore_base(O.store_details_instore(known, dims.store_master))
-    lines = I.items_of_orders(O.store_window(items, "OrderDatetime", *bounds), known)
+    lines = O.store_window(items, "OrderDatetime", *bounds)
+    if customers is not None:
+        lines = I.items_of_orders(lines, known)
     encoded = I.encoded_item_features(
         lines, dims.categories, dims.combos, dims.catalog, I.IN_STORE, dims.bins
     )
