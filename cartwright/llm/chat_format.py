@@ -2,8 +2,9 @@
 
 A transcript is a conversation id and its pieces of raw text in order; roles may be
 marked in several styles or not at all. The hidden states are "a turn of this role
-begins" and "inside a turn of this role"; a line shows its speaker marker, whether a
-blank line precedes it, its length and how it ends. Start, transition and emission
+begins" and "inside a turn of this role"; a line shows its speaker marker, whether it
+opens the conversation or a blank line precedes it, its length and how it ends; where
+pieces begin is not shown, so turns may run on inside a piece. Start, transition and emission
 probabilities are smoothed counts over labelled lines; the tables have a row per
 feature and state, whatever the corpus.
 
@@ -26,6 +27,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,24 +46,69 @@ MARKER = r"^\s*(?:###\s*|<\|\s*|\[\s*|\*\*\s*)?(" + "|".join(
     sorted((m for names in MARKERS.values() for m in names), key=len, reverse=True)) + r")\s*(?:\|>|\]|:\*\*|\*\*:?|:|$)\s*"
 
 
+def _running(batches: Iterator[pa.RecordBatch], tail: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with their task, the sum of ``n`` before them in it and the ``tail`` of the row before."""
+    part, at, last = TaskContext.get().partitionId(), 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = batch.column("n").to_numpy()
+        held = pa.StructArray.from_arrays([batch.column(c) for c in tail], names=tail)
+        prev = pa.concat_arrays([pa.array([last], held.type), held.slice(0, len(held) - 1)])
+        starts = at + np.cumsum(n) - n
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(n), pa.int32()), pa.array(starts, pa.int64()), prev],
+                                         names=[*batch.schema.names, "task", "at", "prev"])
+        at, last = at + int(n.sum()), held[-1].as_py()
+
+
+def ordered(rows: DataFrame, keys: list[str], tail: list[str], name: str) -> DataFrame:
+    """``rows`` with ``at``, the sum of ``n`` (1 or more) over all rows before in the order of ``keys``, and ``prev``, the
+    ``tail`` of the row before. A distributed sort; a row per task comes to the driver."""
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
+    held = f"struct<{','.join(f'{c}:{kind[c]}' for c in tail)}>"
+    schema = ", ".join(f"{c} {k}" for c, k in kind.items())
+    placed = saved(rows.orderBy(*keys).mapInArrow(partial(_running, tail=tail), f"{schema}, task int, at long, prev {held}"), name)
+    ends = placed.groupBy("task").agg(F.sum("n").alias("n"), F.max_by(F.struct(*tail), "at").alias("end")).orderBy("task").collect()
+    heads, base, last = [], 0, None
+    for r in ends:
+        heads.append((r["task"], base, last))
+        base, last = base + r["n"], r["end"]
+    starts = rows.sparkSession.createDataFrame(heads, f"task int, base long, end {held}")
+    return placed.join(F.broadcast(starts), "task").withColumns(
+        {"at": F.col("at") + F.col("base"), "prev": F.coalesce("prev", "end")}).drop("task", "base", "end")
+
+
 def lines(transcripts: DataFrame, key: str, order: str, text: str, carry: str | None = None) -> DataFrame:
-    """(conv, block, seq, raw, line, content, feature[, carry]) of every line; content is the line without its marker."""
+    """(conv, block, at, line, content, feature[, label, before]) of every line; ``at`` numbers all lines in order, content is
+    the line without its marker. Pieces follow one another line by line: their borders are not shown to the model."""
     seq = F.coalesce(F.col(order).cast("long"), F.lit(-1))
     raw = F.coalesce(F.col(text), F.lit(""))
+    cut = F.split(raw, "\n")
     kept = [F.col(carry).alias("label")] if carry else []
-    rows = transcripts.select(F.col(key).cast("long").alias("conv"), F.floor(seq / BLOCK).cast("long").alias("block"),
-                              seq.alias("seq"), F.xxhash64(raw).alias("raw"), F.split(raw, "\n").alias("_l"), *kept)
-    spread = rows.select("conv", "block", "seq", "raw", *(["label"] if carry else []), "_l", F.posexplode("_l").alias("line", "body"))
-    before = F.get("_l", F.col("line") - 1)
+    rows = transcripts.select(F.col(key).cast("long").alias("conv"), seq.alias("seq"), F.xxhash64(raw).alias("raw"),
+                              F.monotonically_increasing_id().alias("tie"), raw.alias("whole"), F.size(cut).cast("long").alias("n"),
+                              (F.trim(F.element_at(cut, -1)) == "").alias("blank"), *kept)
+    # equal rows are told apart by the last key, so that they need not meet in one task
+    placed = ordered(rows, ["conv", "seq", "raw", "tie"], ["conv", "n", "blank", *(["label"] if carry else [])], "chat-pieces")
+    opens = F.col("prev").isNull() | ~F.col("prev.conv").eqNullSafe(F.col("conv"))
+    told = [F.col("label"), F.when(~opens, F.struct("prev.label", "prev.n")).alias("before"), opens.alias("opens")] if carry else []
+    split = placed.withColumn("_l", F.split("whole", "\n"))
+    spread = split.select(
+        "conv", "seq", "at", *told, opens.alias("_opens"), F.col("prev.blank").alias("_blank"),
+        F.posexplode(F.transform("_l", lambda x, i: F.struct(x.alias("body"), F.get("_l", i - 1).alias("past")))).alias("line", "l"),
+    ).withColumn("body", F.col("l.body"))
     name = F.lower(F.regexp_extract("body", "(?i)" + MARKER, 1))
     role = F.lit("-")
     for r, names in MARKERS.items():
         role = F.when(name.isin(*names), r).otherwise(role)
-    gap = F.when(F.col("line") == 0, "first").when(F.trim(before) == "", "gap").otherwise("on")
+    after_blank = F.when(F.col("line") == 0, F.col("_blank")).otherwise(F.trim("l.past") == "")
+    gap = F.when((F.col("line") == 0) & F.col("_opens"), "first").when(after_blank, "gap").otherwise("on")
     size = F.length("body")
     kind = F.when(F.trim("body") == "", "blank").when(size < 40, "short").when(size < 200, "middle").otherwise("long")
     asks = F.when(F.rtrim("body").endswith("?"), "?").otherwise(".")
-    return spread.select("conv", "block", "seq", "raw", *(["label"] if carry else []), "line",
+    number = F.col("at") + F.col("line")
+    return spread.select("conv", F.floor(F.col("seq") / BLOCK).cast("long").alias("block"), number.alias("at"), "line",
+                         *(["label", "before", "opens"] if carry else []),
                          F.when(name != "", F.regexp_replace("body", "(?i)" + MARKER, "")).otherwise(F.col("body")).alias("content"),
                          F.concat_ws("|", role, gap, kind, asks).alias("feature"))
 
@@ -107,29 +154,28 @@ class Model:
 
 
 def learn(labelled: DataFrame) -> Model:
-    """Counts over ``lines(..., carry=role)``: a handful of rows per state come to the driver."""
-    role = F.lit(None)
-    for i, r in enumerate(ROLES):
-        role = F.when(F.lower("label") == r, 2 * i).otherwise(role)
+    """Counts over ``lines(..., carry=role)`` of pieces that are a turn each: a handful of rows per state come to the driver."""
+    def state(label: str) -> Column:
+        role = F.lit(None)
+        for i, r in enumerate(ROLES):
+            role = F.when(F.lower(label) == r, 2 * i).otherwise(role)
+        return role
+
     # inside a piece the role stays; a blank line before the next piece belongs to the turn before
-    rows = labelled.withColumn("s", role + F.when(F.col("line") == 0, 0).otherwise(1)).where(F.col("s").isNotNull())
+    rows = labelled.withColumn("s", state("label") + F.when(F.col("line") == 0, 0).otherwise(1)).where(F.col("s").isNotNull())
     emits = {(r["s"], r["feature"]): r["n"] for r in rows.groupBy("s", "feature").agg(F.count("*").alias("n")).collect()}
-    tops = rows.groupBy("conv", "block", "seq", "raw").agg(F.min("s").alias("s"), F.max("line").alias("last"))
-    inside: dict[tuple[int, int], int] = {}
-    for r in tops.groupBy("s").agg(F.sum(F.when(F.col("last") > 0, 1).otherwise(0)).alias("more"),
-                                   F.sum(F.greatest(F.col("last") - 1, F.lit(0))).alias("on")).collect():
-        inside[r["s"], r["s"] + 1], inside[r["s"] + 1, r["s"] + 1] = r["more"], r["on"]
-    # neighbouring pieces: within a block, so no task orders a whole long conversation
-    order = Window.partitionBy("conv", "block").orderBy("seq", "raw")
-    turned = tops.select("s", "last", "seq", "block", F.lag(F.struct("s", "last")).over(order).alias("p"))
+    steps: dict[tuple[int, int], int] = {}
+    for r in rows.where("line > 0").groupBy("s").agg(F.sum((F.col("line") == 1).cast("int")).alias("more"),
+                                                     F.sum((F.col("line") > 1).cast("int")).alias("on")).collect():
+        steps[r["s"] - 1, r["s"]], steps[r["s"], r["s"]] = r["more"], r["on"]
     starts: dict[int, int] = {}
-    for r in turned.groupBy(F.col("p.s").alias("ps"), (F.col("p.last") > 0).alias("long"), "s").agg(
-            F.count("*").alias("n"), F.sum((F.col("block") <= 0).cast("int")).alias("first")).collect():
-        if r["ps"] is None:
-            starts[r["s"]] = starts.get(r["s"], 0) + r["first"]
-        else:
-            inside[r["ps"] + int(r["long"]), r["s"]] = r["n"]
-    return Model(starts, inside, emits)
+    tops = rows.where("line = 0").select("s", "opens", state("before.label").alias("ps"), (F.col("before.n") > 1).alias("long"))
+    for r in tops.groupBy("s", "opens", "ps", "long").agg(F.count("*").alias("n")).collect():
+        if r["opens"]:
+            starts[r["s"]] = starts.get(r["s"], 0) + r["n"]
+        elif r["ps"] is not None:
+            steps[r["ps"] + int(r["long"]), r["s"]] = r["n"]
+    return Model(starts, steps, emits)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict]]]:
@@ -229,7 +275,7 @@ def parse(transcripts: DataFrame, model: Model, key: str = "conv_id", order: str
     """(key, turn, part, role, text, rendered) of every recovered turn; ``part`` counts blocks that a turn runs on into."""
     rows = saved(lines(transcripts, key, order, text), "chat-lines")
     inside = ["conv", "block"]
-    whole = [*inside, "seq", "raw", "line"]
+    whole = [*inside, "at"]
     dealt = rows.repartition(*inside).sortWithinPartitions(*whole)
     sums = dealt.mapInArrow(partial(_sum_up, model=model), "conv long, block long, first array<double>, matrix array<double>")
     borders = saved(sums.repartition("conv").sortWithinPartitions(*inside).mapInArrow(
@@ -261,3 +307,14 @@ def raw_transcripts(conversations: DataFrame, key: str = "conv_id", order: str =
               .when(style == 2, F.concat(short, F.lit(": "))).otherwise(F.concat(F.lit("<|"), r, F.lit("|>\n"))))
     raw = F.concat(F.when(bare, F.lit("")).otherwise(marker), F.coalesce(F.col(text), F.lit("")), F.lit("\n"))
     return conversations.select(F.col(key), F.col(order), raw.alias("text"), F.col(role).alias("role"))
+
+
+def run_on(pieces: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "text", size: int = 8) -> DataFrame:
+    """The pieces of a conversation joined, up to ``size`` to one text, in their order."""
+    seq = F.coalesce(F.col(order).cast("long"), F.lit(-1))
+    rows = pieces.select(F.col(key).cast("long").alias("conv"), seq.alias("seq"), F.xxhash64(text).alias("raw"),
+                         F.monotonically_increasing_id().alias("tie"), F.col(text).alias("whole"), F.lit(1).cast("long").alias("n"))
+    placed = ordered(rows, ["conv", "seq", "raw", "tie"], ["conv"], "chat-order")
+    joined = placed.groupBy("conv", F.floor(F.col("at") / size).cast("long").alias("g")).agg(
+        F.sort_array(F.collect_list(F.struct("at", "whole"))).alias("p"))
+    return joined.select(F.col("conv").alias(key), F.col("g").alias(order), F.array_join(F.col("p.whole"), "\n").alias(text))

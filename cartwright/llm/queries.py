@@ -44,11 +44,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roles of raw transcripts made from ``conversations``; learned from three quarters of them."""
+    """Roles of raw transcripts made from ``conversations``, turns run together; learned from three quarters of them."""
     pieces = chat_format.raw_transcripts(_table(spark, sf_dir, "conversations"))
     shown = pieces.where(~language_id.held_out(F.col("conv_id")))
     model = chat_format.learn(chat_format.lines(shown, "conv_id", "turn", "text", carry="role"))
-    return chat_format.parse(pieces.drop("role"), model)
+    return chat_format.parse(chat_format.run_on(pieces.drop("role")), model)
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
