@@ -8,7 +8,8 @@ pieces begin is not shown, so turns may run on inside a piece. Start, transition
 probabilities are smoothed counts over labelled lines; the tables have a row per
 feature and state, whatever the corpus.
 
-A conversation is decoded in blocks of ``BLOCK`` piece numbers. Each block is first
+Lines are numbered in order by a distributed sort. A conversation is decoded in blocks
+of at most ``BLOCK`` lines, however its pieces are numbered or keyed. Each block is first
 summed up as a max-plus matrix (best log probability from every entry state to
 every exit state); the chain of matrices gives the exact best states at the block
 borders, and the blocks are then decoded side by side. So the result is Viterbi over
@@ -94,7 +95,7 @@ def lines(transcripts: DataFrame, key: str, order: str, text: str, carry: str |
     told = [F.col("label"), F.when(~opens, F.struct("prev.label", "prev.n")).alias("before"), opens.alias("opens")] if carry else []
     split = placed.withColumn("_l", F.split("whole", "\n"))
     spread = split.select(
-        "conv", "seq", "at", *told, opens.alias("_opens"), F.col("prev.blank").alias("_blank"),
+        "conv", "at", *told, opens.alias("_opens"), F.col("prev.blank").alias("_blank"),
         F.posexplode(F.transform("_l", lambda x, i: F.struct(x.alias("body"), F.get("_l", i - 1).alias("past")))).alias("line", "l"),
     ).withColumn("body", F.col("l.body"))
     name = F.lower(F.regexp_extract("body", "(?i)" + MARKER, 1))
@@ -107,7 +108,7 @@ def lines(transcripts: DataFrame, key: str, order: str, text: str, carry: str |
     kind = F.when(F.trim("body") == "", "blank").when(size < 40, "short").when(size < 200, "middle").otherwise("long")
     asks = F.when(F.rtrim("body").endswith("?"), "?").otherwise(".")
     number = F.col("at") + F.col("line")
-    return spread.select("conv", F.floor(F.col("seq") / BLOCK).cast("long").alias("block"), number.alias("at"), "line",
+    return spread.select("conv", F.floor(number / BLOCK).cast("long").alias("block"), number.alias("at"), "line",
                          *(["label", "before", "opens"] if carry else []),
                          F.when(name != "", F.regexp_replace("body", "(?i)" + MARKER, "")).otherwise(F.col("body")).alias("content"),
                          F.concat_ws("|", role, gap, kind, asks).alias("feature"))
@@ -206,8 +207,8 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iter
 
 PLACE = [("conv", pa.int64()), ("block", pa.int64())]
 SUMS = pa.schema([*PLACE, ("first", pa.list_(pa.float64())), ("matrix", pa.list_(pa.float64()))])
-BORDERS = pa.schema([*PLACE, ("entry", pa.int32()), ("leave", pa.int32())])
-TURNS = pa.schema([*PLACE, ("n", pa.int64()), ("opens", pa.bool_()), ("role", pa.string()), ("text", pa.string())])
+BORDERS = pa.schema([*PLACE, ("entry", pa.int32()), ("leave", pa.int32()), ("closes", pa.bool_())])
+TURNS = pa.schema([*PLACE, ("n", pa.int64()), ("opens", pa.bool_()), ("closed", pa.bool_()), ("role", pa.string()), ("text", pa.string())])
 
 
 def _sum_up(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -221,7 +222,8 @@ def _sum_up(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
 
 
 def _chain(blocks: list[dict], model: Model) -> list[tuple]:
-    """(conv, block, entry, leave) for the blocks of one conversation, in order."""
+    """(conv, block, entry, leave, closes) for the blocks of one conversation, in order; a block closes its last turn
+    unless the next one goes on inside it."""
     score, arrived = None, []
     for b in blocks:
         inner = np.array(b["matrix"]).reshape(STATES, STATES)
@@ -229,11 +231,11 @@ def _chain(blocks: list[dict], model: Model) -> list[tuple]:
         opened = via.max(axis=0) + np.array(b["first"])  # at the block's first line
         arrived.append((via.argmax(axis=0), (opened[:, None] + inner).argmax(axis=0)))
         score = (opened[:, None] + inner).max(axis=0)
-    leave, rows = int(score.argmax()), []
+    leave, closes, rows = int(score.argmax()), True, []
     for b, (came, opened) in zip(blocks[::-1], arrived[::-1]):
         entry = None if b is blocks[0] else int(came[opened[leave]])
-        rows.append((b["conv"], b["block"], entry, leave))
-        leave = entry
+        rows.append((b["conv"], b["block"], entry, leave, closes))
+        leave, closes = entry, int(opened[leave]) % 2 == 0
     return rows[::-1]
 
 
@@ -264,9 +266,13 @@ def _decode(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
                     turns.append((s % 2 == 0, ROLES[s // 2], []))
                 turns[-1][2].append(r["content"])
             n = 0
-            for opens, role, texts in turns:
+            for i, (opens, role, texts) in enumerate(turns):
                 n += opens
-                yield conv, block, n, opens, role, "\n".join(texts).strip("\n")
+                closed = rows[0]["closes"] if i == len(turns) - 1 else True
+                text = "\n".join(texts)
+                # blank lines inside a turn stay where a block ends
+                text = text.lstrip("\n") if opens else text
+                yield conv, block, n, opens, closed, role, text.rstrip("\n") if closed else text
 
     yield from _batched(parts(), TURNS)
 
@@ -279,20 +285,21 @@ def parse(transcripts: DataFrame, model: Model, key: str = "conv_id", order: str
     dealt = rows.repartition(*inside).sortWithinPartitions(*whole)
     sums = dealt.mapInArrow(partial(_sum_up, model=model), "conv long, block long, first array<double>, matrix array<double>")
     borders = saved(sums.repartition("conv").sortWithinPartitions(*inside).mapInArrow(
-        partial(_borders, model=model), "conv long, block long, entry int, leave int"), "chat-borders")
+        partial(_borders, model=model), "conv long, block long, entry int, leave int, closes boolean"), "chat-borders")
     same = F.col("r.conv").eqNullSafe(F.col("b.conv")) & (F.col("r.block") == F.col("b.block"))
-    known = rows.alias("r").join(borders.alias("b"), same).select("r.*", "entry", "leave")
+    known = rows.alias("r").join(borders.alias("b"), same).select("r.*", "entry", "leave", "closes")
     turns = saved(known.repartition(*inside).sortWithinPartitions(*whole).mapInArrow(
-        partial(_decode, model=model), "conv long, block long, n long, opens boolean, role string, text string"), "chat-turns")
+        partial(_decode, model=model), "conv long, block long, n long, opens boolean, closed boolean, role string, text string"), "chat-turns")
     begun = turns.groupBy(*inside).agg(F.max("n").alias("n"))
     before = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block
-    offsets = begun.select(*inside, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("past"))
+    offsets = begun.select(*inside, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("past"),
+                           (F.col("block") - F.min("block").over(Window.partitionBy("conv"))).alias("later"))
     same = F.col("t.conv").eqNullSafe(F.col("o.conv")) & (F.col("t.block") == F.col("o.block"))
-    numbered = turns.alias("t").join(offsets.alias("o"), same).select("t.*", (F.col("past") + F.col("n") - 1).alias("turn"))
-    part = F.when(F.col("opens"), F.lit(0)).otherwise(F.col("block")).cast("long")
+    numbered = turns.alias("t").join(offsets.alias("o"), same).select("t.*", "later", (F.col("past") + F.col("n") - 1).alias("turn"))
+    part = F.when(F.col("opens"), F.lit(0)).otherwise(F.col("later")).cast("long")
     header = F.when(F.col("opens"), F.concat(F.lit("<|"), "role", F.lit("|>\n"))).otherwise(F.lit(""))
     return numbered.select(F.col("conv").alias(key), "turn", part.alias("part"), "role", "text",
-                           F.concat(header, "text", F.lit("\n<|end|>\n")).alias("rendered"))
+                           F.concat(header, "text", F.when(F.col("closed"), F.lit("\n<|end|>\n")).otherwise(F.lit("\n"))).alias("rendered"))
 
 
 def raw_transcripts(conversations: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
