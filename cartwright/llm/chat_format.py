@@ -80,8 +80,8 @@ def ordered(rows: DataFrame, keys: list[str], tail: list[str], name: str) -> Dat
 
 
 def lines(transcripts: DataFrame, key: str, order: str, text: str, carry: str | None = None) -> DataFrame:
-    """(conv, block, at, line, content, feature[, label, before]) of every line; ``at`` numbers all lines in order, content is
-    the line without its marker. Pieces follow one another line by line: their borders are not shown to the model."""
+    """(conv, block, at, line, content, skip, feature[, label, before, opens]) of every line; ``at`` numbers all lines in
+    order, content is the whole line and ``skip`` the length of what looks like a marker. Pieces follow one another line by line: their borders are not shown to the model."""
     seq = F.coalesce(F.col(order).cast("long"), F.lit(-1))
     raw = F.coalesce(F.col(text), F.lit(""))
     cut = F.split(raw, "\n")
@@ -110,7 +110,8 @@ def lines(transcripts: DataFrame, key: str, order: str, text: str, carry: str |
     number = F.col("at") + F.col("line")
     return spread.select("conv", F.floor(number / BLOCK).cast("long").alias("block"), number.alias("at"), "line",
                          *(["label", "before", "opens"] if carry else []),
-                         F.when(name != "", F.regexp_replace("body", "(?i)" + MARKER, "")).otherwise(F.col("body")).alias("content"),
+                         F.col("body").alias("content"),
+                         F.when(name != "", F.length("body") - F.length(F.regexp_replace("body", "(?i)" + MARKER, ""))).otherwise(0).alias("skip"),
                          F.concat_ws("|", role, gap, kind, asks).alias("feature"))
 
 
@@ -118,19 +119,35 @@ class Model:
     """Log probabilities from smoothed counts."""
 
     def __init__(self, starts: dict[int, int], steps: dict[tuple[int, int], int], emits: dict[tuple[int, str], int]):
-        self.features = sorted({f for _, f in emits})
+        features = sorted({f for _, f in emits})
         allowed = np.array([[t % 2 == 0 or t // 2 == s // 2 for t in range(STATES)] for s in range(STATES)])
         start = np.array([starts.get(s, 0) + 0.5 if s % 2 == 0 else 0.0 for s in range(STATES)])
         step = np.array([[steps.get((s, t), 0) + 0.5 for t in range(STATES)] for s in range(STATES)]) * allowed
-        emit = np.array([[emits.get((s, f), 0) + 0.1 for s in range(STATES)] for f in [*self.features, None]])
+        seen = np.array([[emits.get((s, f), 0) for s in range(STATES)] for f in features], float).reshape(-1, STATES)
+        self.total = np.maximum(seen.sum(axis=0), 1)
+        # what a line shows is counted part by part too, and these shares stand behind those of whole features, with one
+        # weight and floor for all states: a state seldom seen must not draw the lines that none has shown
+        self.parts: list[dict[str, np.ndarray]] = [{} for _ in range(4)]
+        for f, n in zip(features, seen):
+            for held, value in zip(self.parts, f.split("|")):
+                held[value] = held.get(value, 0) + n
         with np.errstate(divide="ignore"):
             self.start = np.log(start / start.sum())
             self.step = np.log(step / step.sum(axis=1, keepdims=True))
-            self.emit = np.log(emit / emit.sum(axis=0, keepdims=True))
-        self.index = {f: i for i, f in enumerate(self.features)}
+        self.emit = {f: np.log(0.95 * n / self.total + 0.05 * self.expected(f)) for f, n in zip(features, seen)}
+
+    def expected(self, feature: str) -> np.ndarray:
+        """The share of a feature in each state if its parts were independent."""
+        share = np.ones(STATES)
+        for held, value in zip(self.parts, feature.split("|")):
+            share = share * (held.get(value, 0) / self.total + 0.001)
+        return share
 
     def seen(self, features: list[str]) -> np.ndarray:
-        return self.emit[[self.index.get(f, len(self.features)) for f in features]]
+        for f in features:
+            if f not in self.emit:  # so many kinds of lines at most as parts combine to
+                self.emit[f] = np.log(0.05 * self.expected(f))
+        return np.array([self.emit[f] for f in features]).reshape(-1, STATES)
 
     def summed(self, seen: np.ndarray) -> np.ndarray:
         """Best log probability from each state before these lines to each state at their end."""
@@ -215,7 +232,7 @@ def _sum_up(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
     def sums() -> Iterator[tuple]:
         for (conv, block), rows in _runs(batches):
             matrix = model.summed(model.seen([r["feature"] for r in rows[1:]]))
-            first = model.emit[model.index.get(rows[0]["feature"], len(model.features))]
+            first = model.seen([rows[0]["feature"]])[0]
             yield conv, block, first.tolist(), matrix.ravel().tolist()
 
     yield from _batched(sums(), SUMS)
@@ -264,7 +281,9 @@ def _decode(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
             for r, s in zip(rows, states):
                 if s % 2 == 0 or not turns:
                     turns.append((s % 2 == 0, ROLES[s // 2], []))
-                turns[-1][2].append(r["content"])
+                # a marker is one only where the turn of its role begins; elsewhere it is text
+                marks = s % 2 == 0 and r["feature"].startswith(ROLES[s // 2] + "|")
+                turns[-1][2].append(r["content"][r["skip"]:] if marks else r["content"])
             n = 0
             for i, (opens, role, texts) in enumerate(turns):
                 n += opens

@@ -46,3 +46,13 @@ def test_blocks_hold_a_fixed_number_of_lines(spark, monkeypatch):
     assert max(r["count"] for r in sizes) <= 5 and len(sizes) > 80
     parts, most = joined(chat_format.parse(odd, model))
     assert parts == whole and most > 1
+
+
+def test_marker_words_inside_turns_stay(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    _, model = learned(spark, table)
+    said = "Here it comes.\nAnswer: 42\nContext: none\nmodel\na\nand so on."
+    text = f"Q: what is it\n\nA: {said}\n\nQ: Why?\nQ: again?\n"
+    odd = spark.createDataFrame([(1, 0, text)], "conv_id long, turn long, text string")
+    got = [(r.role, r.text) for r in sorted(chat_format.parse(odd, model).collect(), key=lambda r: r.turn)]
+    assert got == [("user", "what is it"), ("assistant", said), ("user", "Why?\nQ: again?")]
