@@ -150,6 +150,22 @@ def encoder(path: str):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+@lru_cache(maxsize=2)
+def whole_encoder(path: str):
+    """The tokenizers library itself."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def encode(path: str, text: str) -> list[int]:
+    """The ids of a text. tiktoken raises on a run of about a million blanks: such a text goes to the tokenizers library."""
+    try:
+        return encoder(path).encode(text, allowed_special="all")
+    except ValueError:
+        return whole_encoder(path).encode(text, add_special_tokens=False).ids
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` ids; only the first can be shorter than full."""
     if n <= capacity:
@@ -159,13 +175,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, ids_too: bool) -> Iterator[pa.RecordBatch]:
-    coder = encoder(path)
     part = TaskContext.get().partitionId()
     serial = 0
     for batch in batches:
         rows: list[tuple] = []
         for key, text in zip(batch.column("id").to_pylist(), batch.column("_text")):
-            ids = np.array(coder.encode(text.as_py() or "", allowed_special="all") + [END], "<u4")
+            ids = np.array(encode(path, text.as_py() or "") + [END], "<u4")
             for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                 own = ids[start:start + length]
                 serial += 1
