@@ -5,13 +5,16 @@ common words plus "any other". The references are the pooled histograms of each
 language over all documents that pass the base rules. A document is compared to
 every reference by the Jensen-Shannon distance (square root of the divergence in
 bits, 0 to 1) and its closest reference counts. A histogram is judged only when
-the text is long enough for it: short texts diverge by chance.
+the text is long enough for it: short texts diverge by chance. A document of a
+labelled language that is too rare for a reference of its own is not held against
+those of other languages: its divergence is not judged.
 
 Built-in functions only. Words are ``[^\\x20\\x09-\\x0D]+``. Defined results:
 a null text counts as empty: no words, so it fails the base rules; with no
 reference at all (empty table, no labelled document that passes) divergence is
 not judged and ``char_distance`` and ``word_distance`` are null; they are also
-null under the guards. Repeated rows are judged one by one. Input columns named
+null under the guards and for a language without a reference; a null language is
+compared to all references. Repeated rows are judged one by one. Input columns named
 like an output column are replaced by ``judge`` and kept apart by ``judged``.
 """
 
@@ -56,7 +59,7 @@ class Rules:
     word_guard: int = 200
     max_char_distance: float = 0.30
     max_word_distance: float = 0.30
-    # a language needs this share of the judged documents to be a reference, so there are 256 at most
+    # a language needs this share of the judged documents to be a reference, so there are 256 at most; others are not judged
     least_share: float = 1 / 256
     smoothing: float = 0.5
 
@@ -119,20 +122,20 @@ def _common_words(d: DataFrame) -> DataFrame:
     return d.withColumn("_q_words", F.array(*counts, other)).drop("_q_joined")
 
 
-def references(measured: DataFrame, rules: Rules, lang: str = "lang") -> list[tuple[list[float], list[float]]]:
+def references(measured: DataFrame, rules: Rules, lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
     """Smoothed shares of both histograms for each language, one short row per language."""
     names = {"_q_chars": CHAR_BINS, "_q_words": len(vocabulary()) + 1}
     sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c, n in names.items() for i in range(n)]
     pooled = measured.where(~F.col("base_failed") & F.col(lang).isNotNull()).groupBy(lang).agg(F.count("*").alias("_n"), *sums)
     everyone = pooled.agg(F.sum("_n").alias("_all"))
     rows = pooled.where(F.col("_n") >= F.lit(rules.least_share) * everyone.scalar()).orderBy(lang).collect()
-    out = []
+    out = {}
     for r in rows:
         both = []
         for c, n in names.items():
             counts = [r[f"{c}{i}"] + rules.smoothing for i in range(n)]
             both.append([x / sum(counts) for x in counts])
-        out.append(tuple(both))
+        out[r[lang]] = tuple(both)
     return out
 
 
@@ -168,17 +171,18 @@ def judged(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: st
     measured = saved(features(rows, "text").drop("text").withColumn("base_failed", failed), "quality")
     refs = references(measured, rules, "lang")
     if refs:
-        chars = _least([distance(F.col("_q_char_shares"), r[0]) for r in refs])
-        words = _least([distance(F.col("_q_word_shares"), r[1]) for r in refs])
+        chars = _least([distance(F.col("_q_char_shares"), r[0]) for r in refs.values()])
+        words = _least([distance(F.col("_q_word_shares"), r[1]) for r in refs.values()])
     else:
         chars = words = F.lit(None).cast("double")
     n_chars = reduce(lambda a, b: a + b, [F.col("_q_chars")[i] for i in range(CHAR_BINS)])
     odd = (F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False))
            | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))
+    own = F.col("lang").isNull() | F.col("lang").isin(*refs)
     # shares stand in a projection of their own: each distance reads them for every bin
     shared = measured.withColumns({
-        "_q_char_shares": F.when(n_chars >= rules.char_guard, shares(F.col("_q_chars"))),
-        "_q_word_shares": F.when(F.col("n_words") >= rules.word_guard, shares(F.col("_q_words"))),
+        "_q_char_shares": F.when((n_chars >= rules.char_guard) & own, shares(F.col("_q_chars"))),
+        "_q_word_shares": F.when((F.col("n_words") >= rules.word_guard) & own, shares(F.col("_q_words"))),
     })
     return shared.withColumns({"char_distance": chars, "word_distance": words}).withColumn(
         "kept", ~F.col("base_failed") & ~odd).select("row", *ADDED)
