@@ -2,8 +2,8 @@
 
 Pass one scatters every record to a memory-sized bucket by seeded hashes: the
 shard by rendezvous hashing of the key (so one more shard takes records only
-into itself), the bucket inside the shard by a hash of the record and of the
-scan task that read it, so that copies of one record spread too. Pass two
+into itself), the bucket inside the shard by a hash of the record and of its
+number in the scan that read it, so that copies of one record spread too. Pass two
 brings each bucket together, shuffles it with the built-in Fisher-Yates
 ``shuffle`` and writes it. Positions inside a shard are the bucket's offset
 plus the place in the bucket; offsets come from the counts of the written
@@ -54,7 +54,7 @@ def external_shuffle(
     record = [F.col(f"`{c}`") for c in columns]
     total = docs.agg(F.sum(record_size(F.col(text))).alias("b")).first()["b"] or 0
     per_shard = max(1, -(-total // (bucket_bytes * n_shards)))
-    spread = F.xxhash64(F.lit(seed), F.col(key), F.col(text), F.spark_partition_id())
+    spread = F.xxhash64(F.lit(seed), F.col(key), F.col(text), F.monotonically_increasing_id())
     # the record travels as a struct of its own, so that no input column can clash with a working one
     scattered = docs.select(
         rendezvous(F.col(key), n_shards, seed).alias("shard"),
