@@ -177,5 +177,108 @@ FROM ruled
 """
 
 
+def _crc32(text: str) -> str:
+    """Checksum of an ASCII text, bit by bit per byte."""
+    shift = "list_reduce(list_prepend({x}, range(8)), lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    folded = f"list_reduce(list_prepend(4294967295, {codes}), lambda a, b: " + shift.format(x="xor(a, b)") + ")"
+    return f"xor(4294967295, {folded})"
+
+
+def _hashed(fields: list[str]) -> str:
+    parts = [f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+#: levels of a tree that the SQL spells out: 8**7 leaves
+LEVELS = 7
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Tables ``name_0`` (from ``leaves``: grp, pos, h) to ``name_LEVELS`` with the nodes, their siblings and their run's size."""
+    out = [f"{name}_0 AS MATERIALIZED ({leaves})"]
+    for k in range(LEVELS):
+        out.append(f"""{name}_{k + 1} AS MATERIALIZED (
+  SELECT grp, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM {name}_{k}) GROUP BY grp, pos // 8)""")
+    return ",\n".join(out)
+
+
+def _path(name: str, pos: str, grp: str) -> tuple[str, str]:
+    """(joins, list of structs): the others of each run on the way up from a leaf, as text before and behind it."""
+    joins, steps = [], []
+    for k in range(LEVELS):
+        at = f"({pos} // {8 ** k})"
+        joins.append(f"""LEFT JOIN (SELECT a.grp, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r, max(a.n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM {name}_{k}) a
+  JOIN {name}_{k} b ON a.grp = b.grp AND a.pos // 8 = b.pos // 8 GROUP BY a.grp, a.pos) {name}_s{k}
+  ON {name}_s{k}.grp = {grp} AND {name}_s{k}.pos = {at}""")
+        steps.append(f"CASE WHEN {name}_s{k}.n > 1 THEN {{'l': {name}_s{k}.l, 'r': {name}_s{k}.r}} END")
+    return "\n".join(joins), ", ".join(steps)
+
+
+def _op12() -> str:
+    names = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    own_joins, own_steps = _path("own", "x.pos", "x.grp")
+    top_joins, top_steps = _path("top", "x.rank", "0")
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS grp, {_hashed([*names, "text"])} AS leaf,
+    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_hashed([*names, lower])} ELSE {_hashed([*names, "text"])} END AS found
+  FROM documents
+),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    dense_rank() OVER (ORDER BY grp) - 1 AS rank FROM d
+),
+{_tree("own", "SELECT grp, pos, leaf AS h FROM placed")},
+{_tree("top", f"SELECT 0 AS grp, row_number() OVER (ORDER BY grp) - 1 AS pos, h FROM own_{LEVELS}")},
+paths AS MATERIALIZED (
+  SELECT x.doc_id, x.leaf, x.found, s.h AS subroot, t.h AS root, list_filter([{own_steps}, {top_steps}], lambda p: p IS NOT NULL) AS path
+  FROM placed x JOIN own_{LEVELS} s USING (grp) CROSS JOIN top_{LEVELS} t
+  {own_joins}
+  {top_joins}
+),
+ended AS (
+  SELECT *, list_reduce(list_prepend({{'l': found, 'r': ''}}, path), lambda a, p: {{'l': sha256(p.l || a.l || p.r), 'r': ''}}).l AS folded_root
+  FROM paths
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(path, lambda p: p.l || p.r), ''), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM ended
+"""
+
+
+def _op13(k: int = 40, rounds: int = 5) -> str:
+    mark = "sha256('2:' || CAST(vec_id AS VARCHAR))"
+    steps = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x,
+    row_number() OVER (ORDER BY {mark} NULLS LAST, embedding) - 1 AS place
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS MATERIALIZED (SELECT CAST(place AS INTEGER) AS k, x AS c FROM v WHERE place < {k})"""]
+    square = "list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT r, min({{'d': d, 'k': k}}) AS n FROM (SELECT r, k, CAST({square} AS BIGINT) AS d FROM v CROSS JOIN c{i}) GROUP BY r
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+    SELECT k, list(mean ORDER BY i) AS m FROM (
+      SELECT n.k AS k, i, (sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+      FROM near{i} JOIN v USING (r) CROSS JOIN (SELECT unnest(range(1, 65)) AS i) GROUP BY n.k, i)
+    GROUP BY k) USING (k)
+)""")
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, n.k AS cluster, n.d AS distance, CAST(sum(n.d) OVER (PARTITION BY n.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(n.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN v USING (r) JOIN c{rounds} ON c{rounds}.k = n.k
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op5_license_scan": OP5, "op7_url_filter": OP7}
+    return {"op1_quality_rules": OP1, "op5_license_scan": OP5, "op7_url_filter": OP7, "op12_merkle": _op12(), "op13_sharded_lloyd": _op13()}

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, chat_format, language_id, license_scan, multi_index, packing, quality_rules, sharding, simhash, url_filter
+from cartwright.llm import (
+    byte_bpe, chat_format, language_id, license_scan, merkle, multi_index, packing, quality_rules, sharded_lloyd, sharding, simhash,
+    url_filter, vector_packing,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,5 +79,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = vector_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document, by the checksum of its id, is checked with its text in lower case."""
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    text = F.when(third, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), tampered={"text": text})
+    return rows.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+QUERIES = (
+    op1_quality_rules, op2_packing, op3_language_id, op4_multi_index, op5_license_scan, op6_chat_format, op7_url_filter, op8_sharding,
+    op9_byte_bpe, op10_simhash, op11_vector_packing, op12_merkle, op13_sharded_lloyd,
+)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_language_id, op4_multi_index, op5_license_scan, op6_chat_format, op7_url_filter, op8_sharding, op9_byte_bpe, op10_simhash)}
+    return {f.__name__: f for f in QUERIES}
