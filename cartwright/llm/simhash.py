@@ -10,7 +10,7 @@ key only 18 bits are free, which bounds a group by 2**18 members; there, partner
 are looked up by flipping bits instead of comparing pairs. Only links that join
 groups are emitted (a star per group and key), never all pairs; every link is
 verified. Components come from alternating large-star and small-star joins over
-written tables.
+written tables; the edges of a node are spread over ``PARTS`` tasks.
 
 Fingerprints are per text, so exact copies are one node however many they are.
 
@@ -38,6 +38,8 @@ SEED = 42
 #: groups under one key up to this size are compared in memory, larger ones are cut again
 GROUP = 256
 CHUNK = 1 << 16
+#: parts that the edges of one node are spread over
+PARTS = 256
 
 
 def fingerprint(text: str | None) -> int:
@@ -210,15 +212,22 @@ def links(fps: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): every node that is not the smallest of its component, and the smallest."""
+    def with_least(e: DataFrame, node: str, other: str) -> DataFrame:
+        """Edges with ``m``, the smallest neighbour of ``node`` in them; the edges of a hub are spread over ``PARTS`` tasks."""
+        parted = e.withColumn("part", F.pmod(F.xxhash64(other), F.lit(PARTS)))
+        # at most one row per edge here, and PARTS per node
+        least = parted.groupBy(node, "part").agg(F.min(other).alias("m")).groupBy(node).agg(
+            F.min("m").alias("m"), F.collect_set("part").alias("parts"))
+        return parted.join(least.select(node, "m", F.explode("parts").alias("part")), [node, "part"]).select(node, other, "m")
+
     def large_star(e: DataFrame) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        return with_least(both, "u", "v").where("v > u").select(F.col("v").alias("a"), F.least("u", "m").alias("b")).distinct()
 
     def small_star(e: DataFrame) -> DataFrame:
-        least = e.groupBy("a").agg(F.min("b").alias("m"))
-        across = e.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return across.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        # the edge to the smallest neighbour stays, the others are handed on to it
+        handed = F.when(F.col("b") > F.col("m"), F.col("b")).otherwise(F.col("a"))
+        return with_least(e, "a", "b").select(handed.alias("a"), F.col("m").alias("b")).distinct()
 
     def digest(e: DataFrame):
         return e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -235,15 +244,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text_hash, fp, component_id) of every row."""
+    """(id, text_hash, fp, root, component_id) of every row; ``root`` tells components apart, also those of null ids."""
     rows = saved(fingerprints(docs, key, text), "simhash")
     fps = saved(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     stars = components(links(fps.select("fp")))
     rooted = fps.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "text_hash", "fp", "component_id")
+    named = rooted.select("fp", "root").join(smallest, "root")
+    return rows.join(named, "fp").select("id", "text_hash", "fp", "root", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
