@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import language_id, near_copies, quality_rules
+from cartwright.llm import language_id, quality_rules, simhash
 from cartwright.llm.queries import packing_digest
 from cartwright.llm.store import fresh, saved
 
@@ -18,12 +18,16 @@ LEAST_SCORE = 0.25
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, repeated rows and null ids among them; a null text has no word and goes."""
     return quality_rules.judged(docs).where("kept").select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without a letter, or unlike every learned profile, go."""
+    """Documents in a language: those without a letter (null texts too), or unlike every learned profile, go.
+
+    Equal texts fare alike, so repeated rows stay or go together; ties between languages do not matter here. If
+    no row has a label, nothing is learned and nothing stays.
+    """
     found = language_id.identified(docs)
     kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select("row.*")
@@ -32,9 +36,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: the smallest id, then the smallest text hash.
 
-    Links are five-word Jaccard similarities of 0.8 or more (``near_copies``); the three bits of op10 are that query's own rule. Rows alike in id and text are one document. A null id stays only where its component has no other.
+    Links are those of op10: fingerprints of three-word shingles that differ in three bits or fewer. Rows
+    alike in id and text are one document. A null id stays only where its component has no other; texts without a
+    word are one component. An empty table stays empty.
     """
-    found = near_copies.near_copies(docs)
+    found = simhash.near_duplicates(docs)
     member = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
     chosen = found.groupBy("root").agg(F.min(member).alias("m")).select(
         F.col("m.id").alias("id"), F.col("m.text_hash").alias("hash"))
@@ -45,7 +51,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, packed into sequences of 1024 tokens."""
+    """Pieces of all documents, packed into sequences of 1024 tokens; null texts are their end token, repeated rows all count."""
     return packing_digest(docs)
 
 
