@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,28 +85,68 @@ def _doubles(values: Sequence[float]) -> str:
     return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
 
 
-def nearest_center(vector: str, model: CentroidModel) -> Column:
-    """Index (as text) of the closest center after standardising; ties go to the lowest.
+def nearest_text(vector: str, mean: str, scale: str, centers: str) -> str:
+    """SQL text of the index of the closest center after standardising; ties go to the lowest.
 
-    ``vector`` is the SQL text of an array of doubles. The standardised vector
-    and the distances are bound by one-element ``transform`` calls, so each is
-    computed once per row.
+    All four are SQL texts of arrays: literals of one model, or columns of a model row next to
+    the vector. The standardised vector and the distances are bound by one-element
+    ``transform`` calls, so each is computed once per row.
     """
-    scale = _doubles([1.0 if s == 0 else s for s in model.scale])
-    centered = f"zip_with({vector}, {_doubles(model.mean)}, (x, m) -> x - m)"
-    standard = f"zip_with({centered}, {scale}, (x, s) -> x / s)"
-    centers = "array(" + ", ".join(map(_doubles, model.centers)) + ")"
+    centered = f"zip_with({vector}, {mean}, (x, m) -> x - m)"
+    standard = f"zip_with({centered}, {scale}, (x, s) -> x / IF(s = 0, 1.0D, s))"
     squares = "zip_with(z, c, (a, b) -> (a - b) * (a - b))"
     distances = f"transform({centers}, c -> aggregate({squares}, 0.0D, (total, d) -> total + d))"
     bound = f"get(transform(array({standard}), z -> {distances}), 0)"
-    index = f"get(transform(array({bound}), ds -> array_position(ds, array_min(ds)) - 1), 0)"
-    return F.expr(f"CAST({index} AS STRING)")
+    return f"get(transform(array({bound}), ds -> array_position(ds, array_min(ds)) - 1), 0)"
+
+
+def nearest_center(vector: str, model: CentroidModel) -> Column:
+    """Index (as text) of the closest center of one model; ``vector`` is the SQL text of an array of doubles."""
+    centers = "array(" + ", ".join(map(_doubles, model.centers)) + ")"
+    return F.expr(f"CAST({nearest_text(vector, _doubles(model.mean), _doubles(model.scale), centers)} AS STRING)")
+
+
+def model_rows(spark: SparkSession, models: Mapping[str, CentroidModel]) -> DataFrame:
+    """Models at hand as a model table."""
+    rows = [(m.key, list(m.features), list(m.mean), list(m.scale), [list(c) for c in m.centers]) for m in models.values()]
+    return spark.createDataFrame(rows, MODEL_SCHEMA)
+
 
+def used_features(models: DataFrame, plans: Sequence[MicroPlan], available: Collection[str]) -> dict[str, bool]:
+    """Features that the models of the plans use, and whether a capped plan does.
 
-def check_features(model: CentroidModel, available: Mapping[str, str]) -> None:
-    missing = [f for f in model.features if f not in available]
+    An error if a model is missing, doubled, uneven or needs others. One narrow row per model reaches the driver,
+    and as many names as the input has columns.
+    """
+    keys = sorted({p.model_key for p in plans})
+    if not keys:
+        return {}
+    capped = {p.model_key for p in plans if p.capped}
+    wanted = models.sparkSession.createDataFrame([(k, k in capped) for k in keys], "model_key string, _capped boolean")
+    named = models.join(wanted, "model_key")
+    absent = F.array_except("features", F.array(*[F.lit(f) for f in sorted(available)]).cast("array<string>"))
+    even = is_even(F.col("mean"), F.col("scale"), F.col("centers"), F.col("features"))
+    found = named.groupBy("model_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(even).alias("even"),
+        F.max(F.when(F.size(absent) > 0, F.array_join(absent, ", "))).alias("absent")).collect()
+    missing = sorted(set(keys) - {r["model_key"] for r in found})
     if missing:
-        raise KeyError(f"model {model.key} needs features that the input lacks: {', '.join(missing)}")
+        raise KeyError(f"models not found: {missing}")
+    for r in sorted(found, key=lambda r: r["model_key"]):
+        if r["rows"] > 1:
+            raise ValueError(f"model table has several rows for {r['model_key']}")
+        if r["absent"] is not None:
+            raise KeyError(f"model {r['model_key']} needs features that the input lacks: {r['absent']}")
+        if not r["even"]:
+            raise ValueError(f"model {r['model_key']}: feature, scaler and center widths differ")
+    each = named.select(F.explode("features").alias("feature"), "_capped").groupBy("feature").agg(F.max("_capped").alias("capped"))
+    return {r["feature"]: r["capped"] for r in each.orderBy("feature").collect()}
+
+
+def is_even(mean: Column, scale: Column, centers: Column, features: Column) -> Column:
+    """Whether a model row has a center, and all its arrays are as long as its features."""
+    width = F.size(features)
+    return (F.size(mean) == width) & (F.size(scale) == width) & (F.size(centers) > 0) & F.forall(centers, lambda c: F.size(c) == width)
 
 
 # -- capping ----------------------------------------------------------------
@@ -167,13 +207,10 @@ def cap_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 # -- micro-segments ---------------------------------------------------------
 
-def plan_names(segment: Column, plans: Sequence[MicroPlan]) -> Column:
-    """Names of the plans that a segment feeds, as an array."""
-    out = None
-    for seg in sorted({s for p in plans for s in p.source_segments}):
-        fed = F.array(*[F.lit(p.name) for p in plans if seg in p.source_segments])
-        out = F.when(segment == seg, fed) if out is None else out.when(segment == seg, fed)
-    return F.lit(None).cast("array<string>") if out is None else out
+def plan_rows(spark: SparkSession, plans: Sequence[MicroPlan]) -> DataFrame:
+    """One row per plan and source segment."""
+    rows = [(seg, p.name, p.model_key, p.capped) for p in plans for seg in sorted(set(p.source_segments))]
+    return spark.createDataFrame(rows, "Segment string, _plan string, model_key string, _capped boolean")
 
 
 def renamed_columns(columns: Sequence[str], renames: Mapping[str, str]) -> dict[str, str]:
@@ -184,56 +221,58 @@ def renamed_columns(columns: Sequence[str], renames: Mapping[str, str]) -> dict[
     return out
 
 
+def planned_vectors(
+    segmented: DataFrame, plans: Sequence[MicroPlan], models: DataFrame, source: Mapping[str, str]
+) -> tuple[DataFrame, str]:
+    """Customers with each plan that their segment feeds, and the SQL text of that plan's feature vector.
+
+    Plans and models are rows that join the customers on the segment, so the query does not
+    grow with them. The columns that any model uses are one array per customer, of which a
+    model row picks its features by position; a capped plan clips it to its own quantiles first.
+    """
+    spark = segmented.sparkSession
+    used = used_features(models, plans, source)
+    features = list(used)
+    if not features:
+        return segmented.join(plan_rows(spark, plans), "Segment").drop("Segment"), "CAST(array() AS ARRAY<DOUBLE>)"
+    numeric = set(numeric_columns(segmented))
+    at = F.transform("features", lambda f: F.array_position(F.array(*map(F.lit, features)).cast("array<string>"), f).cast("int") - 1)
+    scoring = plan_rows(spark, plans).join(models, "model_key").select(
+        "Segment", "_plan", "model_key", "_capped", at.alias("_at"), F.col("mean").alias("_mean"), F.col("scale").alias("_scale"),
+        F.col("centers").alias("_centers")).withColumnRenamed("model_key", "_key")
+    rows = segmented.join(scoring, "Segment").drop("Segment")
+
+    raw = f"array({', '.join(f'try_cast(`{source[f]}` AS DOUBLE)' for f in features)})"
+    capped = [f for f in features if used[f] and source[f] in numeric]
+    if capped:
+        bounds = cap_bounds(rows.where("_capped"), [source[f] for f in capped], by="_plan")
+        rows = rows.join(F.broadcast(bounds), "_plan", "left")  # one row per capped plan
+        ends = ", ".join(f"_cap_{capped.index(f)}" if f in capped else "CAST(NULL AS ARRAY<DOUBLE>)" for f in features)
+        # a plan without caps has no ends, and least and greatest pass over them
+        raw = f"zip_with({raw}, array({ends}), (v, e) -> IF(v IS NULL, v, least(greatest(v, get(e, 0)), get(e, 1))))"
+    filled = f"transform({raw}, v -> coalesce(nanvl(v, 0.0D), 0.0D))"
+    return rows, f"get(transform(array({filled}), all -> transform(_at, p -> get(all, p))), 0)"
+
+
 def micro_segments(
     segmented: DataFrame,
     plans: Sequence[MicroPlan],
-    models: Mapping[str, CentroidModel],
+    models: DataFrame | Mapping[str, CentroidModel],
     renames: Mapping[str, str],
 ) -> DataFrame:
     """Score all enabled plans in one pass over customers with their ``Segment``.
 
-    Output: the base columns, ``microcluster`` and ``Segment`` = plan name. The
-    only shuffle is the quantile aggregate of the capped plans, which returns
-    one row per capped plan.
+    Output: the base columns, ``microcluster`` and ``Segment`` = plan name. ``segmented`` is read
+    once for the scores and twice more for the quantiles of capped plans: give a written table.
     """
     plans = [p for p in plans if p.enabled]
     base = [c for c in segmented.columns if c != "Segment"]
     source = renamed_columns(base, renames)
-    for p in plans:
-        check_features(models[p.model_key], source)
-
-    rows = segmented.withColumn("_plan", F.explode(plan_names(F.col("Segment"), plans))).drop("Segment")
-
-    cap_plans = [p for p in plans if p.capped]
-    cap_cols = sorted(
-        {source[f] for p in cap_plans for f in models[p.model_key].features}
-        & set(numeric_columns(segmented))
-    )
-    if cap_cols:
-        chosen = rows.where(F.col("_plan").isin([p.name for p in cap_plans]))
-        bounds = F.broadcast(cap_bounds(chosen, cap_cols, by="_plan"))  # one row per capped plan
-        rows = rows.join(bounds, "_plan", "left")
-
-    def feature(plan: MicroPlan, name: str) -> str:
-        column = source[name]
-        value = f"try_cast(`{column}` AS DOUBLE)"
-        if plan.capped and column in cap_cols:
-            bounds = f"_cap_{cap_cols.index(column)}"
-            value = f"IF({value} IS NULL, NULL, least(greatest({value}, get({bounds}, 0)), get({bounds}, 1)))"
-        return f"coalesce(nanvl({value}, 0.0D), 0.0D)"
-
-    cluster = None
-    for p in plans:
-        model = models[p.model_key]
-        vector = f"array({', '.join(feature(p, f) for f in model.features)})"
-        label = nearest_center(vector, model)
-        hit = F.col("_plan") == p.name
-        cluster = F.when(hit, label) if cluster is None else cluster.when(hit, label)
-    return rows.select(
-        *[F.col(f"`{c}`") for c in base],
-        (F.lit(None).cast("string") if cluster is None else cluster).alias("microcluster"),
-        F.col("_plan").alias("Segment"),
-    )
+    if not isinstance(models, DataFrame):
+        models = model_rows(segmented.sparkSession, models)
+    rows, vector = planned_vectors(segmented, plans, models, source)
+    label = F.expr(f"CAST({nearest_text(vector, '_mean', '_scale', '_centers')} AS STRING)")
+    return rows.select(*[F.col(f"`{c}`") for c in base], label.alias("microcluster"), F.col("_plan").alias("Segment"))
 
 
 def attach_assignments(base: DataFrame, assignments: DataFrame) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from cartwright.operators import centroids as M
 from cartwright.operators import segments as S
+from cartwright.operators.fitting import fit_models
+from cartwright.session import written
 
 
 @dataclass(frozen=True)
@@ -40,19 +42,34 @@ def segments_with_features(features: DataFrame, spec: SegmentSpec) -> DataFrame:
     return S.with_segment(segment_base(features, spec), spec.flags, spec.renames)
 
 
-def micro_segments(
-    features: DataFrame, spec: SegmentSpec, models: Mapping[str, M.CentroidModel]
-) -> DataFrame:
+Models = DataFrame | Mapping[str, M.CentroidModel]
+
+
+def micro_segments(features: DataFrame, spec: SegmentSpec, models: Models, write_once: bool = True) -> DataFrame:
     """Micro-segments of all plans next to the base features.
 
     Customer features hold one row per customer, so the segment is computed on
-    the row itself and neither the assignments nor the features are joined back.
+    the row itself and neither the assignments nor the features are joined back. Capped plans read
+    the rows three times, so they are written once, unless ``features`` is a written table already.
+    """
+    segmented = segments_with_features(features, spec)
+    if write_once and any(p.enabled and p.capped for p in spec.plans):
+        segmented = written(segmented, "segmented")
+    return M.micro_segments(segmented, spec.plans, models, spec.micro_renames)
+
+
+def fitted_models(features: DataFrame, spec: SegmentSpec, wanted: Mapping[str, Sequence[str]], clusters: int = 4, seed: int = 1,
+                  rounds: int = 20) -> DataFrame:
+    """A model table for the enabled plans, fitted on the customers that each plan would score.
+
+    ``wanted`` names the features of every model key.
     """
-    return M.micro_segments(segments_with_features(features, spec), spec.plans, models, spec.micro_renames)
+    segmented = written(segments_with_features(features, spec), "segmented")
+    return fit_models(segmented, spec.plans, wanted, spec.micro_renames, clusters, seed, rounds)
 
 
 def micro_segments_from_assignments(
-    base: DataFrame, assignments: DataFrame, spec: SegmentSpec, models: Mapping[str, M.CentroidModel]
+    base: DataFrame, assignments: DataFrame, spec: SegmentSpec, models: Models
 ) -> DataFrame:
     """The same from stored assignments, by a join on the customer id."""
     return M.micro_segments(M.attach_assignments(base, assignments), spec.plans, models, spec.micro_renames)

@@ -8,8 +8,10 @@ one stage, never the stages before it.
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,15 +138,32 @@ def run_customers(spark: SparkSession, cfg: FeatureConfig, dims: P.Dimensions |
     return cfg.customer_output_path
 
 
+def read_models(spark: SparkSession, cfg: SegmentConfig) -> DataFrame:
+    """The model rows of the enabled plans, each key from the table that the configuration names for it."""
+    paths: dict[str, list[str]] = {}
+    for key in sorted({p.model_key for p in cfg.spec.plans if p.enabled}):
+        paths.setdefault(cfg.model_paths[key], []).append(key)
+    parts = [spark.read.schema(M.MODEL_SCHEMA).parquet(path).where(F.col("model_key").isin(keys)) for path, keys in paths.items()]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], M.MODEL_SCHEMA))
+
+
+def run_model_fit(spark: SparkSession, cfg: SegmentConfig, wanted: Mapping[str, Sequence[str]], features_path: str | None = None,
+                  clusters: int = 4) -> list[str]:
+    """Fit the models of the enabled plans on written customer features and write each to its configured table."""
+    features = R.read_parquet(spark, features_path or cfg.input_path)
+    models = G.fitted_models(features, cfg.spec, wanted, clusters)
+    paths = sorted({cfg.model_paths[p.model_key] for p in cfg.spec.plans if p.enabled})
+    for path in paths:
+        keys = [k for k in wanted if cfg.model_paths.get(k) == path]
+        models.where(F.col("model_key").isin(keys)).coalesce(1).write.mode("overwrite").parquet(path)
+    return paths
+
+
 def run_segments(spark: SparkSession, cfg: SegmentConfig, features_path: str | None = None) -> tuple[str, str]:
     """Rule segments and micro-segments from written customer features."""
     features = R.read_parquet(spark, features_path or cfg.input_path)
     write_features(G.rule_segments(features, cfg.spec), cfg.segments_path)
-    enabled = [p for p in cfg.spec.plans if p.enabled]
-    models: dict[str, M.CentroidModel] = {}
-    for key in {p.model_key for p in enabled}:
-        models |= M.load_models(spark.read.parquet(cfg.model_paths[key]), [key])
-    write_features(G.micro_segments(features, cfg.spec, models), cfg.micro_path)
+    write_features(G.micro_segments(features, cfg.spec, read_models(spark, cfg), write_once=False), cfg.micro_path)
     base = G.flagged(G.segment_base(features, cfg.spec), cfg.spec)
     summary = S.segment_summary(base).withColumnsRenamed({c: c.lower().replace(" ", "_") for c in S.SUMMARY})
     summary.write.mode("overwrite").parquet(f"{cfg.segments_path}{SUMMARY}")

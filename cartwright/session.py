@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for. They are runtime settings, so a job can
 # apply them to a session the cluster created.
@@ -50,3 +50,12 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Remove a written intermediate when the application ends; results that read it work until then."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that read it several times."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    delete_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

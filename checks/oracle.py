@@ -580,6 +580,10 @@ cte("grid_vec", "grid_planned", "grid_bounds", sql=f"""
 SELECT p.algonomy_id, p.plan, {vector()} AS v FROM grid_planned p LEFT JOIN grid_bounds b ON p.plan = b.plan""")
 query("microsegments_grid", "grid_vec", sql=f"""SELECT algonomy_id, plan AS Segment, {label('d')} AS microcluster
   FROM (SELECT algonomy_id, plan, {DIST} AS d FROM grid_vec)""")
+query("fit_models", "grid_vec", sql=f"""SELECT k.model_key, 4 AS centers, list_extract({sql_list(spec.MODEL_FEATURES)}, i) AS feature,
+  {r6('avg(coalesce(v[i], 0))')} AS mean, {r6('stddev_samp(coalesce(v[i], 0))')} AS scale
+  FROM grid_vec JOIN (VALUES {', '.join(f"('{name}', '{key}')" for name, _, key in spec.PLAN_SOURCES)}) AS k(plan, model_key) USING (plan)
+  CROSS JOIN (SELECT CAST(unnest(range(1, {len(spec.MODEL_FEATURES) + 1})) AS INTEGER) AS i) GROUP BY k.model_key, i""")
 query("microcluster_sizes", "micro", sql="SELECT Segment, microcluster, count(*) AS customers FROM micro GROUP BY ALL")
 query("quality_counters", "o", "li", "cat", "clean", "store", sql=f"""
 SELECT 'orders' AS step, 'rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM o

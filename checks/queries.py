@@ -549,6 +549,15 @@ def microsegments_grid(st: Stage) -> DataFrame:
     return scored.select(N.CUSTOMER_ID, "Segment", "microcluster")
 
 
+def fit_models(st: Stage) -> DataFrame:
+    """Models of all plans fitted on every order line as a customer; the scaler in full, the centers by number."""
+    columns = [F.expr(e.replace("VARCHAR", "STRING")).alias(c) for c, e in spec.grid_columns().items()]
+    wanted = {p.model_key: spec.MODEL_FEATURES for p in spec.PLANS}
+    models = G.fitted_models(st.table("lineitem").select(*columns), spec.SPEC, wanted)
+    each = models.select("model_key", F.size("centers").alias("centers"), F.inline(F.arrays_zip("features", "mean", "scale")))
+    return rounded(each.withColumnRenamed("features", "feature"), "mean", "scale")
+
+
 def microcluster_sizes(st: Stage) -> DataFrame:
     return M.microcluster_sizes(microsegments(st))
 
@@ -603,7 +612,7 @@ QUERIES: dict[str, Callable[[Stage], DataFrame]] = {
         price_bucket, normalize_category, ensure_list, create_flags, rename_features,
         segment_load_filter, segment_band, segment_rules_grid, segment_dedupe, segment_summary,
         rule_segments, segments_with_features, cap_outliers, kmeans_assign, microsegments,
-        microsegments_grid, microcluster_sizes, quality_counters,
+        microsegments_grid, fit_models, microcluster_sizes, quality_counters,
     )
 }
 QUERIES["customer_features"] = all_customer_features
