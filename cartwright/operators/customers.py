@@ -221,6 +221,26 @@ def _scoped_totals(named: dict[str, tuple[str, str]], group: str) -> MetricGroup
     return MetricGroup(aggs, [F.col(name) for name in named], group)
 
 
+def encoded_bucket_metrics(buckets: Sequence[str]) -> MetricGroup:
+    """The same as ``bucket_metrics`` from the bucket bits of encoded orders."""
+    aggs, names = [], []
+    for prefix in PREFIXES:
+        own = "" if prefix == "omnichannel" else f" AND channel = '{N.OWNAPP}'"
+        for i, col in enumerate(buckets):
+            name = f"{prefix}_order_count_with_{col.replace('_items_count', '_price_range_items')}"
+            names.append(name)
+            aggs.append(F.expr(f"count_if(_any AND (_bucket & {1 << i}) <> 0{own})").alias(name))
+    return MetricGroup(aggs, [F.col(n) for n in names], "buckets")
+
+
+def encoded_label_metrics(kind: str, labels: LabelSet, column: str, count_name: str) -> MetricGroup:
+    """The same as ``unique_label_metrics`` from the bitsets of encoded orders."""
+    words = [f"_{kind}_list{w}" for w in range(labels.words)]
+    aggs = [F.expr(f"bit_or({w})").alias(f"_all{w}") for w in words]
+    bits = [f"coalesce(_all{w}, 0L)" for w in words]
+    return MetricGroup(aggs, [labels.to_array(bits).alias(column), labels.count(bits).alias(count_name)], column)
+
+
 def delivery_metrics() -> MetricGroup:
     """Mean own-app minutes from order to delivery, both on the same clock."""
     minutes = X.minutes_between(F.col("order_placed_datetime"), F.col("order_delivery_datetime"))
@@ -241,14 +261,46 @@ def aggregate_customers(unified: DataFrame, groups: Sequence[MetricGroup]) -> Da
     return wide.select(N.CUSTOMER_ID, *[c for g in groups for c in g.project])
 
 
-def all_groups(catalog: Catalog, buckets: Sequence[str], reference: date) -> list[MetricGroup]:
-    return [
-        discount_metrics(),
-        unique_label_metrics(N.BASE_LIST, catalog.base, "unique_category_base_products_count"),
-        unique_label_metrics(N.DRI_LIST, catalog.dri, "unique_dri_category_count"),
-        order_metrics(reference),
-        daypart_metrics(),
-        bucket_metrics(buckets),
-        category_metrics(catalog),
-        delivery_metrics(),
+def label_counts(unified: DataFrame, present: str, lists: Sequence[str] = ()) -> DataFrame:
+    """Orders per customer and label, and distinct labels, in long form: the plan does not grow with the labels.
+
+    ``present`` is the SQL text of an order's label positions; ``lists`` are array columns of label names.
+    Every (customer, label) folds before the shuffle, so a customer with a third of all orders arrives as few
+    rows. Output: the customer, ``_counts`` (position -> orders, own-app orders) and ``_list_i`` for each
+    of the lists, sorted; customers without any label are absent.
+    """
+    entries = [f"transform({present}, i -> named_struct('kind', 0, 'at', i, 'label', CAST(NULL AS STRING)))"]
+    entries += [f"transform(array_distinct({c}), x -> named_struct('kind', {k}, 'at', 0, 'label', x))" for k, c in enumerate(lists, 1)]
+    each = unified.where(F.col(N.CUSTOMER_ID).isNotNull()).select(
+        N.CUSTOMER_ID, _is(N.OWNAPP).alias("_own"), F.expr(f"inline(concat({', '.join(entries)}))"))
+    counted = each.where("kind = 0 OR label IS NOT NULL").groupBy(N.CUSTOMER_ID, "kind", "at", "label").agg(
+        F.count(F.lit(1)).alias("orders"), F.count_if(F.col("_own")).alias("own"))
+    return counted.groupBy(N.CUSTOMER_ID).agg(
+        F.expr("map_from_entries(collect_list(struct(at, struct(orders, own))) FILTER (WHERE kind = 0))").alias("_counts"),
+        *[F.expr(f"array_sort(collect_list(label) FILTER (WHERE kind = {k}))").alias(f"_list_{k}") for k in range(1, len(lists) + 1)])
+
+
+def with_label_counts(wide: DataFrame, counts: DataFrame, catalog: Catalog, lists: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Spell the long form out: two counts per label column, and (column, count column) for each list."""
+    joined = wide.join(counts, N.CUSTOMER_ID, "left")
+    spelled = [
+        f"coalesce(try_element_at(_counts, {i}).{field}, 0L) AS `{prefix}_{col}_count`"
+        for prefix, field in zip(PREFIXES, ("orders", "own")) for i, col in enumerate(catalog.columns)
     ]
+    for k, (column, count) in enumerate(lists, 1):
+        spelled += [f"coalesce(_list_{k}, array()) AS `{column}`", f"CAST(coalesce(size(_list_{k}), 0) AS BIGINT) AS `{count}`"]
+    return joined.selectExpr(*[f"`{c}`" for c in wide.columns], *spelled)
+
+
+LISTS = ((N.BASE_LIST, "unique_category_base_products_count"), (N.DRI_LIST, "unique_dri_category_count"))
+
+
+def narrow_groups(reference: date) -> list[MetricGroup]:
+    """Metrics that need neither labels nor price buckets."""
+    return [discount_metrics(), order_metrics(reference), daypart_metrics(), delivery_metrics()]
+
+
+def encoded_groups(catalog: Catalog, buckets: Sequence[str], reference: date) -> list[MetricGroup]:
+    sets = {"base": catalog.base, "dri": catalog.dri}
+    lists = [encoded_label_metrics(kind, ls, *names) for (kind, ls), names in zip(sets.items(), LISTS)]
+    return [*narrow_groups(reference), encoded_bucket_metrics(buckets), *lists]

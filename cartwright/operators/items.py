@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,10 @@ IN_STORE = ItemKeys(
 )
 
 
+#: lines of several feeds in one frame, see ``united_lines``
+UNITED = ItemKeys(order="_order", item="_item", price="_price", header="_header", choice="_choice", promo="_promo")
+
+
 # -- row-grain operators ----------------------------------------------------
 
 def map_categories(items: DataFrame, categories: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
@@ -93,30 +98,21 @@ def header_covers(combos: DataFrame, keys: ItemKeys) -> DataFrame:
     return known.groupBy(keys.item, "_choice").agg(F.max(F.col("_limit").cast("bigint")).alias("_limit"))
 
 
-def with_limits(pairs: DataFrame, combos: DataFrame, payable: Column, keys: ItemKeys) -> DataFrame:
-    """Add ``_limit``: the largest quantity of this pair that a header of its order covers.
+def fold_pairs(lines: DataFrame, aggs: Sequence[Column], sold: DataFrame, combos: DataFrame, keys: ItemKeys) -> DataFrame:
+    """Fold lines to one row per (order, item), with ``_limit``: the largest quantity that a header of the order covers.
 
-    Sold headers meet their choices in a plain join, which may be broadcast or
-    split where a header is hot. It emits narrow (order, choice, limit) rows,
-    and these meet the pairs in one aggregate on (order, item) that combines
-    before the shuffle. No task holds an order.
+    Sold items meet the combos they head in a plain join, which may be broadcast or
+    split where a header is hot. It emits narrow (order, choice, limit) rows, and these meet
+    the lines in the one aggregate on (order, item), which combines before the shuffle. No
+    task holds an order, and every line is shuffled once. ``aggs`` see only NULL in the emitted rows.
     """
-    measures = [c for c in pairs.columns if c not in (keys.order, keys.item)]
-    known = pairs.where(F.col(keys.order).isNotNull())
-    offers = (
-        known.where(payable).select(keys.order, keys.item)
-        .join(header_covers(combos, keys), keys.item)
-        .select(keys.order, F.col("_choice").alias(keys.item), "_limit", F.lit(False).alias("_own"))
-    )
-    own = known.withColumns({"_limit": F.lit(None).cast("bigint"), "_own": F.lit(True)})
+    offers = sold.select(keys.order, keys.item).join(header_covers(combos, keys), keys.item).select(
+        keys.order, F.col("_choice").alias(keys.item), "_limit")
+    own = lines.withColumns({"_limit": F.lit(None).cast("bigint"), "_own": F.lit(True)})
     return (
         own.unionByName(offers, allowMissingColumns=True)
         .groupBy(keys.order, keys.item)
-        .agg(
-            *[F.max(c).alias(c) for c in measures],
-            F.max("_limit").alias("_limit"),
-            F.max("_own").alias("_own"),
-        )
+        .agg(*aggs, F.max("_limit").alias("_limit"), F.max("_own").alias("_own"))
         .where(F.col("_own"))
         .drop("_own")
     )
@@ -129,7 +125,9 @@ def covered(quantity: Column) -> Column:
 
 def choice_pairs(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
     """(order, item) pairs that are choices of a combo in the same order."""
-    pairs = with_limits(pair_counts(items, keys), combos, F.lit(True), keys)
+    known = payable_items(items, keys).where(F.col(keys.order).isNotNull() & F.col(keys.item).isNotNull())
+    quantity = F.coalesce(F.sum(keys.quantity), F.lit(0)).cast("bigint").alias("order_quantity")
+    pairs = fold_pairs(known.select(keys.order, keys.item, keys.quantity), [quantity], known, combos, keys)
     return pairs.where(covered(F.col("order_quantity"))).select(keys.order, keys.item)
 
 
@@ -271,10 +269,10 @@ def encoded_item_features(
 ) -> DataFrame:
     """Every item-derived feature of an order, bitsets undecoded, in one pass over the lines.
 
-    1. Lines fold to one row per (order, item). The fold runs before the
-       shuffle, so one huge order or one hot item arrives as few rows.
-    2. Pairs get their choice limits in an aggregate on (order, item) and their
-       labels by a join on the item.
+    1. Lines fold to one row per (order, item), together with the choice limits that
+       sold headers emit. The fold runs before the shuffle, so one huge order or one
+       hot item arrives as few rows.
+    2. Pairs get their labels by a join on the item.
     3. Pairs fold to one row per order, again combining before the shuffle.
 
     All buffers are fixed-width numbers and bitsets. The separate operators
@@ -282,27 +280,24 @@ def encoded_item_features(
     """
     payable, qty = keys.payable(), F.col(keys.quantity)
     counted = payable & qty.isNotNull()
-    first = [
-        F.sum(qty).alias("_qty"),
-        F.max(payable).alias("_payable"),
-        F.max(counted).alias("_counted"),
-        F.coalesce(F.sum(F.when(payable, qty)), F.lit(0)).alias("_paid_qty"),
-        F.bit_or(_bucket_bit(F.col(keys.price), counted, bins)).alias("_bucket"),
-    ]
+    # what the aggregates need of a line, so that rows without a line have NULL in all of it
+    inputs = {
+        "_qty": qty, "_payable": payable, "_counted": counted, "_paid_qty": F.when(payable, qty),
+        "_bucket": _bucket_bit(F.col(keys.price), counted, bins),
+    }
+    first = {"_qty": F.sum, "_payable": F.max, "_counted": F.max, "_paid_qty": lambda c: F.coalesce(F.sum(c), F.lit(0)), "_bucket": F.bit_or}
     if keys.details:
         veg = F.col("is_veg").cast("int")
-        first += [
-            F.max("is_customized").alias("_custom"),
-            F.min(veg).alias("_veg_min"),
-            F.sum(veg).alias("_veg_sum"),
-        ]
+        inputs |= {"_custom": F.col("is_customized"), "_veg_min": veg, "_veg_sum": veg}
+        first |= {"_custom": F.max, "_veg_min": F.min, "_veg_sum": F.sum}
     if keys.promo is not None:
-        first.append(F.sum(F.when(F.col(keys.promo), qty)).alias("_promo"))
+        inputs["_promo_qty"] = F.when(F.col(keys.promo), qty)
+        first["_promo_qty"] = F.sum
 
-    pairs = items.where(F.col(keys.order).isNotNull()).groupBy(keys.order, keys.item).agg(*first)
-    labelled = with_limits(pairs, combos, F.col("_payable"), keys).join(
-        category_dim(categories, catalog, keys), keys.item, "left"
-    )
+    known = items.where(F.col(keys.order).isNotNull())
+    lines = known.select(keys.order, keys.item, *[c.alias(n) for n, c in inputs.items()])
+    pairs = fold_pairs(lines, [f(n).alias(n) for n, f in first.items()], known.where(payable), combos, keys)
+    labelled = pairs.join(category_dim(categories, catalog, keys), keys.item, "left")
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     kept = F.col("_payable") & F.col("_mapped") & ~covered(F.col("_paid_qty") * copies)
     marked = labelled.withColumn("_kept", F.coalesce(kept, F.lit(False)))
@@ -317,7 +312,7 @@ def encoded_item_features(
             F.sum(F.col("_veg_sum") * copies).cast("bigint").alias("veg_count"),
         ]
     if keys.promo is not None:
-        promo = F.sum(F.col("_promo") * copies)
+        promo = F.sum(F.col("_promo_qty") * copies)
         second.append(_or_zero(promo).cast("bigint").alias("promo_items"))
     second.append(F.bit_or(F.when(is_kept, F.col("_bucket"))).alias("_bucket"))
     for kind, ls in (("dri", catalog.dri), ("base", catalog.base)):
@@ -328,6 +323,40 @@ def encoded_item_features(
     return marked.groupBy(F.col(keys.order).alias(N.ORDER_ID)).agg(*second)
 
 
+def feed_key(feed: int, key: Column) -> Column:
+    """A key that tells equal keys of different feeds apart; NULL stays NULL."""
+    return F.when(key.isNotNull(), F.struct(F.lit(feed).alias("feed"), key.alias("key")))
+
+
+def _item_feed(keys: ItemKeys) -> int:
+    """Feeds that name items alike share their dimension rows."""
+    return (DELIVERY.item, IN_STORE.item).index(keys.item)
+
+
+def united_lines(feeds: Sequence[tuple[int, DataFrame, ItemKeys]]) -> DataFrame:
+    """Lines of all feeds with the columns of ``UNITED``, so that one fold serves every channel."""
+    parts = [
+        lines.select(
+            feed_key(feed, F.col(keys.order).cast("bigint")).alias("_order"),
+            feed_key(_item_feed(keys), F.col(keys.item)).alias("_item"),
+            F.col(keys.price).cast("double").alias("_price"),
+            F.col(keys.quantity).cast("bigint").alias("quantity"),
+            (F.lit(False) if keys.promo is None else F.col(keys.promo)).alias("_promo"),
+        )
+        for feed, lines, keys in feeds
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def united_dimensions(categories: DataFrame, combos: DataFrame, forms: Sequence[ItemKeys]) -> tuple[DataFrame, DataFrame]:
+    """Categories and combos under the item keys of ``UNITED``, for the forms of keys that occur."""
+    forms = list({_item_feed(k): k for k in forms}.values())
+    labels = [categories.select(feed_key(_item_feed(k), F.col(k.item)).alias("_item"), N.BASE_LABEL, N.DRI_LABEL) for k in forms]
+    covers = [combos.select(feed_key(_item_feed(k), F.col(k.header)).alias("_header"),
+                            feed_key(_item_feed(k), F.col(k.choice)).alias("_choice"), "Qty") for k in forms]
+    return reduce(DataFrame.unionByName, labels), reduce(DataFrame.unionByName, covers)
+
+
 def decode_item_features(
     df: DataFrame, catalog: Catalog, labels: Sequence[str] = N.BUCKET_LABELS
 ) -> DataFrame:

@@ -10,7 +10,7 @@ term, and a plan with hundreds of them is still built quickly.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -76,12 +76,19 @@ class LabelSet:
         """One 0/1 column per output name from the bitset words; NULL unless ``known``."""
         out = []
         for column in self.columns:
-            masks = [0] * self.words
-            for i, name in enumerate(self.normalized):
-                if self.prefix + name == column:
-                    masks[i // WORD_BITS] |= 1 << (i % WORD_BITS)
-            hit = " OR ".join(f"({words[w]} & {m}L) <> 0" for w, m in enumerate(masks) if m)
-            out.append(F.expr(f"CASE WHEN {known} THEN CAST({hit} AS INT) END").alias(column))
+            out.append(F.expr(f"CASE WHEN {known} THEN CAST({self.hit(words, column)} AS INT) END").alias(column))
+        return out
+
+    def hit(self, words: list[str], column: str) -> str:
+        """Whether the words hold any raw label behind one output column (SQL text)."""
+        return " OR ".join(f"({words[w]} & {m}L) <> 0" for w, m in enumerate(self.masks(column)) if m)
+
+    def masks(self, column: str) -> list[int]:
+        """Bits, word by word, of the raw labels behind one output column."""
+        out = [0] * self.words
+        for i, name in enumerate(self.normalized):
+            if self.prefix + name == column:
+                out[i // WORD_BITS] |= 1 << (i % WORD_BITS)
         return out
 
     def to_array(self, words: list[str], known: str = "true") -> Column:
@@ -126,6 +133,20 @@ class Catalog:
     def columns(self) -> list[str]:
         return self.base.columns + self.dri.columns
 
+    def listed(self, hits: Iterable[str]) -> str:
+        """Positions in ``columns`` whose condition holds, as an array (SQL text)."""
+        terms = ", ".join(f"IF({hit}, {i}, NULL)" for i, hit in enumerate(hits))
+        return f"array_compact(array({terms}))" if terms else "CAST(array() AS ARRAY<INT>)"
+
+    def present_in_flags(self) -> str:
+        """The same from 0/1 columns of written order features."""
+        return self.listed(f"`{c}` = 1" for c in self.columns)
+
+    def present_in_words(self, words: Mapping[str, list[str]]) -> str:
+        """The same from bitset words, by kind of label."""
+        kinds = (("base", self.base), ("dri", self.dri))
+        return self.listed(ls.hit(words[kind], c) for kind, ls in kinds for c in ls.columns)
+
     @staticmethod
     def from_categories(categories: DataFrame, exclude: str = N.EXCLUDE_LABEL) -> "Catalog":
         base = F.trim(F.col(f"`{N.BASE_LABEL}`"))

@@ -19,7 +19,7 @@ from cartwright.operators import segments as S
 from cartwright.operators.labels import Catalog
 from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
-from cartwright.plans.customer_features import customer_features
+from cartwright.plans.customer_features import Feed, customer_features, customer_features_of_feeds
 from cartwright.session import delete_at_exit, shared_dir
 from cartwright.sources import readers as R
 from cartwright.sources import sinks
@@ -321,10 +321,12 @@ def union_channels(st: Stage) -> DataFrame:
 
 def _customers(st: Stage, *groups: C.MetricGroup) -> DataFrame:
     """Without own-app semi-joins: the customer aggregate drops the others anyway."""
-    return customer_features(
-        _ownapp(st), _swiggy(st, None), _instore(st, None), st.catalog, CUTOFF, REFERENCE,
-        groups=groups or None,
-    )
+    if groups:
+        return customer_features(
+            _ownapp(st), _swiggy(st, None), _instore(st, None), st.catalog, CUTOFF, REFERENCE, groups=groups)
+    feeds = {c: Feed(st.delivery_orders(c), st.delivery_items(c)) for c in (N.OWNAPP, N.SWIGGY)}
+    feeds[N.INSTORE] = Feed(st.instore_orders, st.instore_items)
+    return customer_features_of_feeds(feeds, st.dims, WINDOW, CUTOFF, REFERENCE)
 
 
 MEANS = ("omnichannel_aov", "omnichannel_avg_discount")

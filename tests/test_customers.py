@@ -135,3 +135,65 @@ def test_catalog_from_written_features(spark):
     a = spark.createDataFrame([(["Core"], ["Fries"]), (None, [])], f"{N.DRI_LIST} array<string>, {N.BASE_LIST} array<string>")
     b = spark.createDataFrame([(["Value", "Core"], ["Coffee"])], a.schema)
     assert Catalog.from_order_features([a, b]) == CATALOG
+
+
+def test_many_labels(spark):
+    """Twenty thousand labels: none of them in the plan, sets and counts right."""
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias(N.CUSTOMER_ID), F.lit(N.OWNAPP).alias("channel"),
+        F.array(F.concat(F.lit("label "), F.col("id")), F.lit("shared"), F.lit(None).cast("string")).alias("labels"),
+        F.array(F.col("id").cast("int"), F.lit(7)).alias("at"))
+    found = C.label_counts(rows, "array_distinct(at)", ["labels"])
+    assert "label 1" not in found._jdf.queryExecution().optimizedPlan().toString()
+    by = {r[N.CUSTOMER_ID]: r for r in found.collect()}
+    for c in range(3):
+        ids = range(c, 20_000, 3)
+        assert by[f"c{c}"]["_list_1"] == sorted([f"label {i}" for i in ids] + ["shared"])
+        counts = by[f"c{c}"]["_counts"]
+        assert counts[7]["orders"] == len(ids) and counts[7]["own"] == len(ids) and len(counts) == len(set(ids) | {7})
+
+
+def test_feeds_and_written_order_features_agree(spark):
+    """Channels that share order ids, items without labels, orders without lines or customers, NULL quantities."""
+    from cartwright.plans import order_features as P
+    from cartwright.plans.customer_features import Feed, customer_features_of_feeds
+    from checks.compare import rows_of
+
+    rng = random.Random(11)
+    base = datetime(2025, 1, 1)
+    ids = range(60)
+    frame = spark.createDataFrame
+    delivery = "id long, store_id_id int, order_placed_datetime timestamp_ntz, order_delivery_datetime timestamp_ntz, discounted_price double, sub_total_price double, total_price double"
+
+    def orders(n):
+        return frame([(i, 1, base + timedelta(hours=rng.randrange(4000)), base if i % 5 else None, float(i % 4), 9.0, 10.0) for i in ids if i % n], delivery)
+
+    def lines(n):
+        return frame([(i if i % 11 else None, rng.choice(["1", "2", "3", "4", None]), rng.choice([1, 2, None]), rng.choice([None, 10.0, 120.0, 700.0]),
+                       rng.choice([True, False, False, None]), True, False) for i in ids for _ in range(i % n)],
+                     "sales_id long, item_id_id string, quantity int, original_price double, promo_item boolean, is_customized boolean, is_veg boolean")
+
+    instore = frame([(i, base + timedelta(hours=i), 1, 10.0, 1.0, 9.0, "t", "s") for i in ids if i % 4],
+                    "InvoiceNo long, BussTime timestamp_ntz, StoreCode int, GrossAmount double, Discount double, BaseAmount double, TransType string, SaleType string")
+    instore_lines = frame([(i, base, 1, rng.choice(["P1", "P2", "P9"]), 1, 50.0) for i in ids for _ in range(3)],
+                          "InvoiceNo long, OrderDatetime timestamp_ntz, StoreCode int, ProductCode string, quantity int, PriceNet double")
+    mapped = [(i, f"u{i % 7}" if i % 13 else None) for i in ids]
+    # the map dates the in-store business; delivery orders are found by invoice alone
+    maps = frame([(i, c, (base + timedelta(hours=i)).date(), 1) for i, c in mapped], "invoice_no long, customer_code_ty string, invoice_date date, store_code int")
+    dims = P.Dimensions(
+        maps, frame([(1, "1")], "`MDS ID` int, `DSR Code` string"), frame([("1", "S", "T", "C", "K", "G")], ", ".join(f"`{c}` string" for c in (
+            "Store Code", "Store Name", "Store Type", "Geographical City", "Key City", "Generator New"))),
+        frame([("1", "P1", "Coffee", "Core"), ("2", "P2", " Fries ", "Value"), ("2", "P2", "Fries", "Value"), ("3", None, "Exclude", "Core"), (None, "P9", "Coffee", None)],
+              f"item_id_id string, ProductCode string, `{N.BASE_LABEL}` string, `{N.DRI_LABEL}` string"),
+        frame([("1", "2", "P1", "P2", 1)], "header_item_id_id string, choice_item_id_id string, HeaderItemId string, ChoiceItemId string, Qty long"), CATALOG)
+    window = P.OrderWindow(date(2025, 12, 1), 24)
+    feeds = {N.OWNAPP: Feed(orders(3), lines(4)), N.SWIGGY: Feed(orders(2), lines(5)), N.INSTORE: Feed(instore, instore_lines)}
+    direct = customer_features_of_feeds(feeds, dims, window, CUTOFF, REFERENCE)
+    own_orders, other = (P.delivery_order_features(feeds[c].orders, feeds[c].items, dims, window) for c in (N.OWNAPP, N.SWIGGY))
+    stepwise = customer_features(own_orders, other, P.instore_order_features(instore, instore_lines, dims, window, None), CATALOG, CUTOFF, REFERENCE)
+    columns = sorted(direct.columns)
+    assert columns == sorted(stepwise.columns) and dict(direct.dtypes) == dict(stepwise.dtypes)
+    # sums of doubles depend on the order of their rows in the last digits
+    even = [F.round(f"`{c}`", 9).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in sorted(direct.dtypes)]
+    got = rows_of(columns, direct.select(*even).collect())
+    assert len(got) == 7 and got == rows_of(columns, stepwise.select(*even).collect())

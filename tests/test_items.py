@@ -200,15 +200,16 @@ def test_catalog_covers_written_labels(spark):
 
 def test_limits_of_a_hot_order(spark):
     """Choice limits of an order with all items come from a join and an aggregate on (order, item)."""
-    from cartwright.operators.items import DELIVERY, with_limits
+    from cartwright.operators.items import DELIVERY, fold_pairs
 
     pairs = spark.range(300).select(F.lit(1).alias("sales_id"), F.col("id").cast("string").alias("item_id_id"), F.lit(2).alias("_qty"))
     combos = spark.range(300).select(
         F.col("id").cast("string").alias("header_item_id_id"), ((F.col("id") + 1) % 300).cast("string").alias("choice_item_id_id"),
         (F.col("id") % 5).alias("Qty")).union(spark.createDataFrame([("7", "8", 99), (None, "9", 50), ("400", "9", 50)], "a string, b string, c long"))
-    out = with_limits(pairs, combos, F.lit(True), DELIVERY)
+    out = fold_pairs(pairs.union(pairs), [F.sum("_qty").alias("_qty")], pairs, combos, DELIVERY)
     got = {r["item_id_id"]: r["_limit"] for r in out.collect()}
     want = {str((i + 1) % 300): i % 5 for i in range(300)} | {"8": 99}
-    assert got == want
+    assert got == want and {r["_qty"] for r in out.collect()} == {4}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "REPARTITION_BY_COL" not in plan
+    assert plan.split("Initial Plan")[0].count("hashpartitioning(sales_id") == 1  # lines and offers meet in one shuffle
