@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.store import saved
+from cartwright.llm.store import saved, shuffles_freed
 
 SCALE = 256
 CHUNK = 1024
@@ -107,15 +107,18 @@ def _parts(batches: Iterator[pa.RecordBatch], centers: np.ndarray, shards: int)
             row = batch.slice(i, 1)
             (a, b), n = cuts[row.column("shard")[0].as_py()], row.column("n")[0].as_py()
             found = partial_distances(widened(row.column("cells")[0].as_py(), n, b - a), centers[:, a:b])
-            yield pa.RecordBatch.from_arrays([*row.columns, pa.array([narrowed(found)], pa.binary())], names=[*row.schema.names, "part"])
+            # what exceeds the least of a row needs fewer bytes than the distances themselves
+            least = found.min(axis=1)
+            more = [pa.array([narrowed(x)], pa.binary()) for x in (found - least[:, None], least)]
+            yield pa.RecordBatch.from_arrays([*row.columns, *more], names=[*row.schema.names, "part", "least"])
 
 
 def _added(group: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(centroid, distance) of each vector of a chunk, from the parts of its shards."""
     n = int(group["n"].iloc[0])
     total = np.zeros((n, k), np.int64)
-    for data in group["part"]:
-        total += widened(data, n, k)
+    for part, least in zip(group["part"], group["least"]):
+        total += widened(part, n, k) + widened(least, n, 1)
     label = total.argmin(axis=1)  # the first of equal ones
     return label, total[np.arange(n), label]
 
@@ -141,7 +144,7 @@ def _labels(group: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def _met(chunks: DataFrame, centers: np.ndarray, shards: int):
-    return chunks.mapInArrow(partial(_parts, centers=centers, shards=shards), f"{CHUNKS}, part binary").groupBy("chunk")
+    return chunks.mapInArrow(partial(_parts, centers=centers, shards=shards), f"{CHUNKS}, part binary, least binary").groupBy("chunk")
 
 
 def updated(chunks: DataFrame, centers: np.ndarray, shards: int) -> np.ndarray:
@@ -153,7 +156,9 @@ def updated(chunks: DataFrame, centers: np.ndarray, shards: int) -> np.ndarray:
     slices = columns.groupBy("shard", "cluster", "column").agg(F.sum("members").alias("n"), F.sum("value").alias("total"))
     means = slices.select("shard", "cluster", "column", F.expr("(total - pmod(total, n)) div n").alias("mean"))
     moved, cuts = centers.copy(), blocks(size, shards)
-    for r in means.collect():  # as many rows as the centroids have components, at most
+    with shuffles_freed(chunks.sparkSession):
+        found = means.collect()  # as many rows as the centroids have components, at most
+    for r in found:
         moved[r["cluster"], cuts[r["shard"]][0] + r["column"]] = r["mean"]
     return moved
 
