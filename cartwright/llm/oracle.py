@@ -73,10 +73,9 @@ WITH d AS (
 ), judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
 ), refs AS (
-  SELECT lang, {_shares("chars", quality_rules.CHAR_BINS)} AS char_ref,
+  SELECT regexp_extract(lower(lang), '^([a-z]{{2,3}})([^a-z0-9]|$)', 1) AS code, {_shares("chars", quality_rules.CHAR_BINS)} AS char_ref,
     {_shares("common", len(VOCABULARY) + 1)} AS word_ref
-  FROM judged WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang
-  HAVING count(*) >= {RULES.least_share} * (SELECT count(*) FROM judged WHERE NOT base_failed AND lang IS NOT NULL)
+  FROM judged WHERE NOT base_failed AND regexp_matches(lower(lang), '^[a-z]{{2,3}}([^a-z0-9]|$)') GROUP BY code
 ), far AS (
   SELECT r, min(CASE WHEN n_chars >= {RULES.char_guard} THEN {_distance("chars", "char_ref")} END) AS char_distance,
     min(CASE WHEN n_words >= {RULES.word_guard} THEN {_distance("common", "word_ref")} END) AS word_distance

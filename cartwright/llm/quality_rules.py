@@ -5,16 +5,16 @@ common words plus "any other". The references are the pooled histograms of each
 language over all documents that pass the base rules. A document is compared to
 every reference by the Jensen-Shannon distance (square root of the divergence in
 bits, 0 to 1) and its closest reference counts. A histogram is judged only when
-the text is long enough for it: short texts diverge by chance. A document of a
-labelled language that is too rare for a reference of its own is not held against
-those of other languages: its divergence is not judged.
+the text is long enough for it: short texts diverge by chance. A language is the two- or
+three-letter code that a label begins with, so there are 18,252 references at most, each as large as the two
+histograms; other labels count as none. Every language that occurs is a reference, however rare, so a
+document fares alike whatever else the table holds; the only document of a language is its own reference.
 
 Built-in functions only. Words are ``[^\\x20\\x09-\\x0D]+``. Defined results:
 a null text counts as empty: no words, so it fails the base rules; with no
 reference at all (empty table, no labelled document that passes) divergence is
 not judged and ``char_distance`` and ``word_distance`` are null; they are also
-null under the guards and for a language without a reference; a null language is
-compared to all references. Repeated rows are judged one by one. Input columns named
+null under the guards. A null language is compared to all references like any other. Repeated rows are judged one by one. Input columns named
 like an output column are replaced by ``judge`` and kept apart by ``judged``.
 """
 
@@ -59,8 +59,6 @@ class Rules:
     word_guard: int = 200
     max_char_distance: float = 0.30
     max_word_distance: float = 0.30
-    # a language needs this share of the judged documents to be a reference, so there are 256 at most; others are not judged
-    least_share: float = 1 / 256
     smoothing: float = 0.5
 
 
@@ -122,39 +120,38 @@ def _common_words(d: DataFrame) -> DataFrame:
     return d.withColumn("_q_words", F.array(*counts, other)).drop("_q_joined")
 
 
-def references(measured: DataFrame, rules: Rules, lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Smoothed shares of both histograms for each language, one short row per language."""
-    names = {"_q_chars": CHAR_BINS, "_q_words": len(vocabulary()) + 1}
-    sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c, n in names.items() for i in range(n)]
-    pooled = measured.where(~F.col("base_failed") & F.col(lang).isNotNull()).groupBy(lang).agg(F.count("*").alias("_n"), *sums)
-    everyone = pooled.agg(F.sum("_n").alias("_all"))
-    rows = pooled.where(F.col("_n") >= F.lit(rules.least_share) * everyone.scalar()).orderBy(lang).collect()
-    out = {}
-    for r in rows:
-        both = []
-        for c, n in names.items():
-            counts = [r[f"{c}{i}"] + rules.smoothing for i in range(n)]
-            both.append([x / sum(counts) for x in counts])
-        out[r[lang]] = tuple(both)
-    return out
-
-
-def shares(counts: Column) -> Column:
+def language(label: Column) -> Column:
+    """The code that a label begins with, in lower case; null if it begins with none."""
+    return F.nullif(F.regexp_extract(F.lower(label), r"^([a-z]{2,3})(?![a-z0-9])", 1), F.lit(""))
+
+
+def references(measured: DataFrame, rules: Rules, lang: str = "lang") -> DataFrame:
+    """(language, chars, words): smoothed shares of both histograms."""
+    names = {"chars": ("_q_chars", CHAR_BINS), "words": ("_q_words", len(vocabulary()) + 1)}
+    code = language(F.col(lang)).alias("language")
+    sums = [F.sum(F.col(c)[i]).alias(f"{out}{i}") for out, (c, n) in names.items() for i in range(n)]
+    pooled = measured.where(~F.col("base_failed")).groupBy(code).agg(*sums).where("language IS NOT NULL")
+    smooth = {out: F.array(*[F.col(f"{out}{i}") + rules.smoothing for i in range(n)]) for out, (_, n) in names.items()}
+    return pooled.select("language", *[shares(c, 0.0).alias(out) for out, c in smooth.items()])
+
+
+def shares(counts: Column, zero: float = 0) -> Column:
     """Shares of a histogram; an empty one stays empty of any."""
-    total = F.aggregate(counts, F.lit(0), lambda a, x: a + x)
+    total = F.aggregate(counts, F.lit(zero), lambda a, x: a + x)
     return F.zip_with(counts, F.array_repeat(total, F.size(counts)), lambda x, n: x / F.nullif(n, F.lit(0)))
 
 
-def distance(own: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of the shares of a histogram to a reference, to 6 places."""
+def distance(own: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance of two arrays of shares, to 6 places."""
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
-    terms = F.zip_with(own, F.array(*map(F.lit, reference)), lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2))
+    terms = F.zip_with(own, reference, lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2))
     divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
     return F.round(F.sqrt(F.when(divergence < 0, F.lit(0.0)).otherwise(divergence)), 6)
 
 
-def _least(columns: list[Column]) -> Column:
-    return F.least(*columns) if len(columns) > 1 else columns[0]
+def closest(own: Column, kind: str) -> Column:
+    """Distance to the closest of the references in ``_q_refs``; null where ``own`` is."""
+    return F.when(own.isNotNull(), F.array_min(F.transform("_q_refs", lambda r: distance(own, r[kind]))))
 
 
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
@@ -169,23 +166,20 @@ def judged(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: st
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     measured = saved(features(rows, "text").drop("text").withColumn("base_failed", failed), "quality")
-    refs = references(measured, rules, "lang")
-    if refs:
-        chars = _least([distance(F.col("_q_char_shares"), r[0]) for r in refs.values()])
-        words = _least([distance(F.col("_q_word_shares"), r[1]) for r in refs.values()])
-    else:
-        chars = words = F.lit(None).cast("double")
+    # one row of bounded size, known to every task
+    refs = references(measured, rules).agg(F.collect_list(F.struct("chars", "words")).alias("all")).scalar()
     n_chars = reduce(lambda a, b: a + b, [F.col("_q_chars")[i] for i in range(CHAR_BINS)])
     odd = (F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False))
            | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))
-    own = F.col("lang").isNull() | F.col("lang").isin(*refs)
     # shares stand in a projection of their own: each distance reads them for every bin
     shared = measured.withColumns({
-        "_q_char_shares": F.when((n_chars >= rules.char_guard) & own, shares(F.col("_q_chars"))),
-        "_q_word_shares": F.when((F.col("n_words") >= rules.word_guard) & own, shares(F.col("_q_words"))),
+        "_q_refs": refs,
+        "_q_char_shares": F.when(n_chars >= rules.char_guard, shares(F.col("_q_chars"))),
+        "_q_word_shares": F.when(F.col("n_words") >= rules.word_guard, shares(F.col("_q_words"))),
     })
-    return shared.withColumns({"char_distance": chars, "word_distance": words}).withColumn(
-        "kept", ~F.col("base_failed") & ~odd).select("row", *ADDED)
+    return shared.withColumns({
+        "char_distance": closest(F.col("_q_char_shares"), "chars"), "word_distance": closest(F.col("_q_word_shares"), "words"),
+    }).withColumn("kept", ~F.col("base_failed") & ~odd).select("row", *ADDED)
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang",
