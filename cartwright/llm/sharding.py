@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from cartwright.llm.store import saved
 
 BUCKET_BYTES = 16 << 20
+BUCKETS_PER_TASK = 2
 # offsets of so many buckets (about 24 bytes each) are sent to every executor; more are joined by a shuffle
 BROADCAST_BUCKETS = 1 << 20
 
@@ -62,6 +63,9 @@ def external_shuffle(
         F.struct(F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("h"), record_size(F.col(text)).alias("size"),
                  F.struct(*record).alias("rec")).alias("r"),
     )
+    # a task holds a few buckets at once, however many there are
+    tasks = max(1, -(-per_shard * n_shards // BUCKETS_PER_TASK))
+    scattered = scattered.repartition(tasks, "shard", "bucket")
     together = scattered.groupBy("shard", "bucket").agg(F.sort_array(F.collect_list("r")).alias("rs"))
     together = together.sortWithinPartitions("shard", "bucket")
     dealt = together.select("shard", "bucket", F.posexplode(F.shuffle("rs", F.lit(seed))).alias("at", "r"))
