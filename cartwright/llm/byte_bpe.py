@@ -291,28 +291,39 @@ class Coder:
         return ids, counts, first
 
     @staticmethod
-    def _distinct(raw: bytes, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-        """Index of each slice among the distinct ones, and those; equal hashes are told apart by their bytes."""
-        if not len(first):
-            return np.empty(0, np.int64), []
-        data = np.frombuffer(raw, np.uint8).astype(np.uint64)
-        size = last - first
+    def _hashes(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """A hash of the length and the first ``LONG_PIECE`` bytes of every slice."""
         hashes = size.astype(np.uint64)
         base = np.uint64(0x9E3779B97F4A7C15)
         live = np.arange(len(first))
         step = 0
         while len(live):  # one byte of every slice that is so long
-            hashes[live] = (hashes[live] ^ data[first[live] + step]) * base
+            hashes[live] = (hashes[live] ^ data[first[live] + step].astype(np.uint64)) * base
             hashes[live] ^= hashes[live] >> np.uint64(29)
             step += 1
             live = live[size[live] > step] if step <= LONG_PIECE else live[:0]
-        _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        same = size == size[at][which]
-        long = np.flatnonzero((size > LONG_PIECE) | ~same)
+        return hashes
+
+    @classmethod
+    def _distinct(cls, raw: bytes, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """Index of each slice among the distinct ones, and those; equal hashes are told apart by their bytes."""
+        if not len(first):
+            return np.empty(0, np.int64), []
+        data = np.frombuffer(raw, np.uint8)
+        size = last - first
+        _, at, which = np.unique(cls._hashes(data, first, size), return_index=True, return_inverse=True)
+        same = (size == size[at][which]) & (size <= LONG_PIECE)
+        # every short slice against the one that stands for its hash
+        short = np.flatnonzero(same & (at[which] != np.arange(len(first))))
+        if len(short):
+            apart = data[ragged(first[short], size[short])] != data[ragged(first[at[which[short]]], size[short])]
+            starts = np.cumsum(size[short]) - size[short]
+            same[short[np.logical_or.reduceat(apart, starts)]] = False
+        others = np.flatnonzero(~same)
         distinct = [raw[a:b] for a, b in zip(first[at].tolist(), last[at].tolist())]
-        if len(long):  # hashed by their beginnings only
+        if len(others):  # hashed by their beginnings only, or alike in their hash alone
             seen: dict[bytes, int] = {}
-            for i in long.tolist():
+            for i in others.tolist():
                 piece = raw[first[i]:last[i]]
                 if piece not in seen:
                     seen[piece] = len(distinct)
