@@ -5,8 +5,9 @@ cut; the first piece takes what is left over, so all others are full). Full piec
 are sequences of their own. The others are dealt at random into pools of bounded
 size. Each pool is evolved by several islands, one task row each, from best-fit
 starts: a crossover injects whole well-filled sequences of one parent into
-another, drops the sequences that hold a document twice and best-fits the displaced
-documents, longest first. Between epochs the best packing of each island moves
+another, drops the sequences that hold a document twice, lets the displaced documents replace
+worse-filling ones, and best-fits the rest, longest first. An island ends at the least number of
+sequences that its tokens need. Between epochs the best packing of each island moves
 to the next island of its pool. What the best packing leaves in poorly filled
 sequences is dealt anew into fewer pools, so pools exchange their leftovers.
 
@@ -24,8 +25,9 @@ import json
 import random
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache, partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,12 @@ class Plan:
     islands: int = 3
     epochs: int = 2
     population: int = 4
-    offspring: int = 5
-    rounds: int = 2
+    #: pieces that the children of an island place in one epoch, at most; in the last round, when pools are few, more
+    work: int = 20_000
+    last_work: int = 150_000
+    rounds: int = 3
     #: sequences filled less than this are dealt anew, but for the last round
-    well_filled: float = 0.998
+    well_filled: float = 0.9995
     seed: int = 5
 
 
@@ -87,42 +91,84 @@ def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int
     return -len(bins), sum(f * f for f in fills)
 
 
+def refill(sizes: list[int], bins: list[list[int]], free: list[int], capacity: int) -> list[int]:
+    """Let a free item replace one or two of a bin that it fills better, as often as that helps; returns what is free then.
+
+    Bins only get fuller, and the items that come free are smaller, so they find room more easily.
+    """
+    holding: list[list[int]] = [[] for _ in range(capacity + 1)]  # free items by size
+    mask = 0
+    for i in free:
+        holding[sizes[i]].append(i)
+        mask |= 1 << sizes[i]
+    for members in bins:
+        room = capacity - sum(sizes[i] for i in members)
+        while room:
+            gain, out = 0, ()
+            for pair in [(), *((i,) for i in members), *combinations(members, 2)]:
+                held = sum(sizes[i] for i in pair)
+                fit = (mask & ((1 << (held + room + 1)) - 1)).bit_length() - 1  # the longest that would fit
+                if fit - held > gain:
+                    gain, out, size = fit - held, pair, fit
+            if not gain:
+                break
+            members.append(holding[size].pop())
+            if not holding[size]:
+                mask ^= 1 << size
+            for i in out:
+                members.remove(i)
+                holding[sizes[i]].append(i)
+                mask |= 1 << sizes[i]
+            room -= gain
+    return [i for same in holding for i in same]
+
+
 def crossover(sizes: list[int], giver: list[list[int]], taker: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
-    """``taker`` with about half of the well-filled bins of ``giver`` injected."""
-    filled = sorted(giver, key=lambda b: -sum(sizes[i] for i in b))
-    injected = [b for b in filled[: max(1, len(filled) * 3 // 4)] if rng.random() < 0.5]
+    """``taker`` with some of the well-filled bins of ``giver`` injected.
+
+    Bins of the taker that hold an injected item are dissolved, and so are its least filled ones and a few more; free
+    items first replace worse ones in the bins that stay, then go in by best fit, longest first.
+    """
+    fill = lambda b: -sum(sizes[i] for i in b)
+    filled = sorted(giver, key=fill)[: max(1, len(giver) * 3 // 4)]
+    share = rng.random() ** 3 / 2
+    injected = [list(b) for b in filled if rng.random() < share]
     inside = {i for b in injected for i in b}
     kept, displaced = [], []
     for b in taker:
         if inside.isdisjoint(b):
-            kept.append(b)
+            kept.append(list(b))
         else:
             displaced += [i for i in b if i not in inside]
-    # the least filled bins are dissolved too, so that displaced documents find partners
-    kept.sort(key=lambda b: -sum(sizes[i] for i in b))
-    spare = max(1, len(kept) // 20)
-    displaced += [i for b in kept[len(kept) - spare:] for i in b]
-    bins = [list(b) for b in injected + kept[: len(kept) - spare]]
-    displaced.sort(key=lambda i: (-sizes[i], rng.random()))
-    return best_fit(sizes, displaced, bins, capacity)
+    kept.sort(key=fill)
+    for _ in range(min(2, len(kept))):
+        displaced += kept.pop()
+    for _ in range(min(rng.randint(1, 12), len(kept))):
+        displaced += kept.pop(rng.randrange(len(kept)))
+    rng.shuffle(kept)
+    free = refill(sizes, kept, displaced, capacity)
+    free.sort(key=lambda i: (-sizes[i], rng.random()))
+    return best_fit(sizes, free, injected + kept, capacity)
 
 
 def evolve(sizes: list[int], start: list[list[list[int]]], plan: Plan, capacity: int, rng: random.Random) -> list[list[list[int]]]:
-    """Some generations of one island; returns its packings, best first."""
+    """Some generations of one island; returns its packings, best first. Ends early at the least possible number of sequences."""
     rank = lambda b: fitness(sizes, b, capacity)
-    crowd = list(start)
-    while len(crowd) < plan.population:
-        order = list(range(len(sizes)))
-        if crowd or start:
+    least = -(-sum(sizes) // capacity)
+    crowd = list(start) or [best_fit(sizes, list(range(len(sizes))), [], capacity)]
+    if min(map(len, crowd)) > least:
+        while len(crowd) < plan.population:
             noise = [s * (1 + rng.uniform(-0.15, 0.15)) for s in sizes]
-            order.sort(key=lambda i: -noise[i])
-        crowd.append(best_fit(sizes, order, [], capacity))
+            crowd.append(best_fit(sizes, sorted(range(len(sizes)), key=lambda i: -noise[i]), [], capacity))
     crowd.sort(key=rank, reverse=True)
-    for _ in range(plan.offspring):
+    for _ in range(max(1, plan.work // len(sizes))):
+        if len(crowd[0]) <= least:
+            break
         giver, taker = rng.sample(range(len(crowd)), 2)
         child = crossover(sizes, crowd[giver], crowd[taker], capacity, rng)
-        if rank(child) > rank(crowd[-1]):
-            crowd[-1] = child
+        # a child replaces its taker if it is as good, so that better packings spread and the others stay
+        if rank(child) >= rank(crowd[taker]):
+            crowd[taker] = child
             crowd.sort(key=rank, reverse=True)
     return crowd
 
@@ -258,9 +304,11 @@ def packed(pieces: DataFrame, plan: Plan = Plan(), capacity: int = CAPACITY) ->
         if not n:
             break
         n_pools = -(-n // plan.pool)
+        last = turn == plan.rounds - 1 or n_pools == 1
         pooled = left.withColumn("pool", F.pmod(F.xxhash64(F.lit(plan.seed + turn), "serial"), F.lit(n_pools)).cast("long"))
         lengths = pooled.groupBy("pool").agg(F.reverse(F.sort_array(F.collect_list(F.col("length").cast("int")))).alias("lengths"))
-        best = evolved(lengths, plan, capacity, max(1, min(n_pools * plan.islands, 4096)))
+        effort = replace(plan, work=plan.last_work) if last else plan
+        best = evolved(lengths, effort, capacity, n_pools * plan.islands)
         ranked = pooled.withColumn("_r", F.row_number().over(Window.partitionBy("pool").orderBy(F.desc("length"), "serial")) - 1)
         # a packing is one row per pool and bounded by the pool's size
         placed = ranked.join(best, "pool").withColumn("_bin", F.get("place", F.col("_r"))).drop("place", "_r")
@@ -271,7 +319,6 @@ def packed(pieces: DataFrame, plan: Plan = Plan(), capacity: int = CAPACITY) ->
                 inside.orderBy(F.desc("length"), "serial").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             "sequence_id": F.lit(base) + F.col("pool") * plan.pool * 4 + F.col("_bin"),
         }), "packed")
-        last = turn == plan.rounds - 1 or n_pools == 1
         done = placed if last else placed.where(F.col("_fill") >= plan.well_filled * capacity)
         out = out.unionByName(done.select(*columns, "sequence_id", "offset"))
         if last:
