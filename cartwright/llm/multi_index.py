@@ -2,19 +2,20 @@
 
 Vectors are cut into two halves, each quantised by a codebook of its own; a cell is
 a pair of centroids. A query visits cells in the order of the summed distance of its
-halves to the two centroids, taken from a heap over the two sorted lists, until the
-cells hold ``budget`` entries. These are reranked by the exact inner product in double
-precision. Codebooks are fitted on a bounded sample; every vector is indexed. The
-budget is not guessed: for a bounded sample of queries the true neighbours are found
-by a full scan, and the budget is what ``recall`` of them need.
+halves to the two centroids, taken from a heap over the two sorted lists, until it has
+seen ``cells`` of them. Their entries are reranked by the exact inner product in double
+precision. Codebooks are fitted on a bounded sample and grow with the data, up to an eighth of the
+sample each; every vector is indexed. The number of cells is not guessed: for a bounded sample of queries
+the true neighbours are found by a full scan, and it is what ``recall`` of them need. No table of cells exists
+anywhere: a query is sent on with the summed distance at which its heap stopped, and that opens the cells.
 
 Equal vectors are one entry with its smallest ids (no query can return more of them);
-equal query vectors are searched once. Entries of a cell row (first centroid) are cut
-into blocks by hash and met with blocks of queries, so no task holds a whole hot cell.
+equal query vectors are searched once. Cell rows (first centroids) that lie together form groups of about
+``entry_block`` entries; a larger row is cut by hash. Groups meet blocks of queries, so no task holds a whole hot cell.
 
 Defined results: vectors that are null, zero, hold a null or a non-finite component, or
 whose length is not the most frequent one (ties: the longer) take no part, as query
-or candidate; so do null ids. With no more candidates than ``budget`` the result is
+or candidate; so do null ids. With no more candidates than ``least_budget`` the result is
 exact. Repeated rows (same id and vector) are one; a repeated id with other vectors
 is a candidate with each of them. An empty table gives an empty result.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from cartwright.llm.store import saved
 
 
-#: so many pairs of cell row and query block are broadcast, to send entries only where a query asks; beyond, all blocks meet
+#: so many pairs of group and query block are broadcast, to send entries only where a query asks; beyond, all blocks meet
 MEETINGS = 1 << 20
 
 
@@ -47,8 +48,8 @@ class Index:
     fit_values: int = 8_000_000
     probe_sample: int = 128
     recall: float = 0.96
+    #: cells enough for so many entries are visited at least
     least_budget: int = 1000
-    most_centroids: int = 256
     iterations: int = 10
     entry_block: int = 4096
     query_block: int = 2048
@@ -89,23 +90,29 @@ def distances(q: np.ndarray, books: tuple[np.ndarray, np.ndarray]) -> tuple[np.n
     return ((books[0] - q[:half]) ** 2).sum(axis=1), ((books[1] - q[half:]) ** 2).sum(axis=1)
 
 
-def visited(q: np.ndarray, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, budget: int) -> list[tuple[int, int]]:
-    """Cells in the order of their summed distance, until they hold ``budget`` entries."""
-    first, second = distances(q, books)
+def visited(first: np.ndarray, second: np.ndarray, cells: int) -> Iterator[tuple[float, int, int]]:
+    """(summed distance, centroid, centroid) of the nearest ``cells`` cells, nearest first."""
     rows, columns = first.argsort(kind="stable").tolist(), second.argsort(kind="stable").tolist()
     a, b = first[rows].tolist(), second[columns].tolist()
-    held = counts[np.ix_(rows, columns)].tolist()
-    heap, out, gathered = [(a[0] + b[0], 0, 0)], [], 0
-    while heap and gathered < budget:
-        _, i, j = heapq.heappop(heap)
-        if held[i][j]:
-            out.append((rows[i], columns[j]))
-            gathered += held[i][j]
+    heap = [(a[0] + b[0], 0, 0)]
+    while heap and cells:
+        total, i, j = heap[0]
+        yield total, rows[i], columns[j]
+        cells -= 1
         if j + 1 < len(b):
-            heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
+            heapq.heapreplace(heap, (a[i] + b[j + 1], i, j + 1))
+        else:
+            heapq.heappop(heap)
         if j == 0 and i + 1 < len(a):
             heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
-    return out
+
+
+def reach(first: np.ndarray, second: np.ndarray, cells: int) -> float:
+    """The summed distance at which the heap has seen ``cells`` cells."""
+    total = 0.0
+    for total, _, _ in visited(first, second, cells):
+        pass
+    return total
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -136,66 +143,89 @@ def _full_scan(batches: Iterator[pa.RecordBatch], ids: list[int], q: np.ndarray,
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, *cells)], names=["q", "score", "c1", "c2"])
 
 
-def budget_for(entries: DataFrame, sample: list, books, counts: np.ndarray, index: Index) -> int:
-    """Entries to visit so that ``recall`` of the true neighbours of the sampled queries are among them."""
+def cells_for(entries: DataFrame, sample: list, books, n: int, index: Index) -> int:
+    """Cells to visit so that ``recall`` of the true neighbours of the sampled queries are among them."""
     q = np.array([r["v"] for r in sample])
     found = entries.select("eid", "v", "c1", "c2").mapInArrow(
         partial(_full_scan, ids=[r["eid"] for r in sample], q=q, top=index.top), "q long, score double, c1 int, c2 int")
     true = found.where(F.col("score") > float("-inf")).withColumn("r", F.row_number().over(
         Window.partitionBy("q").orderBy(F.desc("score")))).where(F.col("r") <= index.top).select("q", "c1", "c2").collect()
     needed = []
-    for i in range(len(sample)):
-        first, second = distances(q[i], books)
-        sums = first[:, None] + second[None, :]
-        order = np.argsort(sums, axis=None)
-        reached = np.empty(sums.size, np.int64)
-        reached[order] = np.cumsum(counts.ravel()[order])
-        needed += [int(reached[r["c1"] * sums.shape[1] + r["c2"]]) for r in true if r["q"] == i]
-    return max(index.least_budget, int(np.quantile(needed, index.recall)) + 1 if needed else 0)
-
-
-def _probes(batches: Iterator[pa.RecordBatch], books, counts: np.ndarray, budget: int) -> Iterator[pa.RecordBatch]:
-    """(q, v, c1, c2s) per visited cell row of every query."""
+    for r in true:  # ``top`` of every sampled query
+        first, second = distances(q[r["q"]], books)
+        # cells that are no farther, row by row
+        needed.append(int(np.searchsorted(np.sort(second), first[r["c1"]] + second[r["c2"]] - first, side="right").sum()))
+    every = len(books[0]) * len(books[1])
+    least = -(-every * index.least_budget // n)
+    return min(every, max(least, int(np.quantile(needed, index.recall)) + 1 if needed else 0))
+
+
+@dataclass(frozen=True)
+class Groups:
+    """Cell rows in groups of about equal size; ``of`` gives the group of a row, ``blocks`` the blocks of a group."""
+
+    of: np.ndarray
+    blocks: np.ndarray
+
+
+def grouped(book: np.ndarray, sizes: np.ndarray, block: int) -> Groups:
+    """Rows that lie together along the main direction of their centroids share a group of up to ``block`` entries."""
+    centered = book - book.mean(axis=0)
+    along = centered @ np.linalg.svd(centered, full_matrices=False)[2][0] if book.shape[1] else np.zeros(len(book))
+    of, held = np.zeros(len(book), np.int32), [0]
+    for row in np.argsort(along, kind="stable").tolist():
+        if held[-1] and held[-1] + sizes[row] > block:
+            held.append(0)
+        of[row] = len(held) - 1
+        held[-1] += int(sizes[row])
+    return Groups(of, np.maximum(1, -(-np.array(held) // block)).astype(np.int32))
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], groups: Groups) -> Iterator[pa.RecordBatch]:
+    """Entries with their group and its number of blocks."""
     for batch in batches:
-        q, c1, c2 = [], [], []
-        vectors = _matrix(batch.column("v")) if batch.num_rows else []
-        for i, (key, v) in enumerate(zip(batch.column("q").to_pylist(), vectors)):
-            rows: dict[int, list[int]] = {}
-            for a, b in visited(v, books, counts, budget):
-                rows.setdefault(a, []).append(b)
-            for a, columns in rows.items():
-                q.append((i, key))
-                c1.append(a)
-                c2.append(columns)
-        at = pa.array([i for i, _ in q], pa.int64())
+        grp = groups.of[np.array(batch.column("c1"))] if batch.num_rows else np.empty(0, np.int32)
+        made = [pa.array(grp, pa.int32()), pa.array(groups.blocks[grp], pa.int32())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "grp", "blocks"])
+
+
+def _probes(batches: Iterator[pa.RecordBatch], books, cells: int, groups: Groups) -> Iterator[pa.RecordBatch]:
+    """(q, v, far, grp, blocks) per group that a query visits; its open cells are those no farther than ``far``."""
+    for batch in batches:
+        at, far, grp = [], [], []
+        for i, v in enumerate(_matrix(batch.column("v")) if batch.num_rows else []):
+            first, second = distances(v, books)
+            stop = reach(first, second, cells)
+            visits = np.unique(groups.of[first + second.min() <= stop])
+            at += [i] * len(visits)
+            far += [stop] * len(visits)
+            grp.append(visits)
+        found = np.concatenate(grp) if grp else np.empty(0, np.int32)
+        rows = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k for _, k in q], pa.int64()), batch.column("v").take(at), pa.array(c1, pa.int32()), pa.array(c2, pa.list_(pa.int32()))],
-            names=["q", "v", "c1", "c2s"])
+            [batch.column("q").take(rows), batch.column("v").take(rows), pa.array(far, pa.float64()),
+             pa.array(found, pa.int32()), pa.array(groups.blocks[found], pa.int32())], names=["q", "v", "far", "grp", "blocks"])
 
 
-def _rerank(entries: pd.DataFrame, probes: pd.DataFrame, top: int) -> pd.DataFrame:
+def _rerank(entries: pd.DataFrame, probes: pd.DataFrame, top: int, books) -> pd.DataFrame:
     """Best entries of one block for every query that visits some of its cells."""
     if not len(entries) or not len(probes):
         return pd.DataFrame({"q": [], "eids": [], "scores": []})
-    eids, cell = entries["eid"].to_numpy(), entries["c2"].to_numpy()
-    order = np.argsort(eids)
-    eids, cell = eids[order], cell[order]
-    e = np.stack(entries["v"].to_numpy())[order]
-    scores = np.stack(probes["v"].to_numpy()) @ e.T
-    open_cells = np.zeros((len(probes), int(cell.max()) + 1), bool)
-    for i, columns in enumerate(probes["c2s"]):
-        columns = np.asarray(columns)
-        open_cells[i, columns[columns < open_cells.shape[1]]] = True
-    scores[~open_cells[:, cell]] = -np.inf
+    entries = entries.sort_values("eid")
+    eids, c1, c2 = (entries[c].to_numpy() for c in ("eid", "c1", "c2"))
+    e = np.stack(entries["v"].to_numpy())
     out = []
-    for key, row in zip(probes["q"], scores):
-        seen = np.flatnonzero(row > -np.inf)
+    for key, v, far in zip(probes["q"], probes["v"], probes["far"]):
+        first, second = distances(v, books)
+        seen = np.flatnonzero(first[c1] + second[c2] <= far)
+        if not len(seen):
+            continue
+        scores = e[seen] @ v
         if len(seen) > 4 * top:  # ties at the border stay in
-            border = np.partition(row[seen], len(seen) - top)[len(seen) - top]
-            seen = seen[row[seen] >= border]
-        best = seen[np.argsort(-row[seen], kind="stable")[:top]]
-        if len(best):
-            out.append((key, eids[best], row[best]))
+            border = np.partition(scores, len(seen) - top)[len(seen) - top]
+            seen, scores = seen[scores >= border], scores[scores >= border]
+        best = np.argsort(-scores, kind="stable")[:top]
+        out.append((key, eids[seen[best]], scores[best]))
     return pd.DataFrame(out, columns=["q", "eids", "scores"])
 
 
@@ -218,38 +248,38 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     width = entries.select(F.size("v")).first()[0]
     drawn = entries.orderBy(at_random).limit(min(index.fit_sample, max(1, index.fit_values // width))).select("v").toArrow()
     sample = _matrix(drawn.column("v").combine_chunks())
-    k = max(1, min(index.most_centroids, int(1.5 * n**0.4)))
+    k = max(1, min(-(-len(sample) // 8), int(1.5 * n**0.4)))
     half = max(1, sample.shape[1] // 2)
     books = (fit(sample[:, :half], k, index.iterations, index.seed), fit(sample[:, half:], k, index.iterations, index.seed + 1))
     schema = "eid long, ids array<long>, v array<double>, c1 int, c2 int"
     entries = saved(entries.mapInArrow(partial(_cells, books=books), schema), "multi-index")
-    counts = np.zeros((len(books[0]), len(books[1])), np.int64)
-    for r in entries.groupBy("c1", "c2").count().collect():  # a row per cell at most, which the codebooks bound
-        counts[r["c1"], r["c2"]] = r["count"]
+    sizes = np.zeros(len(books[0]), np.int64)
+    for r in entries.groupBy("c1").count().collect():  # a row per centroid
+        sizes[r["c1"]] = r["count"]
+    groups = grouped(books[0], sizes, index.entry_block)
 
     distinct = saved(asked.groupBy("v").agg(F.min("id").alias("q")), "queries")
     probe = distinct.orderBy(F.xxhash64(F.lit(index.seed + 1), "q")).limit(index.probe_sample)
-    budget = budget_for(entries, probe.select(F.col("q").alias("eid"), "v").collect(), books, counts, index)
+    cells = cells_for(entries, probe.select(F.col("q").alias("eid"), "v").collect(), books, n, index)
 
     n_queries = distinct.count()
     probes = saved(distinct.repartition(max(1, n_queries // 256), "q").mapInArrow(
-        partial(_probes, books=books, counts=counts, budget=budget), "q long, v array<double>, c1 int, c2s array<int>"), "probes")
+        partial(_probes, books=books, cells=cells, groups=groups), "q long, v array<double>, far double, grp int, blocks int"), "probes")
     query_blocks = max(1, -(-n_queries // index.query_block))
     probes = probes.withColumn("qb", F.pmod(F.xxhash64("q"), F.lit(query_blocks)).cast("int"))
-    blocks = F.ceil(F.col("size") / index.entry_block).cast("int")
-    sizes = entries.groupBy("c1").agg(F.count("*").alias("size")).select("c1", blocks.alias("blocks"))
-    # both sides are dealt by cell row, query block and entry block
-    dealt = entries.join(F.broadcast(sizes), "c1").withColumn("eb", F.pmod(F.xxhash64("eid"), F.col("blocks")).cast("int"))
-    if k * query_blocks <= MEETINGS:
-        met = probes.groupBy("c1").agg(F.collect_set("qb").alias("qbs"))
-        dealt = dealt.join(F.broadcast(met), "c1")
+    # both sides are dealt by group, query block and entry block
+    dealt = entries.mapInArrow(partial(_dealt, groups=groups), f"{schema}, grp int, blocks int").withColumn(
+        "eb", F.pmod(F.xxhash64("eid"), F.col("blocks")).cast("int"))
+    if len(groups.blocks) * query_blocks <= MEETINGS:
+        met = probes.groupBy("grp").agg(F.collect_set("qb").alias("qbs"))
+        dealt = dealt.join(F.broadcast(met), "grp")
     else:
         dealt = dealt.withColumn("qbs", F.sequence(F.lit(0), F.lit(query_blocks - 1)))
     dealt = dealt.withColumn("qb", F.explode("qbs"))
-    asked_blocks = probes.join(F.broadcast(sizes), "c1").withColumn("eb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    best = dealt.select("c1", "qb", "eb", "eid", "v", "c2").groupBy("c1", "qb", "eb").cogroup(
-        asked_blocks.select("c1", "qb", "eb", "q", "v", "c2s").groupBy("c1", "qb", "eb")).applyInPandas(
-        lambda e, p: _rerank(e, p, more), "q long, eids array<long>, scores array<double>")
+    asked_blocks = probes.withColumn("eb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    best = dealt.select("grp", "qb", "eb", "eid", "v", "c1", "c2").groupBy("grp", "qb", "eb").cogroup(
+        asked_blocks.select("grp", "qb", "eb", "q", "v", "far").groupBy("grp", "qb", "eb")).applyInPandas(
+        lambda e, p: _rerank(e, p, more, books), "q long, eids array<long>, scores array<double>")
     spread = best.select("q", F.explode(F.arrays_zip("eids", "scores")).alias("x")).select("q", F.col("x.eids").alias("eid"), F.col("x.scores").alias("score"))
     near = Window.partitionBy("q").orderBy(F.desc("score"), "eid")
     kept = spread.withColumn("r", F.row_number().over(near)).where(F.col("r") <= more).drop("r")

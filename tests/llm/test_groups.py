@@ -158,9 +158,23 @@ def test_visit_order():
     rng = np.random.default_rng(0)
     books, q = (rng.normal(size=(7, 2)), rng.normal(size=(6, 2))), rng.normal(size=4)
     first, second = multi_index.distances(q, books)
-    cells = multi_index.visited(q, books, np.ones((7, 6), int), 30)
-    want = sorted(((first[i] + second[j]), (i, j)) for i in range(7) for j in range(6))[:30]
-    assert cells == [c for _, c in want]
+    want = sorted(((first[i] + second[j]), (i, j)) for i in range(7) for j in range(6))
+    assert [(i, j) for _, i, j in multi_index.visited(first, second, 30)] == [c for _, c in want[:30]]
+    assert len(list(multi_index.visited(first, second, 99))) == 42
+    for n in (1, 17, 42):
+        assert multi_index.reach(first, second, n) == want[n - 1][0]
+
+
+def test_index_grows_without_a_table_of_cells(spark):
+    """More centroids than the old bound, hot rows cut into blocks, and the recall that was asked for."""
+    rng = np.random.default_rng(4)
+    book = rng.normal(size=(600, 3))
+    sizes = rng.integers(0, 50, size=600)
+    sizes[17] = 10_000
+    groups = multi_index.grouped(book, sizes, 1000)
+    held = np.bincount(groups.of, weights=sizes)
+    assert groups.blocks[groups.of[17]] >= 10 and (held <= 1000).sum() >= len(held) - 1
+    assert (groups.blocks == np.maximum(1, -(-held // 1000))).all()
 
 
 def conversation_rows(turns):
