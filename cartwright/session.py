@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,13 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # semi-joins of large line scans (10 GB and more, Spark's own threshold) drop unwanted rows by a
+    # Bloom filter before the shuffle; the kept ids may come from up to this much, and take 32 MB at most
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "20000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "27000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
 }
 
 
@@ -48,8 +57,31 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Remove a written intermediate when the application ends; results that read it work until then."""
+    system, folder = file_system(spark, path)
+    system.deleteOnExit(folder)
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Runtime settings (dots written as ``__``) that hold inside."""
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -7,15 +7,19 @@ differ between files. A declared column that a header lacks is an error.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import chain, islice
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.functions.scalars import long_key, null_if_nan, text_key
+from cartwright.session import settings
 
 # Declared columns of the CSV inputs: name -> kind.
 CUSTOMER_MAP = {"invoice_no": "long", "customer_code_ty": "text", "invoice_date": "date", "store_code": "long"}
@@ -55,6 +59,42 @@ def _cast(name: str, kind: str) -> Column:
     return out.alias(name)
 
 
+def csv_headers(spark: SparkSession, path: str, multi_line: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files under ``path``, from one job with a task per file that reads its first lines.
+
+    A file is never split here and never shares a task, so a task ends after its first batch of lines. What
+    reaches the driver is one header per file, next to the listing of the files that it holds anyway.
+    """
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a function of this call, so that executors need no module of this package
+        def lines(first: pa.RecordBatch) -> Iterator[str]:
+            for batch in chain([first], batches):
+                yield from (f"{x.as_py()}\n" for x in batch.column("value"))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            text = (x.removeprefix("\ufeff") for x in lines(batch))
+            text = (x for x in text if x.strip())  # blank lines ahead of the header are passed over
+            header = next(csv.reader(text if multi_line else islice(text, 1)), [])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("file").slice(0, 1), pa.array([header], pa.list_(pa.string()))], names=["file", "header"])
+            return
+
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = str(1 << 40)
+    one_file_a_task = settings(
+        spark, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole,
+        spark__sql__execution__arrow__maxRecordsPerBatch="16")
+    with one_file_a_task:
+        rows = lines.mapInArrow(first_lines, "file string, header array<string>").collect()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(rows, key=lambda r: r["file"]):
+        if r["header"]:  # a file of blank lines has neither header nor rows
+            groups.setdefault(tuple(r["header"]), []).append(unquote(r["file"]))
+    return groups
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -69,14 +109,7 @@ def read_csv(
     NULL where only some have them. ``multi_line`` allows line breaks in quotes, at the
     price of one task per file.
     """
-    options = {"header": True, "multiLine": multi_line}
-    files = sorted(spark.read.text(path).inputFiles())
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda f: tuple(spark.read.csv(f, **options).columns), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files):
-        if header:  # an empty file has neither header nor rows
-            groups.setdefault(header, []).append(file)
+    groups = csv_headers(spark, path, multi_line)
     if not groups:
         raise ValueError(f"no CSV header found in {path}")
     parts = []
@@ -85,7 +118,7 @@ def read_csv(
         if absent:
             raise ValueError(f"{group[0]} has no column {absent}; its header is {list(header)}")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
-        text = spark.read.schema(schema).csv(group, enforceSchema=False, **options)
+        text = spark.read.schema(schema).csv(group, enforceSchema=False, header=True, multiLine=multi_line)
         parts.append(text.select(*[_cast(n, k) for n, k in columns.items() if n in header]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
