@@ -17,9 +17,10 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="cartwright")
     parser.add_argument("--feature_pipeline_config", required=True)
     parser.add_argument("--segmentation_config", required=True)
+    parser.add_argument("--resume", action="store_true", help="pass over stages that a former run has finished on the same inputs")
     args = parser.parse_args()
     spark = tune(SparkSession.builder.appName("cartwright").getOrCreate())
-    run_all(spark, FeatureConfig.load(args.feature_pipeline_config), SegmentConfig.load(args.segmentation_config))
+    run_all(spark, FeatureConfig.load(args.feature_pipeline_config), SegmentConfig.load(args.segmentation_config), args.resume)
 
 
 if __name__ == "__main__":

@@ -27,12 +27,13 @@ from cartwright.operators.orders import customer_ids
 from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
 from cartwright.plans.customer_features import customer_features
+from cartwright.plans.stages import Stage, run_stages
 from cartwright.session import delete_at_exit, shared_dir
 from cartwright.sources import readers as R
-from cartwright.sources.sinks import write_features
+from cartwright.sources.sinks import replace_table, write_features
 
 # written next to the outputs they describe
-COUNTERS, SUMMARY = "_counters", "_summary"
+COUNTERS, SUMMARY, RECORDS = "_counters", "_summary", "_stages"
 
 log = logging.getLogger(__name__)
 
@@ -110,7 +111,7 @@ def run_orders(spark: SparkSession, cfg: FeatureConfig, channel: str, dims: P.Di
         path = feed.output_path
     write_features(features, path, cfg.by_month)
     counted = channel_counters(channel, R.read_parquet(spark, path), recent, dims)
-    counted.coalesce(1).write.mode("overwrite").parquet(f"{path}{COUNTERS}")
+    replace_table(counted.coalesce(1), f"{path}{COUNTERS}")
     log.info("order features of %s written to %s", channel, path)
     return path
 
@@ -155,7 +156,7 @@ def run_model_fit(spark: SparkSession, cfg: SegmentConfig, wanted: Mapping[str,
     paths = sorted({cfg.model_paths[p.model_key] for p in cfg.spec.plans if p.enabled})
     for path in paths:
         keys = [k for k in wanted if cfg.model_paths.get(k) == path]
-        models.where(F.col("model_key").isin(keys)).coalesce(1).write.mode("overwrite").parquet(path)
+        replace_table(models.where(F.col("model_key").isin(keys)).coalesce(1), path)
     return paths
 
 
@@ -166,9 +167,9 @@ def run_segments(spark: SparkSession, cfg: SegmentConfig, features_path: str | N
     write_features(G.micro_segments(features, cfg.spec, read_models(spark, cfg), write_once=False), cfg.micro_path)
     base = G.flagged(G.segment_base(features, cfg.spec), cfg.spec)
     summary = S.segment_summary(base).withColumnsRenamed({c: c.lower().replace(" ", "_") for c in S.SUMMARY})
-    summary.write.mode("overwrite").parquet(f"{cfg.segments_path}{SUMMARY}")
+    replace_table(summary, f"{cfg.segments_path}{SUMMARY}")
     sizes = M.microcluster_sizes(spark.read.parquet(cfg.micro_path))
-    sizes.write.mode("overwrite").parquet(f"{cfg.micro_path}{SUMMARY}")
+    replace_table(sizes, f"{cfg.micro_path}{SUMMARY}")
     log.info("segments written to %s and %s", cfg.segments_path, cfg.micro_path)
     return cfg.segments_path, cfg.micro_path
 
@@ -181,11 +182,42 @@ def parsed_once(spark: SparkSession, dims: P.Dimensions) -> P.Dimensions:
     return replace(dims, customer_map=spark.read.schema(dims.customer_map.schema).parquet(path))
 
 
-def run_all(spark: SparkSession, features: FeatureConfig, segments: SegmentConfig) -> tuple[str, str]:
-    dims = parsed_once(spark, dimensions(spark, features))
-    counted = dimension_counters(dims)
-    counted.coalesce(1).write.mode("overwrite").parquet(f"{features.customer_output_path}{COUNTERS}")
+def stages(spark: SparkSession, features: FeatureConfig, segments: SegmentConfig) -> list[Stage]:
+    """The stages of a whole run with what they read and write."""
+    held: list[P.Dimensions] = []
+
+    def dims() -> P.Dimensions:
+        if not held:
+            held.append(parsed_once(spark, dimensions(spark, features)))
+        return held[0]
+
+    def count_dimensions() -> None:
+        replace_table(dimension_counters(dims()).coalesce(1), f"{features.customer_output_path}{COUNTERS}")
+
+    shared = (features.customer_map_path, features.store_map_path, features.store_master_path, features.categories_path, features.combos_path)
+    own = features.delivery[N.OWNAPP].output_path
+    common = f"{features.window} {features.bins} {features.buckets} {features.by_month}"
+    out = [Stage("dimensions", shared, (f"{features.customer_output_path}{COUNTERS}",), "", count_dimensions)]
+    outputs = []
     for channel in N.CHANNELS:
-        run_orders(spark, features, channel, dims)
-    path = run_customers(spark, features, dims)
-    return run_segments(spark, segments, path)
+        feed = features.instore if channel == N.INSTORE else features.delivery[channel]
+        if channel == N.INSTORE:
+            read = (feed.orders_pattern, feed.items_pattern, own)
+        else:
+            read = (feed.orders_path, feed.items_path, *([feed.complaints_path] if feed.complaints_path else []), *([own] if channel != N.OWNAPP else []))
+        outputs.append(feed.output_path)
+        out.append(Stage(f"orders-{channel}", (*shared, *read), (feed.output_path, f"{feed.output_path}{COUNTERS}"), f"{common} {feed}",
+                         lambda channel=channel: run_orders(spark, features, channel, dims())))
+    out.append(Stage("customers", (*shared, *outputs), (features.customer_output_path,), f"{common} {features.cutoff} {features.reference}",
+                     lambda: run_customers(spark, features, dims())))
+    models = sorted({segments.model_paths[p.model_key] for p in segments.spec.plans if p.enabled})
+    written_by_segments = [f"{p}{end}" for p in (segments.segments_path, segments.micro_path) for end in ("", SUMMARY)]
+    out.append(Stage("segments", (features.customer_output_path, *models), tuple(written_by_segments), f"{segments.spec}",
+                     lambda: run_segments(spark, segments, features.customer_output_path)))
+    return out
+
+
+def run_all(spark: SparkSession, features: FeatureConfig, segments: SegmentConfig, resume: bool = False) -> tuple[str, str]:
+    """The whole job. With ``resume``, stages whose settings, inputs and outputs are as a former run left them are passed over."""
+    run_stages(spark, stages(spark, features, segments), f"{features.customer_output_path}{RECORDS}", resume)
+    return segments.segments_path, segments.micro_path

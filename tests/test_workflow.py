@@ -12,6 +12,7 @@ from cartwright.config import FeatureConfig, SegmentConfig, micro_plans
 from cartwright.operators.centroids import MODEL_SCHEMA
 from cartwright.plans import segmentation as G
 from cartwright.plans import workflow as W
+from cartwright.plans.stages import Records
 from cartwright.sources import readers as R
 from checks import queries as Q
 from checks import spec
@@ -185,3 +186,50 @@ def test_grid_reaches_every_plan(spark):
     st = Q.Stage(spark, "/root/testdata/sf0.001")
     assert Q.microsegments_grid(st).select("Segment").distinct().count() == len(spec.PLANS)
 
+
+
+def moved(fc, sc, root):
+    """The same job with its outputs under ``root``."""
+    delivery = {c: replace(d, output_path=f"{root}/{c}") for c, d in fc.delivery.items()}
+    fc = replace(fc, delivery=delivery, instore=replace(fc.instore, output_path=f"{root}/instore"), customer_output_path=f"{root}/customers")
+    return fc, replace(sc, segments_path=f"{root}/segments", micro_path=f"{root}/micro")
+
+
+def test_restarted_run_passes_over_finished_stages(spark, job, tmp_path, monkeypatch):
+    """A failure in the aggregator stage, then one restart that goes on there, then nothing left to do; changed settings count."""
+    _, fc, sc, _ = job
+    fc, sc = moved(fc, sc, str(tmp_path))
+    ran = []
+    run_orders = W.run_orders
+
+    def failing(spark, cfg, channel, dims=None):
+        if channel == N.SWIGGY:
+            raise RuntimeError("lost")
+        ran.append(channel)
+        return run_orders(spark, cfg, channel, dims)
+
+    monkeypatch.setattr(W, "run_orders", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        W.run_all(spark, fc, sc, resume=True)
+    assert ran == [N.OWNAPP]
+    monkeypatch.setattr(W, "run_orders", run_orders)
+    root = f"{fc.customer_output_path}{W.RECORDS}"
+    left = W.run_stages(spark, W.stages(spark, fc, sc), root, resume=True)
+    assert left == [f"orders-{N.SWIGGY}", f"orders-{N.INSTORE}", "customers", "segments"]
+    same(spark.read.parquet(sc.segments_path), spark.read.parquet(job[2].segments_path))
+    todo = lambda a, b: [s.name for s in W.stages(spark, a, b) if not Records(spark, root).is_done(s)]
+    assert todo(fc, sc) == []
+    assert todo(replace(fc, cutoff=date(1997, 1, 1)), sc) == ["customers"]
+    spark.read.parquet(sc.segments_path).limit(1).coalesce(1).write.mode("append").parquet(sc.segments_path)
+    assert todo(fc, sc) == ["segments"]
+
+
+def test_model_fit_writes_tables_that_score(spark, job, tmp_path):
+    _, fc, sc, _ = job
+    paths = {k: f"{tmp_path}/{k}" for k in sc.model_paths}
+    cfg = replace(sc, model_paths=paths)
+    W.run_model_fit(spark, cfg, {k: spec.MODEL_FEATURES for k in paths}, fc.customer_output_path, clusters=2)
+    fitted = {r["model_key"] for p in paths.values() for r in spark.read.parquet(p).collect()}
+    base = G.segments_with_features(R.read_parquet(spark, fc.customer_output_path), cfg.spec)
+    held = {r["Segment"] for r in base.select("Segment").distinct().collect()}
+    assert fitted == {p.model_key for p in spec.PLANS if held & set(p.source_segments)} and fitted
