@@ -601,6 +601,13 @@ UNION ALL SELECT 'items', 'rows', CAST(count(*) AS VARCHAR) FROM li LEFT JOIN ca
 UNION ALL SELECT 'items', 'missing_category', CAST(count(*) AS VARCHAR) FROM li LEFT JOIN cat USING (item_id_id) WHERE dri_label IS NULL
 UNION ALL SELECT 'kept_items', 'rows', CAST(count(*) AS VARCHAR) FROM clean
 UNION ALL SELECT 'categories', 'duplicate_keys', CAST(count(*) AS VARCHAR) FROM (SELECT item_id_id FROM cat GROUP BY 1 HAVING count(*) > 1)""")
+# written and read again, the rows are the same
+for written, same in (("scan_csv_columns", "scan_instore_csv"), ("sink_customer_features", "customer_features"), ("sink_segments", "rule_segments"),
+                      ("sink_microsegments", "microsegments"), ("model_table", "microsegments_grid")):
+    QUERIES[written] = QUERIES[same]
+query("reread_ownapp_customers", "o", sql=f"SELECT DISTINCT cust AS algonomy_id FROM o WHERE cust IS NOT NULL AND channel = 'ownapp' AND {WINDOW}")
+query("reread_recent_orders", "o", sql=f"""SELECT id AS order_id, cust AS algonomy_id, placed AS order_placed_datetime, total_price,
+  {daypart('placed')} AS order_time_of_day FROM o WHERE cust IS NOT NULL AND {WINDOW} AND placed >= TIMESTAMP '{CUTOFF}'""")
 
 
 def statement(name: str) -> str:

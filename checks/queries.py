@@ -20,6 +20,7 @@ from cartwright.operators.labels import Catalog
 from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
 from cartwright.plans.customer_features import Feed, customer_features, customer_features_of_feeds
+from cartwright.plans.workflow import read_order_features
 from cartwright.session import delete_at_exit, shared_dir
 from cartwright.sources import readers as R
 from cartwright.sources import sinks
@@ -103,6 +104,60 @@ def sink_order_features(st: Stage) -> DataFrame:
     )
 
 
+def scan_csv_columns(st: Stage) -> DataFrame:
+    """Files with more columns than are declared, one set with some of them in another order."""
+    extra = st.all_as_instore_orders.withColumns({
+        "Cashier": F.concat(F.lit("c "), F.col("InvoiceNo")), "Note": F.lit('said "no, thanks"'), "Zone": F.col("StoreCode")})
+    return R.read_instore_orders(st.spark, _two_orders_csv(st, extra, "InvoiceNo"))
+
+
+def _written(st: Stage, name: str, write) -> str:
+    """A fresh path that ``write`` has written to; it goes when the application ends."""
+    path = shared_dir(st.spark, name)
+    write(path)
+    delete_at_exit(st.spark, path)
+    return path
+
+
+def reread_ownapp_customers(st: Stage) -> DataFrame:
+    """Customers of the own app from its written order features, one column of them."""
+    orders = O.delivery_base(P.windowed_customer_orders(st.delivery_orders(N.OWNAPP), st.dims, WINDOW))
+    path = _written(st, "own-features", lambda p: sinks.write_features(orders, p))
+    return O.customer_ids(st.spark.read.parquet(path))
+
+
+def reread_recent_orders(st: Stage) -> DataFrame:
+    """Order features written by month, of which the months since the cutoff are read."""
+    orders = O.add_order_clock(O.delivery_base(P.windowed_customer_orders(st.all_orders, st.dims, WINDOW)))
+    path = _written(st, "by-month", lambda p: sinks.write_features(orders, p, by_month=True))
+    recent = O.since_cutoff(read_order_features(st.spark, path, CUTOFF), CUTOFF)
+    return recent.select(N.ORDER_ID, N.CUSTOMER_ID, "order_placed_datetime", "total_price", "order_time_of_day")
+
+
+def sink_customer_features(st: Stage) -> DataFrame:
+    path = _written(st, "customers", lambda p: sinks.write_features(_customers(st), p))
+    return rounded(R.read_parquet(st.spark, path), "omnichannel_avg_discount_pct", *MEANS, *GAPS, "ownapp_avg_delivery_time_minutes")
+
+
+def sink_segments(st: Stage) -> DataFrame:
+    path = _written(st, "segments", lambda p: sinks.write_features(rule_segments(st), p))
+    return st.spark.read.parquet(path)
+
+
+def sink_microsegments(st: Stage) -> DataFrame:
+    path = _written(st, "micro", lambda p: sinks.write_features(microsegments(st), p))
+    return st.spark.read.parquet(path)
+
+
+def model_table(st: Stage) -> DataFrame:
+    """Models written as a table and read again, which score every order line as a customer."""
+    path = _written(st, "models", M.model_rows(st.spark, spec.MODELS).write.parquet)
+    columns = [F.expr(e.replace("VARCHAR", "STRING")).alias(c) for c, e in spec.grid_columns().items()]
+    models = st.spark.read.schema(M.MODEL_SCHEMA).parquet(path)
+    scored = G.micro_segments(st.table("lineitem").select(*columns), spec.SPEC, models)
+    return scored.select(N.CUSTOMER_ID, "Segment", "microcluster")
+
+
 # -- filters ----------------------------------------------------------------
 
 def filter_date_window(st: Stage) -> DataFrame:
@@ -599,7 +654,8 @@ QUERIES: dict[str, Callable[[Stage], DataFrame]] = {
     f.__name__: f
     for f in (
         scan_orders, scan_order_items, scan_instore_csv, scan_instore_items_csv, scan_dimensions_csv,
-        scan_complaints, sink_order_features,
+        scan_complaints, sink_order_features, scan_csv_columns, reread_ownapp_customers, reread_recent_orders,
+        sink_customer_features, sink_segments, sink_microsegments, model_table,
         filter_date_window, filter_exclude_store_window, filter_window_missing_store, filter_unmapped_excluded,
         filter_promo_items, filter_cutoff_window, project_base_features, project_instore_base,
         price_without_taxes, normalize_keys, join_customer_map, join_customer_map_composite,

@@ -13,7 +13,7 @@ SLICES = {
     "avg_discount_pct", "unique_base_per_customer", "unique_dri_per_customer", "customer_order_metrics",
     "channel_label", "channel_count", "recency_tenure", "daypart_counts", "daypart_combos",
     "price_bucket_orders", "category_orders", "avg_delivery_minutes", "create_flags",
-    "segment_load_filter", "rule_segments", "microcluster_sizes",
+    "segment_load_filter", "rule_segments", "microcluster_sizes", "sink_customer_features", "sink_segments", "sink_microsegments",
 }
 
 
