@@ -59,14 +59,15 @@ class Plan:
 # ---- one pool ------------------------------------------------------------------------------
 
 
-def best_fit(sizes: list[int], items: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Put items, in order, each into the fullest bin that has room; opens bins as needed. Extends ``bins``."""
+def best_fit(sizes: list[int], items: list[int], bins: list[list[int]], capacity: int, fills: list[int] | None = None) -> list[list[int]]:
+    """Put items, in order, each into the fullest bin that has room; opens bins as needed. Extends ``bins``, and ``fills`` if given."""
+    if fills is None:
+        fills = [sum(sizes[i] for i in b) for b in bins]
     holding: list[list[int]] = [[] for _ in range(capacity + 1)]  # bins by their room
     mask = 0
-    for b, members in enumerate(bins):
-        room = capacity - sum(sizes[i] for i in members)
-        holding[room].append(b)
-        mask |= 1 << room
+    for b, fill in enumerate(fills):
+        holding[capacity - fill].append(b)
+        mask |= 1 << capacity - fill
     for i in items:
         size = sizes[i]
         above = mask >> size
@@ -76,40 +77,51 @@ def best_fit(sizes: list[int], items: list[int], bins: list[list[int]], capacity
             if not holding[room]:
                 mask ^= 1 << room
             bins[b].append(i)
+            fills[b] += size
             room -= size
         else:
             b, room = len(bins), capacity - size
             bins.append([i])
+            fills.append(size)
         holding[room].append(b)
         mask |= 1 << room
     return bins
 
 
-def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int, float]:
-    """Fewer sequences first, then uneven filling (room gathered in few of them)."""
-    fills = [sum(sizes[i] for i in b) / capacity for b in bins]
-    return -len(bins), sum(f * f for f in fills)
+@dataclass(frozen=True)
+class Packing:
+    """Bins with their fills; fewer bins rank first, then uneven filling (room gathered in few of them)."""
+
+    bins: list[list[int]]
+    fills: list[int]
+    rank: tuple[int, float]
+
+    @staticmethod
+    def of(bins: list[list[int]], fills: list[int], capacity: int) -> "Packing":
+        return Packing(bins, fills, (-len(bins), sum(f * f for f in fills) / capacity**2))
 
 
-def refill(sizes: list[int], bins: list[list[int]], free: list[int], capacity: int) -> list[int]:
+def refill(sizes: list[int], bins: list[list[int]], fills: list[int], free: list[int], capacity: int) -> list[int]:
     """Let a free item replace one or two of a bin that it fills better, as often as that helps; returns what is free then.
 
-    Bins only get fuller, and the items that come free are smaller, so they find room more easily.
+    Bins only get fuller (``fills`` is kept up), and the items that come free are smaller, so they find room more easily.
     """
     holding: list[list[int]] = [[] for _ in range(capacity + 1)]  # free items by size
     mask = 0
     for i in free:
         holding[sizes[i]].append(i)
         mask |= 1 << sizes[i]
-    for members in bins:
-        room = capacity - sum(sizes[i] for i in members)
-        while room:
+    for at, members in enumerate(bins):
+        while fills[at] < capacity:
+            room = capacity - fills[at]
             gain, out = 0, ()
             for pair in [(), *((i,) for i in members), *combinations(members, 2)]:
                 held = sum(sizes[i] for i in pair)
                 fit = (mask & ((1 << (held + room + 1)) - 1)).bit_length() - 1  # the longest that would fit
                 if fit - held > gain:
                     gain, out, size = fit - held, pair, fit
+                    if gain == room:
+                        break
             if not gain:
                 break
             members.append(holding[size].pop())
@@ -119,57 +131,67 @@ def refill(sizes: list[int], bins: list[list[int]], free: list[int], capacity: i
                 members.remove(i)
                 holding[sizes[i]].append(i)
                 mask |= 1 << sizes[i]
-            room -= gain
+            fills[at] += gain
     return [i for same in holding for i in same]
 
 
-def crossover(sizes: list[int], giver: list[list[int]], taker: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
+def crossover(sizes: list[int], giver: Packing, taker: Packing, capacity: int, rng: random.Random) -> Packing:
     """``taker`` with some of the well-filled bins of ``giver`` injected.
 
     Bins of the taker that hold an injected item are dissolved, and so are its least filled ones and a few more; free
     items first replace worse ones in the bins that stay, then go in by best fit, longest first.
     """
-    fill = lambda b: -sum(sizes[i] for i in b)
-    filled = sorted(giver, key=fill)[: max(1, len(giver) * 3 // 4)]
+    border = sorted(giver.fills, reverse=True)[(len(giver.bins) - 1) * 3 // 4]
     share = rng.random() ** 3 / 2
-    injected = [list(b) for b in filled if rng.random() < share]
-    inside = {i for b in injected for i in b}
+    chosen = [b for b, fill in enumerate(giver.fills) if fill >= border and rng.random() < share]
+    inside = {i for b in chosen for i in giver.bins[b]}
     kept, displaced = [], []
-    for b in taker:
-        if inside.isdisjoint(b):
-            kept.append(list(b))
+    for b, members in enumerate(taker.bins):
+        if inside.isdisjoint(members):
+            kept.append(b)
         else:
-            displaced += [i for i in b if i not in inside]
-    kept.sort(key=fill)
+            displaced += [i for i in members if i not in inside]
+    rng.shuffle(kept)
+    kept.sort(key=lambda b: -taker.fills[b])
     for _ in range(min(2, len(kept))):
-        displaced += kept.pop()
+        displaced += taker.bins[kept.pop()]
     for _ in range(min(rng.randint(1, 12), len(kept))):
-        displaced += kept.pop(rng.randrange(len(kept)))
+        displaced += taker.bins[kept.pop(rng.randrange(len(kept)))]
     rng.shuffle(kept)
-    free = refill(sizes, kept, displaced, capacity)
+    bins, fills = [list(taker.bins[b]) for b in kept], [taker.fills[b] for b in kept]
+    free = refill(sizes, bins, fills, displaced, capacity)
     free.sort(key=lambda i: (-sizes[i], rng.random()))
-    return best_fit(sizes, free, injected + kept, capacity)
+    bins += [list(giver.bins[b]) for b in chosen]
+    fills += [giver.fills[b] for b in chosen]
+    best_fit(sizes, free, bins, capacity, fills)
+    return Packing.of(bins, fills, capacity)
 
 
-def evolve(sizes: list[int], start: list[list[list[int]]], plan: Plan, capacity: int, rng: random.Random) -> list[list[list[int]]]:
+def evolve(sizes: list[int], start: list[list[list[int]]], plan: Plan, capacity: int, rng: random.Random) -> list[Packing]:
     """Some generations of one island; returns its packings, best first. Ends early at the least possible number of sequences."""
-    rank = lambda b: fitness(sizes, b, capacity)
     least = -(-sum(sizes) // capacity)
-    crowd = list(start) or [best_fit(sizes, list(range(len(sizes))), [], capacity)]
-    if min(map(len, crowd)) > least:
+
+    def fitted(order: list[int]) -> Packing:
+        bins: list[list[int]] = []
+        fills: list[int] = []
+        best_fit(sizes, order, bins, capacity, fills)
+        return Packing.of(bins, fills, capacity)
+
+    crowd = [Packing.of(bins, [sum(sizes[i] for i in b) for b in bins], capacity) for bins in start] or [fitted(list(range(len(sizes))))]
+    if min(len(p.bins) for p in crowd) > least:
         while len(crowd) < plan.population:
             noise = [s * (1 + rng.uniform(-0.15, 0.15)) for s in sizes]
-            crowd.append(best_fit(sizes, sorted(range(len(sizes)), key=lambda i: -noise[i]), [], capacity))
-    crowd.sort(key=rank, reverse=True)
+            crowd.append(fitted(sorted(range(len(sizes)), key=lambda i: -noise[i])))
+    crowd.sort(key=lambda p: p.rank, reverse=True)
     for _ in range(max(1, plan.work // len(sizes))):
-        if len(crowd[0]) <= least:
+        if len(crowd[0].bins) <= least:
             break
         giver, taker = rng.sample(range(len(crowd)), 2)
         child = crossover(sizes, crowd[giver], crowd[taker], capacity, rng)
         # a child replaces its taker if it is as good, so that better packings spread and the others stay
-        if rank(child) >= rank(crowd[taker]):
+        if child.rank >= crowd[taker].rank:
             crowd[taker] = child
-            crowd.sort(key=rank, reverse=True)
+            crowd.sort(key=lambda p: p.rank, reverse=True)
     return crowd
 
 
@@ -264,11 +286,10 @@ def _islands(batches: Iterator[pa.RecordBatch], plan: Plan, capacity: int, epoch
                     start.append(bins)
             best = evolve(sizes, start, plan, capacity, rng)[0]
             place = [0] * len(sizes)
-            for b, members in enumerate(best):
+            for b, members in enumerate(best.bins):
                 for i in members:
                     place[i] = b
-            count, even = fitness(sizes, best, capacity)
-            out.append((row["pool"], row["island"], sizes, place, count, even))
+            out.append((row["pool"], row["island"], sizes, place, *best.rank))
         columns = list(zip(*out)) if out else [()] * 6
         kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],

@@ -33,10 +33,12 @@ def test_search_beats_best_fit():
         kept = [list(b) for b in plain[: len(plain) // 2]]
         free = [i for b in plain[len(plain) // 2:] for i in b]
         before = [sum(sizes[i] for i in b) for b in kept]
-        left = packing.refill(sizes, kept, list(free), 1024)
+        fills = list(before)
+        left = packing.refill(sizes, kept, fills, list(free), 1024)
+        assert fills == [sum(sizes[i] for i in b) for b in kept]
         assert sorted(left + [i for b in kept for i in b]) == list(range(n))
         assert all(old <= sum(sizes[i] for i in b) <= 1024 for old, b in zip(before, kept))
-        best = packing.evolve(sizes, [], packing.Plan(work=60_000), 1024, random.Random(1))[0]
+        best = packing.evolve(sizes, [], packing.Plan(work=60_000), 1024, random.Random(1))[0].bins
         assert sorted(i for b in best for i in b) == list(range(n)) and all(sum(sizes[i] for i in b) <= 1024 for b in best)
         assert -(-sum(sizes) // 1024) <= len(best) <= len(plain)
         fewer += len(best) < len(plain)
