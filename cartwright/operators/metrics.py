@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,12 @@ def counters(step: str, df: DataFrame, **metrics: Column) -> DataFrame:
     return counted(df, {(step, name): c for name, c in metrics.items()})
 
 
+def observed(spark: SparkSession, step: str, values: Mapping[str, object]) -> DataFrame:
+    """(step, metric, value) rows of values that a write has counted."""
+    lines = [(step, name, None if v is None else str(v)) for name, v in values.items()]
+    return spark.createDataFrame(lines, "step string, metric string, value string")
+
+
 def rows(where: Column | None = None) -> Column:
     return F.count(F.lit(1)) if where is None else F.count_if(where)
 

@@ -13,7 +13,7 @@ from dataclasses import replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import names as N
@@ -57,21 +57,26 @@ def ownapp_users(spark: SparkSession, cfg: FeatureConfig) -> DataFrame:
     return customer_ids(spark.read.parquet(cfg.delivery[N.OWNAPP].output_path))
 
 
-def channel_counters(channel: str, features: DataFrame, recent: DataFrame, dims: P.Dimensions) -> DataFrame:
-    """(step, metric, value) of one channel: one aggregate over its orders in the window, one over its output."""
+def output_metrics(features: DataFrame) -> dict[str, Column]:
+    """What is counted of a channel's order features while they are written."""
     placed = F.col("order_placed_datetime")
     found = {
         "rows": Q.rows(), "missing_store": Q.missing("store_type"), "without_items": Q.missing("item_count"),
-        "first_order": F.min(placed), "last_order": F.max(placed),
+        "first_order": F.min(placed).cast("string"), "last_order": F.max(placed).cast("string"),
     }
     if "has_query" in features.columns:
         found["flagged"] = Q.hits("has_query")
+    return found
+
+
+def channel_counters(channel: str, written: Mapping[str, object], recent: DataFrame, dims: P.Dimensions) -> DataFrame:
+    """(step, metric, value) of one channel: one aggregate over its orders in the window, and what the write has counted."""
     if channel == N.INSTORE:
         known = O.map_customers_instore(recent, dims.customer_map)
     else:
         known = O.with_customers(recent, dims.customer_map)
     seen = {"rows": Q.rows(), "without_customer": Q.missing(N.CUSTOMER_ID)}
-    return Q.collect_counters(Q.counters(f"{channel} window", known, **seen), Q.counters(f"{channel} output", features, **found))
+    return Q.collect_counters(Q.counters(f"{channel} window", known, **seen), Q.observed(recent.sparkSession, f"{channel} output", written))
 
 
 def dimension_counters(dims: P.Dimensions) -> DataFrame:
@@ -109,8 +114,8 @@ def run_orders(spark: SparkSession, cfg: FeatureConfig, channel: str, dims: P.Di
             None if channel == N.OWNAPP else ownapp_users(spark, cfg),
         )
         path = feed.output_path
-    write_features(features, path, cfg.by_month)
-    counted = channel_counters(channel, R.read_parquet(spark, path), recent, dims)
+    written = write_features(features, path, cfg.by_month, counted=output_metrics(features))
+    counted = channel_counters(channel, written, recent, dims)
     replace_table(counted.coalesce(1), f"{path}{COUNTERS}")
     log.info("order features of %s written to %s", channel, path)
     return path

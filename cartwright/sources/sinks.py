@@ -8,8 +8,9 @@ end between them, ``settle`` puts the old output back before the next one writes
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import names as N
@@ -54,21 +55,27 @@ def replace_table(df: DataFrame, path: str, *partitions: str) -> None:
     system.delete(aside, True)
 
 
-def write_features(df: DataFrame, path: str, by_month: bool = False, only_months: bool = False) -> None:
+def write_features(df: DataFrame, path: str, by_month: bool = False, only_months: bool = False,
+                   counted: Mapping[str, Column] | None = None) -> dict[str, object]:
     """Parquet with the customer id as text.
 
     ``by_month`` lays order features out by order month, so that a customer
     run reads only the months after its cutoff. The rebalance hint evens out
     file sizes and splits a month that is much larger than the others. With ``only_months`` the months that the
     frame holds are replaced and all others stay.
+
+    ``counted`` are aggregates of the rows that are written, observed in the tasks that write them (each of
+    which counts once, however often it is tried); their values are returned.
     """
     out = df.withColumn(N.CUSTOMER_ID, F.col(N.CUSTOMER_ID).cast("string"))
-    if not by_month:
-        replace_table(out, path)
-        return
-    out = out.withColumn(MONTH, F.date_format("order_placed_datetime", "yyyy-MM")).hint("rebalance", MONTH)
-    if only_months:
+    if by_month:
+        out = out.withColumn(MONTH, F.date_format("order_placed_datetime", "yyyy-MM")).hint("rebalance", MONTH)
+    seen = Observation() if counted else None
+    if seen is not None:
+        out = out.observe(seen, *[c.alias(name) for name, c in counted.items()])
+    if only_months and by_month:
         settle(df.sparkSession, path.rstrip("/"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     else:
-        replace_table(out, path, MONTH)
+        replace_table(out, path, *([MONTH] if by_month else []))
+    return {} if seen is None else dict(seen.get)

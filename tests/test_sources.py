@@ -119,3 +119,12 @@ def test_unwanted_lines_go_before_the_shuffle(spark):
         found = items_of_orders(lines, kept)
         assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
         assert found.count() == want > 0
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_rows_are_counted_while_they_are_written(spark, tmp_path, by_month):
+    df = orders(spark, *[(i, f"2025-0{1 + i % 5}") for i in range(100)]).repartition(4)
+    counted = {"rows": F.count(F.lit(1)), "most": F.max("v"), "none": F.max(F.lit(None).cast("string"))}
+    found, jobs = jobs_of(spark, f"counted {by_month}", lambda: sinks.write_features(df, str(tmp_path / "a"), by_month, counted=counted))
+    _, plain = jobs_of(spark, f"plain {by_month}", lambda: sinks.write_features(df, str(tmp_path / "b"), by_month))
+    assert found == {"rows": 100, "most": 99, "none": None} and jobs == plain
