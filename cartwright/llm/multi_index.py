@@ -248,7 +248,7 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     width = entries.select(F.size("v")).first()[0]
     drawn = entries.orderBy(at_random).limit(min(index.fit_sample, max(1, index.fit_values // width))).select("v").toArrow()
     sample = _matrix(drawn.column("v").combine_chunks())
-    k = max(1, min(-(-len(sample) // 8), int(1.5 * n**0.4)))
+    k = max(1, min(-(-len(sample) // 8), int(n**0.4)))
     half = max(1, sample.shape[1] // 2)
     books = (fit(sample[:, :half], k, index.iterations, index.seed), fit(sample[:, half:], k, index.iterations, index.seed + 1))
     schema = "eid long, ids array<long>, v array<double>, c1 int, c2 int"
