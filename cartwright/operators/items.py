@@ -118,17 +118,38 @@ def fold_pairs(lines: DataFrame, aggs: Sequence[Column], sold: DataFrame, combos
     )
 
 
+def offers_of(sold: DataFrame, combos: DataFrame, keys: ItemKeys) -> DataFrame:
+    """Narrow (``_at``, ``_choice``, ``_limit``) rows: the choices that every sold line heads in its order ``_at``.
+
+    A plain join, which may be broadcast or split where a header is hot. Its rows outnumber the lines and are narrow.
+    """
+    return sold.select(F.col(keys.order).alias("_at"), keys.item).join(header_covers(combos, keys), keys.item).select(
+        "_at", "_choice", "_limit")
+
+
+def with_limits(pairs: DataFrame, offers: DataFrame, keys: ItemKeys) -> DataFrame:
+    """Folded pairs with ``_limit``: the largest quantity that a header of the order covers.
+
+    Offers fold by (order, choice) before their shuffle, with one number as buffer, whatever columns the pairs have.
+    """
+    limits = offers.groupBy("_at", "_choice").agg(F.max("_limit").alias("_limit"))
+    return pairs.join(limits, (F.col(keys.order) == F.col("_at")) & (F.col(keys.item) == F.col("_choice")), "left").drop("_at", "_choice")
+
+
 def covered(quantity: Column) -> Column:
     """Whether a header of the order covers the whole quantity of this pair."""
     return F.coalesce(F.col("_limit") >= quantity, F.lit(False))
 
 
 def choice_pairs(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
-    """(order, item) pairs that are choices of a combo in the same order."""
+    """(order, item) pairs that are choices of a combo in the same order.
+
+    Only pairs are folded; what sold headers emit goes straight to the semi-join.
+    """
     known = payable_items(items, keys).where(F.col(keys.order).isNotNull() & F.col(keys.item).isNotNull())
-    quantity = F.coalesce(F.sum(keys.quantity), F.lit(0)).cast("bigint").alias("order_quantity")
-    pairs = fold_pairs(known.select(keys.order, keys.item, keys.quantity), [quantity], known, combos, keys)
-    return pairs.where(covered(F.col("order_quantity"))).select(keys.order, keys.item)
+    pairs = known.groupBy(keys.order, keys.item).agg(F.coalesce(F.sum(keys.quantity), F.lit(0)).cast("bigint").alias("order_quantity"))
+    meets = (F.col(keys.order) == F.col("_at")) & (F.col(keys.item) == F.col("_choice")) & covered(F.col("order_quantity"))
+    return pairs.join(offers_of(known, combos, keys), meets, "left_semi").select(keys.order, keys.item)
 
 
 def remove_choices(items: DataFrame, combos: DataFrame, keys: ItemKeys = DELIVERY) -> DataFrame:
@@ -259,6 +280,10 @@ def category_dim(
     )
 
 
+#: what is true of an (order, item) pair, below the bits of its price buckets
+PAYABLE, COUNTED = 1, 2
+
+
 def encoded_item_features(
     items: DataFrame,
     categories: DataFrame,
@@ -269,23 +294,21 @@ def encoded_item_features(
 ) -> DataFrame:
     """Every item-derived feature of an order, bitsets undecoded, in one pass over the lines.
 
-    1. Lines fold to one row per (order, item), together with the choice limits that
-       sold headers emit. The fold runs before the shuffle, so one huge order or one
-       hot item arrives as few rows.
+    1. Lines fold to one row per (order, item), before the shuffle, so one huge order or one
+       hot item arrives as few rows. The choice limits that sold headers emit meet them there.
     2. Pairs get their labels by a join on the item.
     3. Pairs fold to one row per order, again combining before the shuffle.
 
-    All buffers are fixed-width numbers and bitsets. The separate operators
-    above compute the same columns one at a time.
+    All buffers are fixed-width numbers and bitsets; what is true or false of a pair shares one. The separate
+    operators above compute the same columns one at a time.
     """
     payable, qty = keys.payable(), F.col(keys.quantity)
     counted = payable & qty.isNotNull()
-    # what the aggregates need of a line, so that rows without a line have NULL in all of it
-    inputs = {
-        "_qty": qty, "_payable": payable, "_counted": counted, "_paid_qty": F.when(payable, qty),
-        "_bucket": _bucket_bit(F.col(keys.price), counted, bins),
-    }
-    first = {"_qty": F.sum, "_payable": F.max, "_counted": F.max, "_paid_qty": lambda c: F.coalesce(F.sum(c), F.lit(0)), "_bucket": F.bit_or}
+    bucket = F.coalesce(_bucket_bit(F.col(keys.price), counted, bins).cast("bigint"), F.lit(0))
+    marks = F.call_function("shiftleft", bucket, F.lit(2))
+    marks = marks.bitwiseOR(F.when(payable, F.lit(PAYABLE)).otherwise(F.lit(0))).bitwiseOR(F.when(counted, F.lit(COUNTED)).otherwise(F.lit(0)))
+    inputs = {"_qty": qty, "_paid_qty": F.when(payable, qty), "_marks": marks}
+    first = {"_qty": F.sum, "_paid_qty": lambda c: F.coalesce(F.sum(c), F.lit(0)), "_marks": F.bit_or}
     if keys.details:
         veg = F.col("is_veg").cast("int")
         inputs |= {"_custom": F.col("is_customized"), "_veg_min": veg, "_veg_sum": veg}
@@ -296,11 +319,17 @@ def encoded_item_features(
 
     known = items.where(F.col(keys.order).isNotNull())
     lines = known.select(keys.order, keys.item, *[c.alias(n) for n, c in inputs.items()])
-    pairs = fold_pairs(lines, [f(n).alias(n) for n, f in first.items()], known.where(payable), combos, keys)
-    labelled = pairs.join(category_dim(categories, catalog, keys), keys.item, "left")
+    aggs, sold = [f(n).alias(n) for n, f in first.items()], known.where(payable)
+    if keys == UNITED:  # few columns are read of these, so lines and limits share one aggregate
+        pairs = fold_pairs(lines, aggs, sold, combos, keys)
+    else:
+        pairs = with_limits(lines.groupBy(keys.order, keys.item).agg(*aggs), offers_of(sold, combos, keys), keys)
+    marked = pairs.join(category_dim(categories, catalog, keys), keys.item, "left")
     copies = F.coalesce(F.col("_copies"), F.lit(1))
-    kept = F.col("_payable") & F.col("_mapped") & ~covered(F.col("_paid_qty") * copies)
-    marked = labelled.withColumn("_kept", F.coalesce(kept, F.lit(False)))
+    kept = (F.col("_marks").bitwiseAND(F.lit(PAYABLE)) != 0) & F.col("_mapped") & ~covered(F.col("_paid_qty") * copies)
+    marked = marked.withColumns({
+        "_kept": F.coalesce(kept, F.lit(False)), "_counted": F.col("_marks").bitwiseAND(F.lit(COUNTED)) != 0,
+        "_bucket": F.call_function("shiftright", F.col("_marks"), F.lit(2)).cast("int")})
 
     is_kept = F.col("_kept")
     seen = is_kept & F.col("_counted")
@@ -328,6 +357,11 @@ def feed_key(feed: int, key: Column) -> Column:
     return F.when(key.isNotNull(), F.struct(F.lit(feed).alias("feed"), key.alias("key")))
 
 
+def item_key(feed: int, key: Column) -> Column:
+    """The same for item keys, as one text: narrower than a struct in every shuffle."""
+    return F.concat(F.lit(f"{feed}:"), key.cast("string"))
+
+
 def _item_feed(keys: ItemKeys) -> int:
     """Feeds that name items alike share their dimension rows."""
     return (DELIVERY.item, IN_STORE.item).index(keys.item)
@@ -338,7 +372,7 @@ def united_lines(feeds: Sequence[tuple[int, DataFrame, ItemKeys]]) -> DataFrame:
     parts = [
         lines.select(
             feed_key(feed, F.col(keys.order).cast("bigint")).alias("_order"),
-            feed_key(_item_feed(keys), F.col(keys.item)).alias("_item"),
+            item_key(_item_feed(keys), F.col(keys.item)).alias("_item"),
             F.col(keys.price).cast("double").alias("_price"),
             F.col(keys.quantity).cast("bigint").alias("quantity"),
             (F.lit(False) if keys.promo is None else F.col(keys.promo)).alias("_promo"),
@@ -351,9 +385,9 @@ def united_lines(feeds: Sequence[tuple[int, DataFrame, ItemKeys]]) -> DataFrame:
 def united_dimensions(categories: DataFrame, combos: DataFrame, forms: Sequence[ItemKeys]) -> tuple[DataFrame, DataFrame]:
     """Categories and combos under the item keys of ``UNITED``, for the forms of keys that occur."""
     forms = list({_item_feed(k): k for k in forms}.values())
-    labels = [categories.select(feed_key(_item_feed(k), F.col(k.item)).alias("_item"), N.BASE_LABEL, N.DRI_LABEL) for k in forms]
-    covers = [combos.select(feed_key(_item_feed(k), F.col(k.header)).alias("_header"),
-                            feed_key(_item_feed(k), F.col(k.choice)).alias("_choice"), "Qty") for k in forms]
+    labels = [categories.select(item_key(_item_feed(k), F.col(k.item)).alias("_item"), N.BASE_LABEL, N.DRI_LABEL) for k in forms]
+    covers = [combos.select(item_key(_item_feed(k), F.col(k.header)).alias("_header"),
+                            item_key(_item_feed(k), F.col(k.choice)).alias("_choice"), "Qty") for k in forms]
     return reduce(DataFrame.unionByName, labels), reduce(DataFrame.unionByName, covers)
 
 

@@ -213,3 +213,26 @@ def test_limits_of_a_hot_order(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "REPARTITION_BY_COL" not in plan
     assert plan.split("Initial Plan")[0].count("hashpartitioning(sales_id") == 1  # lines and offers meet in one shuffle
+
+
+def test_limits_meet_folded_pairs_in_a_join(spark):
+    """No aggregate of lines holds the offers of their order, which outnumber them."""
+    from cartwright.operators.items import DELIVERY, offers_of, with_limits
+
+    lines = spark.createDataFrame([(1, "a", 2), (1, "a", 3), (1, "b", 1), (2, "b", 1), (3, None, 4)], "sales_id long, item_id_id string, q int")
+    combos = spark.createDataFrame([("a", "b", 5), ("b", "b", 7), ("a", "z", 1), (None, "a", 9), ("b", "a", None)], COMBOS)
+    pairs = lines.groupBy("sales_id", "item_id_id").agg(F.sum("q").alias("_qty"))
+    out = with_limits(pairs, offers_of(lines, combos, DELIVERY), DELIVERY)
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, "a", 5, None), (1, "b", 1, 7), (2, "b", 1, 7), (3, None, 4, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Join LeftOuter" in plan
+
+
+def test_choice_pairs_do_not_aggregate_offers(spark):
+    lines = spark.createDataFrame([(1, "a", 2, False), (1, "b", 1, False), (1, "b", 3, False), (2, "b", 1, False), (2, "a", 1, None)],
+                                  "sales_id long, item_id_id string, quantity int, promo_item boolean")
+    combos = spark.createDataFrame([("a", "b", 4), ("a", "b", 1), ("b", "b", None)], COMBOS)
+    pairs = I.choice_pairs(lines, combos)
+    assert [tuple(r) for r in pairs.collect()] == [(1, "b")]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Join LeftSemi" in plan
