@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cartwright.operators import centroids as M
 from cartwright.operators import segments as S
@@ -45,6 +46,12 @@ def segments_with_features(features: DataFrame, spec: SegmentSpec) -> DataFrame:
 Models = DataFrame | Mapping[str, M.CentroidModel]
 
 
+def planned_customers(features: DataFrame, spec: SegmentSpec) -> DataFrame:
+    """Customers with their segment, where an enabled plan takes it: no other row reaches a score or a quantile."""
+    sources = sorted({s for p in spec.plans if p.enabled for s in p.source_segments})
+    return segments_with_features(features, spec).where(F.col("Segment").isin(sources))
+
+
 def micro_segments(features: DataFrame, spec: SegmentSpec, models: Models, write_once: bool = True) -> DataFrame:
     """Micro-segments of all plans next to the base features.
 
@@ -52,7 +59,7 @@ def micro_segments(features: DataFrame, spec: SegmentSpec, models: Models, write
     the row itself and neither the assignments nor the features are joined back. Capped plans read
     the rows three times, so they are written once, unless ``features`` is a written table already.
     """
-    segmented = segments_with_features(features, spec)
+    segmented = planned_customers(features, spec)
     if write_once and any(p.enabled and p.capped for p in spec.plans):
         segmented = written(segmented, "segmented")
     return M.micro_segments(segmented, spec.plans, models, spec.micro_renames)
@@ -64,7 +71,7 @@ def fitted_models(features: DataFrame, spec: SegmentSpec, wanted: Mapping[str, S
 
     ``wanted`` names the features of every model key.
     """
-    segmented = written(segments_with_features(features, spec), "segmented")
+    segmented = written(planned_customers(features, spec), "segmented")
     return fit_models(segmented, spec.plans, wanted, spec.micro_renames, clusters, seed, rounds)
 
 

@@ -97,3 +97,17 @@ def test_with_segment_keeps_base_columns(spark):
     assert {c: row[c] for c in values} == values
     via = S.assign_segments(S.flag_features(df, spec.FLAGS, spec.RENAMES)).first()["Segment"]
     assert row["Segment"] == via is not None
+
+
+def test_only_planned_customers_are_scored(spark):
+    """Customers of segments that no enabled plan takes are not written for scoring."""
+    from cartwright.operators.centroids import MicroPlan
+    from cartwright.plans.segmentation import SegmentSpec, planned_customers
+
+    keep = (N.CUSTOMER_ID, N.TARGET, "unique_dri_category_count", "unique_cat_base_count", "channel_count")
+    flags = ("Weekend_count", "Weekday_count", "Premium_price_count", "Lunch_count", "Late_Night_count", "Breakfast_count", "Evening_count")
+    rows = [("a", 1, 1, 1, 1, *[0] * 7), ("b", 1, 1, 1, 1, 1, 0, *[0] * 5), ("c", 1, 1, 1, 1, 1, 1, *[0] * 5)]
+    df = spark.createDataFrame(rows, f"{N.CUSTOMER_ID} string, " + ", ".join(f"{c} long" for c in (*keep[1:], *flags)))
+    plans = (MicroPlan("one", ("Seg1_5_1",), "m"), MicroPlan("off", ("Seg1_5_2",), "m", enabled=False))
+    got = planned_customers(df, SegmentSpec(keep, flags, {}, {}, plans)).collect()
+    assert [(r[N.CUSTOMER_ID], r["Segment"]) for r in got] == [("a", "Seg1_5_1")]
