@@ -269,6 +269,10 @@ def label_counts(unified: DataFrame, present: str, lists: Sequence[str] = ()) ->
     rows. Output: the customer, ``_counts`` (position -> orders, own-app orders) and ``_list_i`` for each
     of the lists, sorted; customers without any label are absent.
     """
+    if not lists:
+        each = unified.where(F.col(N.CUSTOMER_ID).isNotNull()).select(N.CUSTOMER_ID, _is(N.OWNAPP).alias("_own"), F.expr(f"explode({present})").alias("at"))
+        counted = each.groupBy(N.CUSTOMER_ID, "at").agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("_own")).alias("own"))
+        return counted.groupBy(N.CUSTOMER_ID).agg(F.expr("map_from_entries(transform(collect_list(struct(at, orders, own)), x -> struct(x.at, struct(x.orders, x.own))))").alias("_counts"))
     entries = [f"transform({present}, i -> named_struct('kind', 0, 'at', i, 'label', CAST(NULL AS STRING)))"]
     entries += [f"transform(array_distinct({c}), x -> named_struct('kind', {k}, 'at', 0, 'label', x))" for k, c in enumerate(lists, 1)]
     each = unified.where(F.col(N.CUSTOMER_ID).isNotNull()).select(

@@ -85,10 +85,11 @@ def encoded_orders(feeds: Mapping[str, Feed], dims: Dimensions, window: OrderWin
             lines.append((at, feed.items, I.DELIVERY))
     if delivery:
         parts.insert(0, O.map_customers(reduce(DataFrame.unionByName, delivery), dims.customer_map).select(*shared))
-    orders = O.add_order_clock(reduce(DataFrame.unionByName, parts)).withColumn(N.CUSTOMER_ID, F.col(N.CUSTOMER_ID).cast("string"))
+    orders = reduce(DataFrame.unionByName, parts).withColumn(N.CUSTOMER_ID, F.col(N.CUSTOMER_ID).cast("string"))
     categories, combos = I.united_dimensions(dims.categories, dims.combos, [keys for _, _, keys in lines])
     encoded = I.encoded_item_features(I.united_lines(lines), categories, combos, dims.catalog, I.UNITED, dims.bins)
-    return orders.join(encoded.drop("item_count", "promo_items").withColumnRenamed(N.ORDER_ID, "_order"), "_order", "left").drop("_order")
+    joined = orders.join(encoded.drop("item_count", "promo_items").withColumnRenamed(N.ORDER_ID, "_order"), "_order", "left").drop("_order")
+    return O.add_order_clock(joined)
 
 
 def customer_features_of_feeds(
@@ -97,9 +98,10 @@ def customer_features_of_feeds(
     """The same features as ``customer_features`` without written order features in between.
 
     The narrow encoded orders are written once, as two aggregates read them: the metrics of a
-    customer, and its labels in long form. No column per label exists before the last projection.
+    customer, and its labels in long form. They are written by customer (a hot one is split), so that both
+    aggregates combine nearly all of a customer's rows before their shuffles. No column per label exists before the last projection.
     """
-    orders = written(encoded_orders(feeds, dims, window, cutoff), "encoded-orders")
+    orders = written(encoded_orders(feeds, dims, window, cutoff).hint("rebalance", N.CUSTOMER_ID), "encoded-orders")
     wide = C.aggregate_customers(orders, C.encoded_groups(dims.catalog, bucket_columns(dims.buckets), reference))
     words = {kind: [f"coalesce(_{kind}_seen{w}, 0L)" for w in range(ls.words)] for kind, ls in
              (("base", dims.catalog.base), ("dri", dims.catalog.dri))}
