@@ -21,7 +21,7 @@ from cartwright.plans import order_features as P
 from cartwright.plans import segmentation as G
 from cartwright.plans.customer_features import Feed, customer_features, customer_features_of_feeds
 from cartwright.plans.workflow import read_order_features
-from cartwright.session import delete_at_exit, shared_dir
+from cartwright.session import delete_at_exit, shared_dir, written
 from cartwright.sources import readers as R
 from cartwright.sources import sinks
 from checks import spec
@@ -404,12 +404,13 @@ def unique_dri_per_customer(st: Stage) -> DataFrame:
 
 def unique_labels_after_dimension_change(st: Stage) -> DataFrame:
     """The dimension has lost half of its categories since the order features were written."""
-    channels = [_ownapp(st), _swiggy(st, None), _instore(st, None)]
-    lists = shared_dir(st.spark, "label-lists")
-    reduce(DataFrame.unionByName, [c.select(N.DRI_LIST, N.BASE_LIST) for c in channels]).write.parquet(lists)
-    delete_at_exit(st.spark, lists)
+    prices = ("discounted_price", "sub_total_price", "BaseAmount")
+    channels = [
+        written(c.select(N.CUSTOMER_ID, "order_placed_datetime", N.DRI_LIST, N.BASE_LIST, *[p for p in prices if p in c.columns]), "label-lists")
+        for c in (_ownapp(st), _swiggy(st, None), _instore(st, None))
+    ]
     fewer = Catalog.from_categories(st.categories.where(F.col(N.DRI_LABEL) < "M"))
-    catalog = fewer.covering([st.spark.read.parquet(lists)])
+    catalog = fewer.covering([c.select(N.DRI_LIST, N.BASE_LIST) for c in channels])
     group = C.unique_label_metrics(N.DRI_LIST, catalog.dri, "unique_dri_category_count")
     return customer_features(*channels, catalog, CUTOFF, REFERENCE, groups=(group,))
 
