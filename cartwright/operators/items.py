@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright import names as N
@@ -109,15 +109,45 @@ def fold_pairs(lines: DataFrame, aggs: Sequence[Column], sold: DataFrame, combos
     offers = sold.select(keys.order, keys.item).join(header_covers(combos, keys), keys.item).select(
         keys.order, F.col("_choice").alias(keys.item), "_limit")
     own = lines.withColumns({"_limit": F.lit(None).cast("bigint"), "_own": F.lit(True)})
+    return fold_met(own.unionByName(offers, allowMissingColumns=True), aggs, keys)
+
+
+def fold_met(met: DataFrame, aggs: Sequence[Column], keys: ItemKeys) -> DataFrame:
+    """Lines (``_own``) and offers in one frame, folded to one row per (order, item) that has a line."""
     return (
-        own.unionByName(offers, allowMissingColumns=True)
-        .groupBy(keys.order, keys.item)
+        met.groupBy(keys.order, keys.item)
         .agg(*aggs, F.max("_limit").alias("_limit"), F.max("_own").alias("_own"))
         .where(F.col("_own"))
         .drop("_own")
     )
 
 
+def lines_and_offers(lines: DataFrame, rows: DataFrame, payable: Column, keys: ItemKeys, by_order: bool = False) -> DataFrame:
+    """Every line with what is known of its item (``_own``), and (order, choice, limit) rows for the choices that it heads.
+
+    One join on the item, in which a hot item is split, gives both: of ``item_rows`` a line meets the
+    one without choice, or none, and that is the line itself. Lines that are not payable head nothing.
+
+    Most choices are not in the order, and their rows find no line in the fold. With ``by_order`` (lines that a join has dealt
+    by order already) those go at once whose bit is not among the bits of the order's items.
+    """
+    values = [c for c in lines.columns if c not in (keys.order, keys.item)]
+    rows = rows.withColumn("_choice", F.col("_choice").cast(lines.schema[keys.item].dataType))
+    heads = payable
+    if by_order:
+        lines = lines.withColumn("_bits", F.bit_or(_item_bit(F.col(keys.item))).over(Window.partitionBy(keys.order)))
+        heads = payable & (F.col("_bits").bitwiseAND(_item_bit(F.col("_choice"))) != 0)
+    own = F.col("_choice").isNull()
+    return lines.join(rows, keys.item, "left").where(own | heads).select(
+        keys.order, F.coalesce("_choice", keys.item).alias(keys.item), *[F.when(own, F.col(c)).alias(c) for c in values],
+        *[c for c in rows.columns if c not in (keys.item, "_choice")], F.when(own, F.lit(True)).alias("_own"))
+
+
+def _item_bit(item: Column) -> Column:
+    """One of the 32 bits of an INT, by the item's hash."""
+    return F.call_function("shiftleft", F.lit(1), F.pmod(F.hash(item), F.lit(32)))
+
+
 def offers_of(sold: DataFrame, combos: DataFrame, keys: ItemKeys) -> DataFrame:
     """Narrow (``_at``, ``_choice``, ``_limit``) rows: the choices that every sold line heads in its order ``_at``.
 
@@ -262,26 +292,51 @@ def category_dim(
     An item listed twice in the dimension doubles its lines; ``_copies`` keeps
     that effect on sums without fanning out the fact side.
     """
+    return _fold_items(_labelled_items(categories, catalog, keys, exclude), catalog, keys)
+
+
+def _labelled_items(categories: DataFrame, catalog: Catalog, keys: ItemKeys, exclude: str) -> DataFrame:
     base = F.trim(F.col(N.BASE_LABEL))
     mapped = F.col(N.DRI_LABEL).isNotNull() & ~base.eqNullSafe(F.lit(exclude))
-    rows = categories.where(F.col(keys.item).isNotNull()).select(
+    return categories.where(F.col(keys.item).isNotNull()).select(
         keys.item,
+        F.lit(1).alias("_row"),
         mapped.alias("_mapped"),
         catalog.dri.position(f"`{N.DRI_LABEL}`").alias("_dri"),
         catalog.base.position(f"trim(`{N.BASE_LABEL}`)").alias("_base"),
     )
+
+
+def _fold_items(rows: DataFrame, catalog: Catalog, keys: ItemKeys) -> DataFrame:
     bits = [
         F.expr(f"bit_or(IF(_mapped, {ls.word_of_position(f'_{kind}', w)}, NULL))").alias(f"_{kind}{w}")
         for kind, ls in (("dri", catalog.dri), ("base", catalog.base))
         for w in range(ls.words)
     ]
     return rows.groupBy(keys.item).agg(
-        F.count(F.lit(1)).alias("_copies"), F.max("_mapped").alias("_mapped"), *bits
+        F.nullif(F.count("_row"), F.lit(0)).alias("_copies"), F.max("_mapped").alias("_mapped"), *bits
     )
 
 
-#: what is true of an (order, item) pair, below the bits of its price buckets
-PAYABLE, COUNTED = 1, 2
+def item_rows(
+    categories: DataFrame, combos: DataFrame, catalog: Catalog, keys: ItemKeys, exclude: str = N.EXCLUDE_LABEL
+) -> DataFrame:
+    """All that a line has to meet by its item: one row of ``category_dim`` per item, one (``_choice``, ``_limit``) row per choice it heads.
+
+    A header that no category names has a row without labels, so that every line of a listed item meets exactly one row without choice.
+    """
+    covers = header_covers(combos, keys)
+    named = _labelled_items(categories, catalog, keys, exclude)
+    items = _fold_items(named.unionByName(covers.select(keys.item), allowMissingColumns=True), catalog, keys)
+    return items.unionByName(covers, allowMissingColumns=True)
+
+
+#: what is true of a line or an (order, item) pair, below the bits of its price buckets
+PAYABLE, COUNTED, PROMO, BUCKET_SHIFT = 1, 2, 4, 3
+
+
+def _marked(mark: int) -> Column:
+    return F.col("_marks").bitwiseAND(F.lit(mark)) != 0
 
 
 def encoded_item_features(
@@ -291,45 +346,46 @@ def encoded_item_features(
     catalog: Catalog,
     keys: ItemKeys = DELIVERY,
     bins: Sequence[float] = N.PRICE_BINS,
+    by_order: bool = False,
 ) -> DataFrame:
     """Every item-derived feature of an order, bitsets undecoded, in one pass over the lines.
 
-    1. Lines fold to one row per (order, item), before the shuffle, so one huge order or one
-       hot item arrives as few rows. The choice limits that sold headers emit meet them there.
-    2. Pairs get their labels by a join on the item.
-    3. Pairs fold to one row per order, again combining before the shuffle.
+    1. Lines meet the labels and the choices of their item in one join on the item, and are shuffled once for both.
+    2. Lines and the narrow choice limits of sold headers are dealt by order and fold to one row per (order, item) there.
+    3. These fold to one row per order without another shuffle. No buffer holds more than one pair or one order's bitsets.
 
     All buffers are fixed-width numbers and bitsets; what is true or false of a pair shares one. The separate
     operators above compute the same columns one at a time.
     """
     payable, qty = keys.payable(), F.col(keys.quantity)
+    promo = F.lit(False) if keys.promo is None else F.col(keys.promo)
     counted = payable & qty.isNotNull()
     bucket = F.coalesce(_bucket_bit(F.col(keys.price), counted, bins).cast("bigint"), F.lit(0))
-    marks = F.call_function("shiftleft", bucket, F.lit(2))
-    marks = marks.bitwiseOR(F.when(payable, F.lit(PAYABLE)).otherwise(F.lit(0))).bitwiseOR(F.when(counted, F.lit(COUNTED)).otherwise(F.lit(0)))
-    inputs = {"_qty": qty, "_paid_qty": F.when(payable, qty), "_marks": marks}
-    first = {"_qty": F.sum, "_paid_qty": lambda c: F.coalesce(F.sum(c), F.lit(0)), "_marks": F.bit_or}
+    marks = F.call_function("shiftleft", bucket, F.lit(BUCKET_SHIFT))
+    for mark, cond in ((PAYABLE, payable), (COUNTED, counted), (PROMO, promo)):
+        marks = marks.bitwiseOR(F.when(cond, F.lit(mark)).otherwise(F.lit(0)))
+    inputs = {"_qty": qty, "_marks": marks}
+    first = [
+        F.sum("_qty").alias("_qty"), F.coalesce(F.sum(F.when(_marked(PAYABLE), F.col("_qty"))), F.lit(0)).alias("_paid_qty"),
+        F.bit_or("_marks").alias("_marks"),
+    ]
     if keys.details:
-        veg = F.col("is_veg").cast("int")
-        inputs |= {"_custom": F.col("is_customized"), "_veg_min": veg, "_veg_sum": veg}
-        first |= {"_custom": F.max, "_veg_min": F.min, "_veg_sum": F.sum}
+        inputs |= {"_custom": F.col("is_customized"), "_veg": F.col("is_veg").cast("int")}
+        first += [F.max("_custom").alias("_custom"), F.min("_veg").alias("_veg_min"), F.sum("_veg").alias("_veg_sum")]
     if keys.promo is not None:
-        inputs["_promo_qty"] = F.when(F.col(keys.promo), qty)
-        first["_promo_qty"] = F.sum
+        first.append(F.sum(F.when(_marked(PROMO), F.col("_qty"))).alias("_promo_qty"))
 
     known = items.where(F.col(keys.order).isNotNull())
     lines = known.select(keys.order, keys.item, *[c.alias(n) for n, c in inputs.items()])
-    aggs, sold = [f(n).alias(n) for n, f in first.items()], known.where(payable)
-    if keys == UNITED:  # few columns are read of these, so lines and limits share one aggregate
-        pairs = fold_pairs(lines, aggs, sold, combos, keys)
-    else:
-        pairs = with_limits(lines.groupBy(keys.order, keys.item).agg(*aggs), offers_of(sold, combos, keys), keys)
-    marked = pairs.join(category_dim(categories, catalog, keys), keys.item, "left")
+    rows = item_rows(categories, combos, catalog, keys)
+    facts = [F.max(c).alias(c) for c in rows.columns if c not in (keys.item, "_choice", "_limit")]
+    met = lines_and_offers(lines, rows, _marked(PAYABLE), keys, by_order)
+    marked = fold_met(met.repartition(keys.order), [*first, *facts], keys)
     copies = F.coalesce(F.col("_copies"), F.lit(1))
-    kept = (F.col("_marks").bitwiseAND(F.lit(PAYABLE)) != 0) & F.col("_mapped") & ~covered(F.col("_paid_qty") * copies)
+    kept = _marked(PAYABLE) & F.col("_mapped") & ~covered(F.col("_paid_qty") * copies)
     marked = marked.withColumns({
-        "_kept": F.coalesce(kept, F.lit(False)), "_counted": F.col("_marks").bitwiseAND(F.lit(COUNTED)) != 0,
-        "_bucket": F.call_function("shiftright", F.col("_marks"), F.lit(2)).cast("int")})
+        "_kept": F.coalesce(kept, F.lit(False)), "_counted": _marked(COUNTED),
+        "_bucket": F.call_function("shiftright", F.col("_marks"), F.lit(BUCKET_SHIFT)).cast("int")})
 
     is_kept = F.col("_kept")
     seen = is_kept & F.col("_counted")

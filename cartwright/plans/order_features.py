@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -61,6 +61,19 @@ def _only_customers(dims: Dimensions, customers: DataFrame | None) -> Dimensions
     return Dimensions(**{**dims.__dict__, "customer_map": kept})
 
 
+def _with_items(orders: DataFrame, encoded: DataFrame, base: Mapping[str, str], order_id: str) -> DataFrame:
+    """Orders with their encoded item features, before the names of their stores make them wide.
+
+    Only input columns of the base go through this join, each of them once.
+    """
+    inputs = [c for c in dict.fromkeys(base.values()) if c in orders.columns]
+    return orders.select(*inputs).join(encoded.withColumnRenamed(N.ORDER_ID, order_id), order_id, "left")
+
+
+def _base_with_items(orders: DataFrame, encoded: DataFrame, base: Mapping[str, str]) -> DataFrame:
+    return O.project(orders, {**base, **{c: c for c in encoded.columns if c != N.ORDER_ID}})
+
+
 def delivery_order_features(
     orders: DataFrame,
     items: DataFrame,
@@ -73,13 +86,14 @@ def delivery_order_features(
     dims = _only_customers(dims, customers)
     mapped = windowed_customer_orders(orders, dims, window)
     flagged = O.flag_complaints(mapped, complaints)
-    base = O.delivery_base(O.store_details(flagged, dims.store_map, dims.store_master))
     if customers is not None:  # most orders are not wanted, so their lines are dropped first
         items = I.items_of_orders(items, mapped.withColumnRenamed("id", I.DELIVERY.order), I.DELIVERY.order)
     encoded = I.encoded_item_features(
-        items, dims.categories, dims.combos, dims.catalog, I.DELIVERY, dims.bins
+        items, dims.categories, dims.combos, dims.catalog, I.DELIVERY, dims.bins, by_order=customers is not None
     )
-    joined = I.decode_item_features(base.join(encoded, N.ORDER_ID, "left"), dims.catalog, dims.buckets)
+    met = _with_items(flagged, encoded, N.DELIVERY_BASE, "id")
+    base = _base_with_items(O.store_details(met, dims.store_map, dims.store_master), encoded, N.DELIVERY_BASE)
+    joined = I.decode_item_features(base, dims.catalog, dims.buckets)
     filled = joined.withColumn("promo_items", F.coalesce("promo_items", F.lit(0)).cast("bigint"))
     return O.add_order_clock(filled)
 
@@ -101,12 +115,12 @@ def instore_order_features(
     recent = O.store_window(orders, "BussTime", *bounds)
     mapped = O.map_customers_instore(recent, dims.customer_map)
     known = mapped.where(F.col(N.CUSTOMER_ID).isNotNull())
-    base = O.instore_base(O.store_details_instore(known, dims.store_master))
     lines = O.store_window(items, "OrderDatetime", *bounds)
     if customers is not None:
         lines = I.items_of_orders(lines, known)
     encoded = I.encoded_item_features(
-        lines, dims.categories, dims.combos, dims.catalog, I.IN_STORE, dims.bins
+        lines, dims.categories, dims.combos, dims.catalog, I.IN_STORE, dims.bins, by_order=customers is not None
     )
-    joined = base.join(encoded, N.ORDER_ID, "left")
-    return O.add_order_clock(I.decode_item_features(joined, dims.catalog, dims.buckets))
+    met = _with_items(known, encoded, N.INSTORE_BASE, "InvoiceNo")
+    base = _base_with_items(O.store_details_instore(met, dims.store_master), encoded, N.INSTORE_BASE)
+    return O.add_order_clock(I.decode_item_features(base, dims.catalog, dims.buckets))

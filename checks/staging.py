@@ -185,8 +185,9 @@ class Stage:
 
         def build() -> DataFrame:
             line = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-            header = line.where("l_linenumber = 1").select("l_orderkey", F.col("l_partkey").alias("h")).distinct()
-            choice = line.where("l_linenumber = 2").select("l_orderkey", F.col("l_partkey").alias("c")).distinct()
+            # dealt by order, so that the distinct rows of both sides meet without another shuffle
+            header = line.where("l_linenumber = 1").select("l_orderkey", F.col("l_partkey").alias("h")).repartition("l_orderkey").distinct()
+            choice = line.where("l_linenumber = 2").select("l_orderkey", F.col("l_partkey").alias("c")).repartition("l_orderkey").distinct()
             pairs = header.join(choice, "l_orderkey").select("h", "c").distinct()
             return pairs.select(
                 F.col("h").cast("string").alias("header_item_id_id"),

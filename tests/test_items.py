@@ -236,3 +236,29 @@ def test_choice_pairs_do_not_aggregate_offers(spark):
     assert [tuple(r) for r in pairs.collect()] == [(1, "b")]
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and "Join LeftSemi" in plan
+
+
+@pytest.mark.parametrize("by_order", [False, True])
+def test_lines_are_dealt_once_by_item_and_once_by_order(spark, by_order):
+    """Labels and choices meet the lines in one join, and both folds follow one shuffle by order."""
+    from cartwright.session import settings
+
+    items, cats, combos = frames(spark, random_case(5))
+    items = spark.createDataFrame(items.collect() + [(9, None, 2, 20.0, False, False, True), (None, "1", 1, 20.0, False, False, True)], ITEMS)
+    catalog = Catalog.from_categories(cats)
+    want = I.order_item_features(items, cats, combos, catalog)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        out = I.decode_item_features(I.encoded_item_features(items, cats, combos, catalog, by_order=by_order), catalog)
+        assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect()))
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    lines = [x for x in plan.split("\n") if "Exchange hashpartitioning(sales_id" in x]
+    assert len(lines) == (2 if by_order else 1)  # what a join has dealt by order needs no first one
+
+
+def test_a_header_without_labels_still_heads(spark):
+    items = spark.createDataFrame([(1, "h", 2, 20.0, False, False, True), (1, "c", 1, 20.0, False, False, True), (2, "c", 3, 20.0, False, False, True)], ITEMS)
+    cats = spark.createDataFrame([("c", "Pc", "Coffee", "Core"), ("c", "Pc", "Coffee", "Core")], CATS)
+    combos = spark.createDataFrame([("h", "c", 2), ("h", "x", 9), ("h", "c", 1)], COMBOS)
+    out = I.order_item_features(items, cats, combos, Catalog.from_categories(cats))
+    # the dimension lists the choice twice, so it counts twice; that of order 1 is covered by its header
+    assert sorted((r[N.ORDER_ID], r["item_count"], r[N.DRI_LIST]) for r in out.collect()) == [(1, 4, None), (2, 6, ["Core"])]

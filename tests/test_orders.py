@@ -156,3 +156,18 @@ def test_lines_are_restricted_before_the_fold(spark):
     depth = len(plan[fold]) - len(plan[fold].lstrip(" :+-"))
     below = [x for x in plan[fold + 1:] if len(x) - len(x.lstrip(" :+-")) > depth]
     assert any("LeftSemi" in x for x in below)
+
+
+def test_store_names_join_after_the_items(spark):
+    """Orders are dealt to their lines without store columns and with every input once."""
+    from checks.staging import WINDOW, Stage
+    from cartwright.plans import order_features as P
+
+    st = Stage(spark, "/root/testdata/sf0.001")
+    for out in (P.delivery_order_features(st.all_orders, st.all_items, st.dims, WINDOW, st.complaints),
+                P.instore_order_features(st.all_as_instore_orders, st.all_as_instore_items, st.dims, WINDOW, None)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        fold = next(i for i, x in enumerate(plan) if "Aggregate [" in x and "_any" in x)
+        depth = len(plan[fold]) - len(plan[fold].lstrip(" :+-"))
+        above = [x for x in plan[:fold] if len(x) - len(x.lstrip(" :+-")) < depth and "Join LeftOuter" in x]
+        assert "Code" in above[0] and not any(c in above[-1] for c in ("Code", "MDS"))
