@@ -265,12 +265,14 @@ def label_counts(unified: DataFrame, present: str, lists: Sequence[str] = ()) ->
     """Orders per customer and label, and distinct labels, in long form: the plan does not grow with the labels.
 
     ``present`` is the SQL text of an order's label positions; ``lists`` are array columns of label names.
-    Every (customer, label) folds before the shuffle, so a customer with a third of all orders arrives as few
-    rows. Output: the customer, ``_counts`` (position -> orders, own-app orders) and ``_list_i`` for each
+    With ``lists`` every (customer, label) folds before the shuffle; without, the bits of an order are
+    shuffled once. Either way a buffer holds one (customer, label) or the labels of one customer. Output: the customer, ``_counts`` (position -> orders, own-app orders) and ``_list_i`` for each
     of the lists, sorted; customers without any label are absent.
     """
     if not lists:
-        each = unified.where(F.col(N.CUSTOMER_ID).isNotNull()).select(N.CUSTOMER_ID, _is(N.OWNAPP).alias("_own"), F.expr(f"explode({present})").alias("at"))
+        # dealt by customer while labels are still bits: narrower than (customer, label) rows, and both folds follow without a shuffle
+        known = unified.where(F.col(N.CUSTOMER_ID).isNotNull()).withColumn("_own", _is(N.OWNAPP)).repartition(N.CUSTOMER_ID)
+        each = known.select(N.CUSTOMER_ID, "_own", F.expr(f"explode({present})").alias("at"))
         counted = each.groupBy(N.CUSTOMER_ID, "at").agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("_own")).alias("own"))
         return counted.groupBy(N.CUSTOMER_ID).agg(F.expr("map_from_entries(transform(collect_list(struct(at, orders, own)), x -> struct(x.at, struct(x.orders, x.own))))").alias("_counts"))
     entries = [f"transform({present}, i -> named_struct('kind', 0, 'at', i, 'label', CAST(NULL AS STRING)))"]

@@ -59,13 +59,13 @@ CLOCKS = ("order_placed_datetime", "order_delivery_datetime")
 
 
 def encoded_orders(feeds: Mapping[str, Feed], dims: Dimensions, window: OrderWindow, cutoff: date) -> DataFrame:
-    """One narrow row per order of a known customer since the cutoff, item features as bitsets.
+    """One narrow row per order of a known customer since the cutoff, item features as bitsets, without its clock features.
 
     The lines of all feeds fold in one aggregate, and the orders of both delivery feeds meet the
     customer map in one join, so three channels cost little more than one.
     """
     bounds = (window.run_date, window.months, window.test_store)
-    shared = (N.CUSTOMER_ID, "_order", "channel", *CLOCKS, "total_price", "discounted_price", "price_without_taxes")
+    shared = (N.CUSTOMER_ID, "_order", *CLOCKS, "total_price", "discounted_price", "price_without_taxes")
     none = F.lit(None).cast("timestamp_ntz")
     delivery, parts, lines = [], [], []
     for at, (channel, feed) in enumerate(feeds.items()):
@@ -73,14 +73,14 @@ def encoded_orders(feeds: Mapping[str, Feed], dims: Dimensions, window: OrderWin
             recent = O.since_cutoff(O.store_window(feed.orders, "BussTime", *bounds), cutoff, "BussTime")
             base = O.instore_base(O.map_customers_instore(recent, dims.customer_map)).where(F.col(N.CUSTOMER_ID).isNotNull())
             priced = C.price_without_taxes(base, channel).withColumns({
-                "channel": F.lit(channel), "order_delivery_datetime": none, "_order": I.feed_key(at, F.col("order_id").cast("bigint"))})
+                "order_delivery_datetime": none, "_order": I.feed_key(at, F.col("order_id").cast("bigint"))})
             parts.append(priced.select(*shared))
             lines.append((at, O.store_window(feed.items, "OrderDatetime", *bounds), I.IN_STORE))
         else:
             recent = O.since_cutoff(O.local_window(feed.orders, CLOCKS, window.run_date, window.months, window.zone), cutoff)
             delivered = F.col("order_delivery_datetime") if channel == N.OWNAPP else none
             priced = C.price_without_taxes(recent, channel).withColumns({
-                "channel": F.lit(channel), "order_delivery_datetime": delivered, "_order": I.feed_key(at, F.col("id").cast("bigint"))})
+                "order_delivery_datetime": delivered, "_order": I.feed_key(at, F.col("id").cast("bigint"))})
             delivery.append(priced.select("id", *shared[1:]))
             lines.append((at, feed.items, I.DELIVERY))
     if delivery:
@@ -88,8 +88,9 @@ def encoded_orders(feeds: Mapping[str, Feed], dims: Dimensions, window: OrderWin
     orders = reduce(DataFrame.unionByName, parts).withColumn(N.CUSTOMER_ID, F.col(N.CUSTOMER_ID).cast("string"))
     categories, combos = I.united_dimensions(dims.categories, dims.combos, [keys for _, _, keys in lines])
     encoded = I.encoded_item_features(I.united_lines(lines), categories, combos, dims.catalog, I.UNITED, dims.bins)
-    joined = orders.join(encoded.drop("item_count", "promo_items").withColumnRenamed(N.ORDER_ID, "_order"), "_order", "left").drop("_order")
-    return O.add_order_clock(joined)
+    joined = orders.join(encoded.drop("item_count", "promo_items").withColumnRenamed(N.ORDER_ID, "_order"), "_order", "left")
+    named = F.get(F.array(*[F.lit(channel) for channel in feeds]), F.col("_order.feed"))
+    return joined.withColumn("channel", named).drop("_order")
 
 
 def customer_features_of_feeds(
@@ -101,7 +102,7 @@ def customer_features_of_feeds(
     customer, and its labels in long form. They are written by customer (a hot one is split), so that both
     aggregates combine nearly all of a customer's rows before their shuffles. No column per label exists before the last projection.
     """
-    orders = written(encoded_orders(feeds, dims, window, cutoff).hint("rebalance", N.CUSTOMER_ID), "encoded-orders")
+    orders = O.add_order_clock(written(encoded_orders(feeds, dims, window, cutoff).hint("rebalance", N.CUSTOMER_ID), "encoded-orders"))
     wide = C.aggregate_customers(orders, C.encoded_groups(dims.catalog, bucket_columns(dims.buckets), reference))
     words = {kind: [f"coalesce(_{kind}_seen{w}, 0L)" for w in range(ls.words)] for kind, ls in
              (("base", dims.catalog.base), ("dri", dims.catalog.dri))}

@@ -197,3 +197,14 @@ def test_feeds_and_written_order_features_agree(spark):
     even = [F.round(f"`{c}`", 9).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in sorted(direct.dtypes)]
     got = rows_of(columns, direct.select(*even).collect())
     assert len(got) == 7 and got == rows_of(columns, stepwise.select(*even).collect())
+
+
+def test_label_counts_are_dealt_by_customer_once(spark):
+    """Labels of encoded orders are shuffled as bits, not as (customer, label) rows."""
+    rows = [("a", N.OWNAPP, 5), ("a", N.SWIGGY, 1), ("b", N.INSTORE, 0), (None, N.OWNAPP, 7)]
+    orders = spark.createDataFrame(rows, f"{N.CUSTOMER_ID} string, channel string, w long")
+    out = C.label_counts(orders, "filter(array(0, 1, 2), i -> (w & shiftleft(1L, i)) <> 0)")
+    got = {r[N.CUSTOMER_ID]: {k: tuple(v) for k, v in r["_counts"].items()} for r in out.collect()}
+    assert got == {"a": {0: (2, 1), 2: (1, 1)}}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
